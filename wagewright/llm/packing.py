@@ -8,6 +8,8 @@ that length, and no task ever holds more than a share of them.
 
 from __future__ import annotations
 
+import contextlib
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -19,8 +21,13 @@ from pyspark.sql import functions as F
 
 from wagewright.llm.common import stored
 
-#: Words and chunks that a worker keeps with their token ids; a full table is emptied.
-CACHE_ENTRIES = 400_000
+#: Chunks that a worker keeps with their token ids, twice: a full table becomes the old one, from which entries in use
+#: are taken over.
+CACHE_ENTRIES = 600_000
+#: Chunks that are one word to the tokenizer, and change only their case when normalised.
+WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A full stop or comma beside another sign (or a letter that becomes a letter and a sign); together they may be one token.
+BESIDE = re.compile(r"[.,](?:[^\w \n\t\r]|_)|(?:[^\w \n\t\r]|[_İ])[.,]")
 #: Parts into which the pieces of one length are ranked.
 RANK_PARTS = 256
 
@@ -28,8 +35,9 @@ RANK_PARTS = 256
 class ChunkTokenizer:
     """Token ids (as little-endian unsigned 32-bit bytes) of whole texts.
 
-    White space never joins tokens in a tokenizer that drops it, so a text's ids are those of its chunks between
-    blanks and line ends, and each worker encodes a chunk once.
+    A tokenizer that drops white space and lower-cases gives a text the ids of its chunks between blanks and line
+    ends, whatever their case, and a full stop or comma between letters, digits and white space is a token of its own.
+    So each worker encodes a chunk once.
     """
 
     def __init__(self, path: str):
@@ -40,52 +48,51 @@ class ChunkTokenizer:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _letters(self, words: list[str]) -> None:
-        """Encode words of letters only, many to a call; each ends in a token that ends a word."""
-        for k in range(0, len(words), 512):
-            part = words[k : k + 512]
-            ids = np.asarray(self.encode([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(part):
-                for word, own in zip(part, np.split(ids, ends[:-1]), strict=True):
-                    self.words[word] = own.tobytes()
-            else:
-                self._each(part, self.words)
-
-    def _each(self, items: list[str], into: dict[str, bytes]) -> None:
-        for k in range(0, len(items), 512):
-            part = items[k : k + 512]
-            for item, found in zip(part, self.encode(part, add_special_tokens=False), strict=True):
-                into[item] = np.asarray(found.ids, dtype="<u4").tobytes()
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        if not BESIDE.search(text):
+            text = text.replace(".", " .").replace(",", " ,")
+        with contextlib.suppress(UnicodeEncodeError):
+            text.encode("latin-1")
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
 
     def _learn(self, new: list[str]) -> None:
-        split, odd = [], []
+        known, old = self.known, self.old
+        words, others = [], []
         for chunk in new:
-            core = chunk.rstrip(".,!?;:")
-            # A sign after a letter starts a token of its own; plain Latin letters stay as they are when normalised.
-            if core.isalpha() and core.islower() and max(core) < "ɐ":
-                split.append((chunk, core, chunk[len(core) :]))
+            if (ids := old.get(chunk)) is not None:
+                known[chunk] = ids
             else:
-                odd.append(chunk)
-        self._letters(list({core for _, core, _ in split if core not in self.words}))
-        self._each(list({tail for _, _, tail in split if tail not in self.words}), self.words)
-        self._each(odd, self.chunks)
-        for chunk, core, tail in split:
-            self.chunks[chunk] = self.words[core] + self.words[tail]
-
-    def texts(self, texts: list[str], together: int = 64) -> Iterator[bytes]:
+                (words if WORD.fullmatch(chunk) else others).append(chunk)
+        for k in range(0, len(words), 512):  # many words to a call; each ends in a token that ends a word
+            part = words[k : k + 512]
+            ids = np.asarray(self.encode([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(ends) != len(part):
+                others += part
+                continue
+            at, ids = 0, ids.tobytes()
+            for word, end in zip(part, ends, strict=True):
+                known[word] = ids[at:end]
+                at = end
+        for k in range(0, len(others), 512):
+            part = others[k : k + 512]
+            for chunk, found in zip(part, self.encode(part, add_special_tokens=False), strict=True):
+                known[chunk] = np.asarray(found.ids, dtype="<u4").tobytes()
+
+    def texts(self, texts: list[str], together: int = 256) -> Iterator[bytes]:
         for k in range(0, len(texts), together):
-            part = [text.replace("\n", " ").split(" ") for text in texts[k : k + together]]
-            if len(self.chunks) > CACHE_ENTRIES:
-                self.chunks.clear()
-            if len(self.words) > CACHE_ENTRIES:
-                self.words.clear()
-            self._learn([chunk for chunk in set().union(*part) if chunk not in self.chunks])
+            part = [self.chunks(text) for text in texts[k : k + together]]
+            if len(self.known) > CACHE_ENTRIES:
+                self.old, self.known = self.known, {"": b""}
+            known = self.known
+            self._learn([chunk for chunk in set().union(*part) if chunk not in known])
             for chunks in part:
-                yield b"".join(map(self.chunks.__getitem__, chunks))
+                yield b"".join(map(known.__getitem__, chunks))
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
