@@ -33,36 +33,39 @@ def folded_words(text: Column) -> Column:
     return words_of(F.lower(F.coalesce(text, F.lit(""))))
 
 
-def grams(words: Column, k: int) -> Column:
-    """Hash of the k words from each position on, by doubling; the last k - 1 are of fewer words."""
+def after(values: str, n: int) -> Column:
+    """The array from its element n on (from 0)."""
+    return F.slice(values, n + 1, 1 << 30)
+
+
+def with_grams(df: DataFrame, words: str, k: int, to: str) -> DataFrame:
+    """Hash of the k words from each position on; the last k - 1 are of fewer words.
+
+    By doubling. Each step is a column of its own, as a nested expression would be computed anew wherever it is used.
+    """
+    df = df.withColumn("__1", F.transform(words, lambda x: F.xxhash64(x)))
     size = 1
-    made = {1: F.transform(words, lambda x: F.xxhash64(x))}
     while 2 * size <= k:
-        made[2 * size] = F.zip_with(made[size], F.slice(made[size], size + 1, 2**31 - 1), lambda a, b: F.xxhash64(a, b))
+        df = df.withColumn(f"__{2 * size}", F.zip_with(f"__{size}", after(f"__{size}", size), lambda a, b: F.xxhash64(a, b)))
         size *= 2
-    have, out = size, made[size]
-    while have < k:
-        size = max(s for s in made if s <= k - have)
-        out = F.zip_with(out, F.slice(made[size], have + 1, 2**31 - 1), lambda a, b: F.xxhash64(a, b))
-        have += size
-    return out
-
-
-def least_of(values: Column, w: int) -> Column:
-    """Least of the w values from each position on, by doubling."""
-    out, have = values, 1
+    have, steps = size, [f"__{1 << i}" for i in range(size.bit_length())]
+    df = df.withColumn(to, F.col(steps[-1]))
+    for i in reversed(range(size.bit_length() - 1)):
+        if (k - size) >> i & 1:
+            df = df.withColumn(to, F.zip_with(to, after(f"__{1 << i}", have), lambda a, b: F.xxhash64(a, b)))
+            have += 1 << i
+    return df.drop(*steps)
+
+
+def with_fingerprints(df: DataFrame, words: str, window: int, k: int, to: str) -> DataFrame:
+    """Distinct least hashes of each window's k-grams; none if there are fewer words than a window."""
+    df, have, w = with_grams(df, words, k, "__least"), 1, window - k + 1
     while have < w:
         step = min(have, w - have)
-        out = F.zip_with(out, F.slice(out, step + 1, 2**31 - 1), lambda a, b: F.least(a, b))
+        df = df.withColumn("__least", F.zip_with("__least", after("__least", step), lambda a, b: F.least(a, b)))
         have += step
-    return out
-
-
-def fingerprints(words: Column, window: int, k: int) -> Column:
-    """Distinct kept hashes; none if there are fewer words than a window."""
-    n = F.size(words)
-    kept = F.slice(least_of(grams(words, k), window - k + 1), 1, F.greatest(n - window + 1, F.lit(0)))
-    return F.when(n >= window, F.array_distinct(kept)).otherwise(F.array().cast("array<bigint>"))
+    kept = F.array_distinct(F.slice("__least", 1, F.greatest(F.size(words) - window + 1, F.lit(0))))
+    return df.withColumn(to, F.when(F.size(words) >= window, kept).otherwise(F.array().cast("array<bigint>"))).drop("__least")
 
 
 def windows_at(words: Column, starts: Column, length: int) -> Column:
@@ -80,16 +83,17 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5)
     length = F.least(F.size("words"), F.lit(window))
     parts = own.select("item", length.alias("len"), F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - length + 1), lambda i: F.array_join(F.slice("words", i, length), " "))).alias("window"))
     windows = stored(parts.groupBy("len", "window").agg(F.collect_set("item").alias("items")), "windows")
-    marks = stored(own.select(F.explode(fingerprints(F.col("folded"), window, k)).alias("fp")).distinct(), "marks")
+    marks = stored(with_fingerprints(own.select("folded"), "folded", window, k, "fps").select(F.explode("fps").alias("fp")).distinct(), "marks")
 
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text"))
-    base = stored(keyed.withColumn("words", folded_words(F.col("text"))).select("doc_id", "key", F.size("words").cast("long").alias("n_words"), fingerprints(F.col("words"), window, k).alias("fps")), "prints")
+    counted = keyed.select("doc_id", "key", folded_words(F.col("text")).alias("words"))
+    base = stored(with_fingerprints(counted, "words", window, k, "fps").select("doc_id", "key", F.size("words").cast("long").alias("n_words"), "fps"), "prints")
     shared = base.select("key", F.explode("fps").alias("fp")).join(bounded(marks), "fp").groupBy("key").agg(F.collect_set("fp").alias("fps"))
     shared = stored(shared, "shared")
 
     # Extension: of the words around a shared k-gram, the windows that hold it are compared with the items' windows.
     near = keyed.join(bounded(shared), "key")
-    near = near.select("key", "fps", exact_words(F.col("text")).alias("words"), grams(folded_words(F.col("text")), k).alias("grams"))
+    near = with_grams(near.select("key", "fps", exact_words(F.col("text")).alias("words"), folded_words(F.col("text")).alias("folded")), "folded", k, "grams")
     at = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("fps", g), i + 1)), lambda i: i.isNotNull())
     starts = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(F.greatest(p - (window - k), F.lit(1)), p))))
     fit = F.filter(starts, lambda s: s <= F.size("words") - window + 1)

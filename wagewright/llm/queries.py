@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagewright.llm import decontaminate, packing, simhash
+from wagewright.llm import decontaminate, line_dedup, packing, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,17 +27,27 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_blocked_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_log_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
         "op6_bin_completion": op6_bin_completion,
+        "op7_blocked_bloom": op7_blocked_bloom,
         "op9_winnowing": op9_winnowing,
+        "op10_log_template_tree": op10_log_template_tree,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_winnowing": decontaminate.ORACLE_SQL}
+    return {"op7_blocked_bloom": url_filter.ORACLE_SQL, "op9_winnowing": decontaminate.ORACLE_SQL}

@@ -43,7 +43,7 @@ def path_of(url: Column) -> Column:
 def host_suffixes(host: Column) -> Column:
     """The host and each parent domain of it."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 2**31 - 1), "."))
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 1 << 30), "."))
 
 
 def block_of(key: Column, blocks: int) -> Column:
