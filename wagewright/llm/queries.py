@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagewright.llm import decontaminate, line_dedup, packing, simhash, url_filter
+from wagewright.llm import brown, decontaminate, line_dedup, packing, quality, simhash, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op1_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -41,7 +53,10 @@ def op10_log_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_boosted_trees": op1_boosted_trees,
+        "op2_attention_mil": op2_attention_mil,
         "op3_simhash": op3_simhash,
+        "op5_brown_classes": op5_brown_classes,
         "op6_bin_completion": op6_bin_completion,
         "op7_blocked_bloom": op7_blocked_bloom,
         "op9_winnowing": op9_winnowing,
