@@ -133,6 +133,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(own).cast("long").alias("n_items"), F.sha2(F.array_join(own, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5) -> DataFrame:
+    """The rows of docs without any word in a benchmark window, with docs' own columns."""
+    _, hits = occurrences(docs, items, window, k)
+    leaks = stored(hits.select(F.col("key").alias("__key")).distinct(), "leaks")
+    return docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(leaks, "__key", "left_anti").drop("__key")
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wagewright.llm import brown, decontaminate, line_dedup, packing, quality, simhash, toxicity, url_filter
+from wagewright.llm import brown, cross_polytope, decontaminate, line_dedup, packing, pii, quality, simhash, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score_documents(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,10 @@ def op7_blocked_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark))
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), "surrogate key of the registered query")
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,9 +65,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_boosted_trees": op1_boosted_trees,
         "op2_attention_mil": op2_attention_mil,
         "op3_simhash": op3_simhash,
+        "op4_cross_polytope": op4_cross_polytope,
         "op5_brown_classes": op5_brown_classes,
         "op6_bin_completion": op6_bin_completion,
         "op7_blocked_bloom": op7_blocked_bloom,
+        "op8_surrogates": op8_surrogates,
         "op9_winnowing": op9_winnowing,
         "op10_log_template_tree": op10_log_template_tree,
     }

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import LOWER_BYTES, stored
+from wagewright.llm.common import LOWER_BYTES, row_key, stored
 from wagewright.llm.components import connected_components
 
 BITS = 64
@@ -173,3 +173,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
     member = rooted.join(least, "root").select("fp", "component_id")
     found = prints.join(member, "fp")
     return found.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, m: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates, that of the smallest doc_id, with docs' own columns.
+
+    Of repeated rows of that doc_id the one with the least text stays. Rows without a doc_id stay only in groups
+    that have no id at all.
+    """
+    own = [c for c in docs.columns if c != "doc_id" and c != "text"]
+    marked = docs.select(F.col("doc_id"), F.col("text"), F.struct(*own).alias("__rest") if own else F.lit(0).alias("__rest"), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
+    groups = near_duplicates(docs.select("doc_id", "text"), shingle, radius, m)
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
+    prints = stay.groupBy("doc_id").agg(F.min("fp").alias("fp"))
+    kept = marked.join(prints, marked["doc_id"].eqNullSafe(prints["doc_id"]), "left_semi")
+    first = kept.groupBy(F.col("doc_id").alias("__id")).agg(F.min("__key").alias("__first"))
+    rows = kept.join(first, kept["__key"] == first["__first"]).dropDuplicates(["__key"])
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("__rest")[c].alias(c) for c in docs.columns))
