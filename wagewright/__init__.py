@@ -1 +1 @@
-
+"""Pay analytics over job advertisements, on Spark DataFrames."""
