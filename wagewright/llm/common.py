@@ -40,6 +40,12 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets at most ``rows`` rows go to Python at once: whole texts are long, and a batch has to fit in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, str(min(rows, int(spark.conf.get(name)))))
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

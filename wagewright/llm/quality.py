@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import fold, stored
+from wagewright.llm.common import fold, stored, text_batches
 
 PASSAGE_WORDS = 64
 #: Signs counted together, as fixed values; what no group names is counted by byte range.
@@ -138,6 +138,7 @@ def score_column(docs: DataFrame, model: AttentionModel | float) -> Column:
     """The score of docs' text in [0, 1]; a null text counts as empty."""
     if isinstance(model, float):
         return F.lit(model)
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import LOWER_BYTES, row_key, stored
+from wagewright.llm.common import LOWER_BYTES, row_key, stored, text_batches
 from wagewright.llm.components import connected_components
 
 BITS = 64
@@ -165,6 +165,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
     smallest doc_id of the component (null ids don't count; it is null if there are no others). Null and empty
     texts have fingerprint zero and link like any other.
     """
+    text_batches(docs.sparkSession)
     prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = connected_components(links(nodes, radius, m)).withColumnRenamed("node", "fp")

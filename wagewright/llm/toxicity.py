@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import fold, stored
+from wagewright.llm.common import fold, stored, text_batches
 
 #: Second-person words of English, German, French and Spanish.
 SECOND_PERSON = frozenset("you your yours yourself du dich dir dein deine deinen ihr euch sie ihnen tu toi te ton ta tes vous votre vos tú ti usted ustedes tuyo vosotros".split())
@@ -119,6 +119,7 @@ def learn_lexicons(rows: DataFrame, parts: int, least_docs: int = 3, least_odds:
 
 def featured(docs: DataFrame, lexicons: list[Lexicon], part: str | None = None) -> DataFrame:
     """docs with the column features (vector), by the lexicon whose number is in column part (the only one if None)."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     @F.pandas_udf("array<double>")
