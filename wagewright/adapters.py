@@ -53,8 +53,8 @@ VIEWS = {
           CAST(floor(value / 4) AS BIGINT) AS n_jobs_vague, value * 100 AS ral_min_median, value * 120 AS ral_max_median
         FROM events""",
     "snapshots": """
-        SELECT event_type AS board, concat(event_type, '|', user_id) AS job_key, CAST(ts AS DATE) AS day, min(event_id) AS ordinal, max(value) AS pay
-        FROM events GROUP BY event_type, user_id, CAST(ts AS DATE)""",
+        SELECT event_type AS board, concat(event_type, '|', user_id) AS job_key, CAST(CAST(ts AS DATE) AS STRING) AS day, min(event_id) AS ordinal, max(value) AS pay
+        FROM events GROUP BY event_type, user_id, CAST(CAST(ts AS DATE) AS STRING)""",
 }
 
 

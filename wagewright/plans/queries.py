@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wagewright.adapters import load, with_views
-from wagewright.operators import cube, disclosure
+from wagewright.functions import ids, pay, places, rules, text
+from wagewright.operators import cells, cube, disclosure, history, registry, sampling, search, views
+from wagewright.stores import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,5 +37,334 @@ def cube_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells that may be published."""
     ads = load(spark, sf_dir, "ads")
-    counts = cube.company_counts(ads).persist()
-    return disclosure.published(cube.cells(ads, counts), counts)
+    counts = written(cube.company_counts(ads), "counts")
+    return disclosure.published(written(cube.cells(ads, counts), "cells"), counts)
+
+
+def ads_with(sql: str) -> str:
+    return f"{with_views('ads')}, {cube.cells_sql()} {sql}"
+
+
+@query("cube_total_kpis", ads_with("SELECT period, country, macro, function, workplace, n_jobs, n_companies, pct_with_salary, pct_vague FROM cells WHERE dim = 'total'"))
+def cube_total_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total cells."""
+    counts = cube.company_counts(load(spark, sf_dir, "ads")).where("dim = 'total'")
+    n = F.sum("n")
+    return counts.groupBy(*cube.AXES).agg(n.alias("n_jobs"), F.count("*").alias("n_companies"), F.bround(100 * F.sum("n_figure") / n, 1).alias("pct_with_salary"), F.bround(100 * F.sum("n_vague") / n, 1).alias("pct_vague"))
+
+
+@query("disclosure_primary", ads_with(f"SELECT {', '.join(cube.CELL)}, n_jobs, n_jobs >= 5 AND n_companies >= 3 AND top_share <= 0.7 AS visible FROM cells"))
+def disclosure_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which cells are large and even enough."""
+    return disclosure.primary(cube.cells(load(spark, sf_dir, "ads"))).select(*cube.CELL, "n_jobs", "visible")
+
+
+@query("disclosure_medians", ads_with(f"SELECT {', '.join(cube.CELL)}, CASE WHEN n_ral >= 5 AND n_ral_companies >= 3 AND ral_top_share <= 0.7 THEN ral_min_median END AS ral_min_median FROM cells"))
+def disclosure_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians only over enough paying ads."""
+    return disclosure.primary(cube.cells(load(spark, sf_dir, "ads"))).select(*cube.CELL, "ral_min_median")
+
+
+@query("disclosure_difference", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT {', '.join(cube.CELL)}, n_jobs FROM pc")
+def disclosure_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells left after the difference rule."""
+    ads = load(spark, sf_dir, "ads")
+    counts = written(cube.company_counts(ads), "counts")
+    return disclosure.hide_differences(disclosure.primary(written(cube.cells(ads, counts), "cells")), counts).where("visible").select(*cube.CELL, "n_jobs")
+
+
+def published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_cells(spark, sf_dir)
+
+
+PUBLISHED = f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()}"
+
+
+@query("usable_filter_options", f"{PUBLISHED} SELECT DISTINCT country AS value FROM published WHERE period = 'all' AND macro = 'BUILDING' AND function = 'all' AND workplace = 'all' AND dim = 'total' OR country = 'all'")
+def usable_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """countries that can still be chosen beside a macro-sector."""
+    return cells.usable_options(published(spark, sf_dir), {"macro": "BUILDING"}, "country")
+
+
+@query("dimension_chart", f"{PUBLISHED} SELECT value, n_jobs, pct_with_salary, value = 'ASIA' AS is_highlight FROM published WHERE period = 'all' AND country = 'all' AND macro = 'all' AND function = 'all' AND workplace = 'all' AND dim = 'country'")
+def dimension_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chart of countries with the chosen one marked."""
+    return cells.chart(published(spark, sf_dir), {"country": "ASIA"}, "country").select("value", "n_jobs", "pct_with_salary", "is_highlight")
+
+
+@query("salary_domain", f"{PUBLISHED} SELECT CAST(floor(min(ral_min_median) / 10000) * 10000 AS BIGINT) AS low, CAST(ceil(max(coalesce(ral_max_median, ral_min_median)) / 10000) * 10000 AS BIGINT) AS high FROM published WHERE dim = 'country' AND ral_min_median IS NOT NULL")
+def salary_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of the salary axis."""
+    return cells.salary_domain(published(spark, sf_dir), "country")
+
+
+@query("workplace_mix", f"""{PUBLISHED}, t AS (SELECT period, country, macro, function, workplace, n_jobs AS total FROM published WHERE dim = 'total'),
+  w AS (SELECT period, country, macro, function, workplace, max(n_jobs) FILTER (value = 'onsite') AS onsite, max(n_jobs) FILTER (value = 'hybrid') AS hybrid, max(n_jobs) FILTER (value = 'remote') AS remote,
+    max(n_jobs) FILTER (value = 'not_stated') AS not_stated FROM published WHERE dim = 'workplace_type' GROUP BY ALL),
+  s AS (SELECT period, country, macro, function, workplace, coalesce(100 * onsite / total, 0.0) AS onsite, coalesce(100 * hybrid / total, 0.0) AS hybrid, coalesce(100 * remote / total, 0.0) AS remote, coalesce(100 * not_stated / total, 0.0) AS not_stated FROM t JOIN w USING (period, country, macro, function, workplace))
+  SELECT period, country, macro, function, workplace, round(onsite, 3) AS onsite, round(hybrid, 3) AS hybrid, round(remote, 3) AS remote, round(not_stated, 3) AS not_stated,
+    CASE WHEN 100 - (onsite + hybrid + remote + not_stated) >= 0.5 THEN round(100 - (onsite + hybrid + remote + not_stated), 3) END AS hidden FROM s""")
+def workplace_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of workplaces and what stays hidden."""
+    return cells.workplace_mix(published(spark, sf_dir))
+
+
+@query("coverage_view", with_views("ats_registry") + """, b AS (SELECT CASE WHEN is_tech = 1 THEN 'tech' ELSE 'non tech' END AS g, * FROM ats_registry), u AS (SELECT * FROM b UNION ALL SELECT 'TOTAL' AS g, * EXCLUDE (g) FROM b)
+  SELECT g AS group_name, count(*) AS companies, count(*) FILTER (ats <> 'none') AS with_ats, count(*) FILTER (supported = 1 AND confidence IN ('high', 'medium')) AS supported_ready,
+    count(*) FILTER (supported = 1 AND confidence = 'low') AS supported_to_review, count(*) FILTER (ats <> 'none' AND supported = 0) AS not_supported, count(*) FILTER (ats = 'none') AS no_ats FROM u GROUP BY g""")
+def coverage_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, U1."""
+    return views.coverage(load(spark, sf_dir, "ats_registry"))
+
+
+@query("coverage_by_ats", with_views("ats_registry") + " SELECT ats, supported, count(*) AS n, count(*) FILTER (confidence = 'low') AS n_low FROM ats_registry GROUP BY ats, supported")
+def coverage_by_ats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2."""
+    return views.by_ats(load(spark, sf_dir, "ats_registry"))
+
+
+@query("board_dedupe", with_views("ats_registry") + " SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(slug)) ORDER BY company, company_id) AS n FROM ats_registry WHERE supported = 1 AND confidence IN ('high', 'medium') AND slug IS NOT NULL) WHERE n = 1")
+def board_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, F2."""
+    return views.ready_boards(load(spark, sf_dir, "ats_registry"))
+
+
+@query("search_summary_view", with_views("searches") + """, r AS (SELECT *, coalesce(location, '') AS k, row_number() OVER (PARTITION BY search_term, coalesce(location, '') ORDER BY run_at DESC, search_id DESC) AS l,
+    row_number() OVER (PARTITION BY search_term, coalesce(location, '') ORDER BY run_at, search_id) AS f, count(*) OVER (PARTITION BY search_term, coalesce(location, '')) AS n_runs FROM searches)
+  SELECT a.search_term, a.location, a.n_runs, b.run_at AS first_run, a.run_at AS last_run, a.n_jobs, a.n_companies, a.n_jobs_with_salary, round(100.0 * a.n_jobs_with_salary / nullif(a.n_jobs, 0), 1) AS pct_with_salary, a.n_jobs_vague,
+    round(100.0 * a.n_jobs_vague / nullif(a.n_jobs, 0), 1) AS pct_vague, a.ral_min_median, a.ral_max_median, a.n_jobs - b.n_jobs AS delta_n_jobs, a.n_jobs_with_salary - b.n_jobs_with_salary AS delta_with_salary
+  FROM r a JOIN r b ON a.search_term = b.search_term AND a.k = b.k AND b.f = 1 WHERE a.l = 1""")
+def search_summary_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1-W4, J5, H4."""
+    return search.history_summary(load(spark, sf_dir, "searches"))
+
+
+SEARCH_VIEWS = ("jobs", "companies", "job_locations", "locations")
+FOUND = with_views(*SEARCH_VIEWS) + """, found AS (SELECT j.job_key, title, salary_transparency, posting_period, ral_min_annual, ral_max_annual, c.name AS company FROM jobs j JOIN companies c USING (company_id)
+  WHERE (lower(title) LIKE '%high role%' OR lower(description) LIKE '%high role%') AND is_active = 1
+    AND EXISTS (SELECT 1 FROM job_locations jl JOIN locations l USING (location_id) WHERE jl.job_key = j.job_key AND (lower(city) = 'north' OR lower(province) = 'north' OR lower(region) = 'north' OR lower(macro_area) = 'north')))"""
+
+
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(*(load(spark, sf_dir, v) for v in SEARCH_VIEWS), "HIGH role", " North ")
+
+
+@query("search_rows", f"{FOUND} SELECT * FROM found")
+def search_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1, J4, F7-F9, T1."""
+    return found(spark, sf_dir).orderBy("company", "title")
+
+
+@query("search_remote", with_views(*SEARCH_VIEWS) + """ SELECT j.job_key, title, salary_transparency, posting_period, ral_min_annual, ral_max_annual, c.name AS company FROM jobs j JOIN companies c USING (company_id)
+  WHERE (lower(title) LIKE '%role%' OR lower(description) LIKE '%role%') AND is_active = 1 AND posting_period = 'pre_law' AND is_remote = 1""")
+def search_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remote as a place, one period only."""
+    return search.search(*(load(spark, sf_dir, v) for v in SEARCH_VIEWS), "role", "remote", "pre_law")
+
+
+@query("search_summary", f"{FOUND} SELECT count(*) AS n_jobs, count(*) FILTER (salary_transparency = 'figure') AS n_jobs_with_salary, count(*) FILTER (salary_transparency = 'vague') AS n_jobs_vague, round_even(median(ral_min_annual), 0) AS ral_min_median, round_even(median(ral_max_annual), 0) AS ral_max_median, count(DISTINCT company) AS n_companies FROM found")
+def search_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, A6."""
+    return search.summary(found(spark, sf_dir))
+
+
+@query("search_by_period", f"{FOUND} SELECT coalesce(posting_period, 'no date') AS period, count(*) AS n_jobs, round_even(100 * count(*) FILTER (salary_transparency = 'figure') / count(*), 0) AS pct_with_salary FROM found GROUP BY 1")
+def search_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4."""
+    return search.by_period(found(spark, sf_dir))
+
+
+@query("search_by_company", f"{FOUND} SELECT company, count(*) AS n_jobs, count(*) FILTER (salary_transparency = 'figure') AS n_jobs_with_salary, count(*) FILTER (salary_transparency = 'vague') AS n_jobs_vague, round_even(median(ral_min_annual), 0) AS ral_min_median, round_even(median(ral_max_annual), 0) AS ral_max_median FROM found GROUP BY company")
+def search_by_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5, T3."""
+    return search.by_company(found(spark, sf_dir))
+
+
+@query("search_examples", f"{FOUND} SELECT * FROM found ORDER BY company, title, job_key LIMIT 10")
+def search_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten ads of a search."""
+    return search.examples(found(spark, sf_dir), 10)
+
+
+PUBLIC = with_views("jobs", "companies", "locations") + """, public AS (SELECT j.* EXCLUDE (description), c.name AS company, c.sector, c.is_tech, l.region, l.province, l.macro_area, CASE WHEN posting_period = 'post_law' THEN 1 ELSE 0 END AS posted_after_law
+  FROM jobs j LEFT JOIN companies c USING (company_id) LEFT JOIN locations l USING (location_id))"""
+
+
+@query("jobs_public_view", f"{PUBLIC} SELECT * FROM public")
+def jobs_public_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3, F14, F15, F23."""
+    return views.jobs_public(*(load(spark, sf_dir, v) for v in ("jobs", "companies", "locations")))
+
+
+@query("meta_counts", f"{PUBLIC} SELECT min(first_seen) AS observed_from, max(last_seen) AS last_update, count(*) FILTER (is_active = 1 AND country IS NOT NULL) AS n_jobs_active, count(DISTINCT company_id) FILTER (is_active = 1 AND country IS NOT NULL) AS n_companies_active FROM public")
+def meta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7."""
+    return views.meta_counts(jobs_public_view(spark, sf_dir))
+
+
+@query("region_fallback", with_views("jobs", "locations") + " SELECT job_key, coalesce(region, CASE WHEN is_remote = 1 THEN 'Remote' ELSE 'Unspecified' END) AS region FROM jobs LEFT JOIN locations USING (location_id)")
+def region_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12, J2."""
+    return views.region_or(load(spark, sf_dir, "jobs"), load(spark, sf_dir, "locations"))
+
+
+@query("history_merge", with_views("snapshots") + """, b AS (SELECT *, max(day) OVER (PARTITION BY board) AS board_day FROM snapshots)
+  SELECT board, job_key, min(day) AS first_seen, max(day) AS last_seen, CASE WHEN max(day) = max(board_day) THEN 1 ELSE 0 END AS is_active, arg_max(pay, (day, ordinal)) AS pay FROM b GROUP BY board, job_key""")
+def history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after all snapshots."""
+    return history.replay(load(spark, sf_dir, "snapshots"))
+
+
+@query("snapshot_merge", with_views("snapshots") + """, o AS (SELECT board, job_key, min(day) AS first_seen, max(day) AS last_seen, arg_max(pay, (day, ordinal)) AS pay FROM snapshots WHERE day < '2024-01-10' GROUP BY ALL),
+  n AS (SELECT * FROM snapshots WHERE day = '2024-01-10' AND board <> 'error')
+  SELECT coalesce(n.board, o.board) AS board, job_key, coalesce(o.first_seen, '2024-01-10') AS first_seen, CASE WHEN n.board IS NOT NULL THEN '2024-01-10' ELSE o.last_seen END AS last_seen,
+    CASE WHEN n.board IS NOT NULL THEN 1 WHEN o.board <> 'error' THEN 0 ELSE 1 END AS is_active, CASE WHEN n.board IS NOT NULL THEN n.pay ELSE o.pay END AS pay
+  FROM o FULL JOIN n USING (job_key)""")
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's crawl merged; one board failed."""
+    rows = load(spark, sf_dir, "snapshots")
+    old = history.replay(rows.where("day < '2024-01-10'")).withColumn("is_active", F.lit(1))
+    seen = rows.where("day = '2024-01-10' AND board <> 'error'")
+    boards = rows.select("board", (F.col("board") != "error").alias("ok")).distinct()
+    return history.merge_snapshot(old, seen, boards, "2024-01-10")
+
+
+@query("deactivate_missing", with_views("snapshots") + """, s AS (SELECT DISTINCT board, job_key, 1 AS is_active FROM snapshots), n AS (SELECT DISTINCT job_key FROM snapshots WHERE day = '2024-01-10')
+  SELECT board, job_key, CASE WHEN board <> 'click' AND job_key NOT IN (SELECT job_key FROM n) THEN 0 ELSE is_active END AS is_active FROM s""")
+def deactivate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads not seen become inactive, but for a failed board's."""
+    rows = load(spark, sf_dir, "snapshots")
+    stored = rows.select("board", "job_key", F.lit(1).alias("is_active")).distinct()
+    return history.deactivate_missing(stored, rows.where("day = '2024-01-10'"), rows.select("board", (F.col("board") != "click").alias("ok")).distinct())
+
+
+@query("crawl_new_counts", with_views("snapshots") + """, f AS (SELECT board, job_key, min(day) AS first_seen FROM snapshots GROUP BY ALL)
+  SELECT board, day, count(*) AS kept, count(*) FILTER (day = first_seen) AS new FROM snapshots JOIN f USING (board, job_key) GROUP BY ALL""")
+def crawl_new_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads kept and new ones, by board and day."""
+    rows = load(spark, sf_dir, "snapshots")
+    first = rows.groupBy("board", "job_key").agg(F.min("day").alias("first_seen"))
+    return rows.join(first, ["board", "job_key"]).groupBy("board", "day").agg(F.count("*").alias("kept"), F.count_if(F.col("day") == F.col("first_seen")).alias("new"))
+
+
+@query("posting_period", "SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '2026-06-07' THEN 'post_law' WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-06-01') > 365 THEN 'old' ELSE 'pre_law' END AS period FROM orders")
+def posting_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12, C13."""
+    posted = rules.posted_date(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", rules.posting_period(posted, F.lit("1998-06-01").cast("date")).alias("period"))
+
+
+@query("annualize", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN CASE WHEN y BETWEEN 5000 AND 500000 THEN y END END AS annual FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN round(o_totalprice / 100, 2) * CASE o_orderkey % 2 WHEN 0 THEN 14 ELSE 12 END END AS y FROM orders)")
+def annualize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9, P10."""
+    k = F.col("o_orderkey")
+    period = F.when(k % 3 == 0, "year").when(k % 3 == 1, "month").otherwise("hour")
+    value = F.when(k % 3 == 1, F.round(F.col("o_totalprice") / 100, 2)).otherwise(F.col("o_totalprice"))
+    months = pay.months_of(F.when(k % 2 == 0, "IT").otherwise("DE"), F.lit(False))
+    return load(spark, sf_dir, "orders").select("o_orderkey", pay.annualize(value, period, F.when(k % 5 == 0, "USD").otherwise("EUR"), F.when(k % 7 == 0, "net").otherwise("gross"), months).alias("annual"))
+
+
+@query("salary_render_parse", "SELECT o_orderkey, CAST(20000 + o_custkey % 900 * 100 AS DOUBLE) AS min, CAST(25000 + o_custkey % 900 * 100 AS DOUBLE) AS max, 'EUR' AS currency, 'year' AS period, CASE o_orderkey % 3 WHEN 2 THEN 'gross' END AS gross_net FROM orders")
+def salary_render_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pay written in three ways and read again."""
+    low, high = 20_000 + F.col("o_custkey") % 900 * 100, 25_000 + F.col("o_custkey") % 900 * 100
+    italian = lambda x: F.replace(F.format_number(x, 0), F.lit(","), F.lit("."))
+    ways = [
+        F.concat(F.lit("We offer a salary of €"), F.format_number(low, 0), F.lit(" - €"), F.format_number(high, 0), F.lit(" per year, welfare plan.")),
+        F.concat(F.lit("Das Gehalt: "), italian(low), F.lit(" - "), italian(high), F.lit(" € pro Jahr.")),
+        F.concat(F.lit("Si offre RAL "), italian(low), F.lit(" - "), italian(high), F.lit(" € in base all'esperienza.")),
+    ]
+    text = F.when(F.col("o_orderkey") % 3 == 0, ways[0]).when(F.col("o_orderkey") % 3 == 1, ways[1]).otherwise(ways[2])
+    return load(spark, sf_dir, "orders").select("o_orderkey", pay.parse_salary(text, F.lit("IT")).alias("p")).select("o_orderkey", "p.min", "p.max", "p.currency", "p.period", "p.gross_net")
+
+
+@query("language_score", None)
+def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by its frequent words."""
+    return load(spark, sf_dir, "documents").select("doc_id", rules.description_lang(F.col("text")).alias("language"))
+
+
+@query("scrub_pii", None)
+def scrub_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without addresses and numbers."""
+    return load(spark, sf_dir, "documents").select("doc_id", text.scrub_personal_data(F.col("text")).alias("text"))
+
+
+@query("clean_html", None)
+def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every page."""
+    return load(spark, sf_dir, "pages").select("page_id", text.clean_html(F.col("html")).alias("text"))
+
+
+@query("normalize_text", r"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(replace(replace(strip_accents(replace(replace(text, 'ß', '')," + " chr(8230), '...')), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[''’`]', '', 'g'), '[^a-z0-9]+', ' ', 'g')) AS text FROM documents WHERE lang <> 'de'")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a language that folds alike in SQL."""
+    return load(spark, sf_dir, "documents").where("lang <> 'de'").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
+
+
+@query("domain_root", r"SELECT page_id, CASE WHEN len(l) >= 2 THEN replace(l[len(l) - 1], '-', '') END AS root FROM (SELECT page_id, [x FOR x IN string_split(lower(regexp_extract(url, '^https?://([^/?#]*)', 1)), '.') IF x <> '' AND x <> 'www'] AS l FROM pages)")
+def domain_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X8."""
+    return load(spark, sf_dir, "pages").select("page_id", ids.domain_root(F.col("url")).alias("root"))
+
+
+@query("company_slug", "SELECT s_suppkey, trim(regexp_replace(lower(s_name || ' S.p.A.'), '[^a-z0-9]+', '-', 'g'), '-') AS raw_id, replace(trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') || '-spa', '--', '-') AS company_id FROM supplier")
+def company_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers of companies, with the legal form joined."""
+    name = F.concat("s_name", F.lit(" S.p.A."))
+    return load(spark, sf_dir, "supplier").select("s_suppkey", F.regexp_replace(text.normalize_text(name), " ", "-").alias("raw_id"), ids.company_id(name).alias("company_id"))
+
+
+@query("size_band", "SELECT p_partkey, CASE WHEN n >= 1000000 THEN 'metro' WHEN n >= 250000 THEN 'large' WHEN n >= 50000 THEN 'medium' WHEN n > 0 THEN 'small' END AS band FROM (SELECT p_partkey, p_partkey * p_size * 37 AS n FROM part)")
+def size_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C15."""
+    return load(spark, sf_dir, "part").select("p_partkey", places.size_band(F.col("p_partkey") * F.col("p_size") * 37).alias("band"))
+
+
+@query("ngram_geocode", "SELECT c_custkey, CASE WHEN c_nationkey % 4 = 3 THEN 'IT' ELSE concat('L-', c_nationkey) END AS location_id FROM customer")
+def ngram_geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places written around a city's name, looked up in a gazetteer of nations."""
+    gazetteer = load(spark, sf_dir, "locations").select("location_id", F.replace("city", F.lit("_"), F.lit(" ")).alias("city"), F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("region_code"), F.lit("IT").alias("country_code"), "population")
+    k = F.col("c_nationkey")
+    raw = F.when(k % 4 == 3, F.lit("Ufficio centrale, Italy")).otherwise(F.concat(F.lit("Sede di Nation "), k.cast("string"), F.lit(" (centro), Italia")))
+    rows = load(spark, sf_dir, "customer").select("c_custkey", raw.alias("raw"), F.lit("IT").alias("country"), F.lit(None).cast("string").alias("workplace"))
+    return places.geocode(rows, gazetteer).select("c_custkey", "location_id")
+
+
+LABELLED = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'text' WHEN 1 THEN 'structured' ELSE 'none' END AS source, CASE o_custkey % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' ELSE 'gamma' END AS ats, CASE o_orderkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'wrong' WHEN 2 THEN 'partial' WHEN 3 THEN 'missed' ELSE 'none' END AS verdict FROM orders"
+SCORES = "count(*) AS n, round(count(*) FILTER (verdict = 'ok') / nullif(count(*) FILTER (verdict IN ('ok', 'wrong', 'partial')), 0), 6) AS precision, round(count(*) FILTER (verdict IN ('ok', 'partial')) / nullif(count(*) FILTER (verdict IN ('ok', 'partial', 'missed')), 0), 6) AS recall"
+
+
+@query("score_precision_recall", f"WITH l AS ({LABELLED}) SELECT 'TOTAL' AS kind, 'TOTAL' AS value, {SCORES} FROM l UNION ALL SELECT 'source', source, {SCORES} FROM l GROUP BY source UNION ALL SELECT 'ats', ats, {SCORES} FROM l GROUP BY ats")
+def score_precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10, Q7."""
+    return sampling.precision_recall(spark.sql(LABELLED.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders")))
+
+
+@query("sample_strata", None)
+def sample_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stratified sample of ads to label (a sample is the feature)."""
+    rows = load(spark, sf_dir, "ads").select("job_key", "company_id", F.col("salary_transparency").alias("transparency"), F.when(F.col("ral_min_annual").isNotNull(), "text").otherwise("none").alias("source"))
+    return sampling.stratified(rows, 200, 7)
+
+
+@query("cap_per_country", with_views("jobs", "locations") + " SELECT job_key, region FROM (SELECT job_key, region, row_number() OVER (PARTITION BY region ORDER BY job_key) AS n FROM jobs JOIN locations USING (location_id)) WHERE n <= 40")
+def cap_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most 40 ads of each region."""
+    rows = load(spark, sf_dir, "jobs").join(load(spark, sf_dir, "locations").select("location_id", "region"), "location_id").select("job_key", "region")
+    return sampling.capped(rows, ["region"], ["job_key"], 40)
+
+
+@query("fingerprint_counts", r"SELECT ats, slug, 'us' AS instance, count(*) AS n FROM (SELECT 'net' AS ats, lower(unnest(regexp_extract_all(html, '([A-Za-z0-9-]+)\.example\.net', 1))) AS slug FROM (SELECT html || ' ' || url AS html FROM pages) UNION ALL SELECT 'com', lower(unnest(regexp_extract_all(html, '([A-Za-z0-9-]+)\.example\.com', 1))) FROM (SELECT html || ' ' || url AS html FROM pages)) WHERE slug NOT IN ('www', 'api', 'app', 'embed', 'static', 'assets', 'cdn', 'help', 'support', 'jobs', 'careers', 'js', 'css') GROUP BY ALL")
+def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts named in pages, counted like boards' fingerprints."""
+    pages = load(spark, sf_dir, "pages").select("page_id", F.concat_ws(" ", "html", "url").alias("html"))
+    return registry.merged(registry.fingerprints(pages, patterns={"net": r"([A-Za-z0-9-]+)\.example\.net", "com": r"([A-Za-z0-9-]+)\.example\.com"}))
+
+
+@query("career_link_score", None)
+def career_link_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best links of every page."""
+    links = load(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("url"))
+    scored = links.groupBy("page_id", "url").agg(F.max(ids.career_link_score(F.col("url"), F.col("url"))).alias("score"))
+    return sampling.capped(scored, ["page_id"], [F.desc("score"), "url"], 3)
