@@ -23,7 +23,7 @@ from wagewright.llm.common import stored, text_batches
 
 #: Chunks that a worker keeps with their token ids, twice: a full table becomes the old one, from which entries in use
 #: are taken over.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 #: Chunks that are one word to the tokenizer, and change only their case when normalised.
 WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: A full stop or comma beside another sign (or a letter that becomes a letter and a sign); together they may be one token.
