@@ -215,7 +215,10 @@ def test_packing(spark, odd_rows, tokenizer):
             assert offset == at
             at += length
         assert at <= 512
-    assert len(bins) <= -(-sum(k[3] * n for k, n in want.items()) // 512) + 1
+    lengths = collections.Counter()
+    for k, n in want.items():
+        lengths[k[3]] += n
+    assert len(bins) <= packing.lower_bound(lengths, 512) + 1
     assert packing.pack(docs_of(spark, []), tokenizer).count() == 0
 
 
@@ -230,8 +233,39 @@ def test_bin_plans_are_near_the_bound():
             for x in filling:
                 used[x] += times
         assert used == counts
-        bound = max(-(-sum(k * n for k, n in counts.items()) // 100), sum(n for k, n in counts.items() if k > 50))
-        assert sum(t for _, t in plan) <= bound + 1 + bound // 20, seed
+        bound = packing.lower_bound(counts, 100)
+        assert bound <= sum(t for _, t in plan) <= bound + 1, seed
+
+
+def fewest_bins(items, capacity):
+    """Exhaustive: items in descending order, each into every different open bin or a new one."""
+    best = [len(items)]
+
+    def go(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(rooms)
+            return
+        for room in {r for r in rooms if r >= items[i]}:
+            rest = list(rooms)
+            rest[rest.index(room)] -= items[i]
+            go(i + 1, rest)
+        go(i + 1, [*rooms, capacity - items[i]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_bin_plans_against_exhaustive_search():
+    rng = random.Random(9)
+    worse = 0
+    for _ in range(60):
+        items = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 10))), reverse=True)
+        made, fewest = sum(t for _, t in packing.plan_bins(dict(collections.Counter(items)), 20)), fewest_bins(items, 20)
+        assert packing.lower_bound(collections.Counter(items), 20) <= fewest <= made <= fewest + 1
+        worse += made > fewest
+    assert worse <= 3
 
 
 def test_brown(spark, odd_rows):

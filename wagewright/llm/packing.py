@@ -189,6 +189,24 @@ def completions(stock: _Stock, largest: int, capacity: int, wanted: int = 3, nod
     return sorted(best, key=lambda f: (best[f], [-x for x in f]))[:wanted]
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Bins that any packing needs: for each k, lengths over half take a bin each, and those from k up to a half only
+    find room beside lengths of at most capacity - k."""
+    size = np.zeros(capacity + 1, dtype=np.int64)
+    for x, n in counts.items():
+        size[x] = n
+    number = np.concatenate([[0], np.cumsum(size)])  # number[x]: of lengths below x
+    total = np.concatenate([[0], np.cumsum(size * np.arange(capacity + 1))])
+    half, best = capacity // 2, 0
+    for k in range(half + 1):
+        large = number[-1] - number[half + 1]
+        beside = number[capacity - k + 1] - number[half + 1]
+        room = beside * capacity - (total[capacity - k + 1] - total[half + 1])
+        small = total[half + 1] - total[k]
+        best = max(best, large + max(0, -(-(small - room) // capacity)))
+    return int(best)
+
+
 def plan_bins(counts: dict[int, int], capacity: int, descents: int = 6) -> list[tuple[tuple[int, ...], int]]:
     """(filling, times) of a packing of ``counts`` (length: how many) into as few bins as found.
 
@@ -199,8 +217,7 @@ def plan_bins(counts: dict[int, int], capacity: int, descents: int = 6) -> list[
     """
     counts = {k: n for k, n in counts.items() if n}
     total = sum(k * n for k, n in counts.items())
-    over_half = sum(n for k, n in counts.items() if 2 * k > capacity)
-    bound = max(-(-total // capacity), over_half)
+    bound = lower_bound(counts, capacity)
     incumbent: list[tuple[tuple[int, ...], int]] = []
     bins = None
     for odd_step in range(-1, descents - 1):
