@@ -254,12 +254,12 @@ def posting_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", rules.posting_period(posted, F.lit("1998-06-01").cast("date")).alias("period"))
 
 
-@query("annualize", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN CASE WHEN y BETWEEN 5000 AND 500000 THEN y END END AS annual FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN round(o_totalprice / 100, 2) * CASE o_orderkey % 2 WHEN 0 THEN 14 ELSE 12 END END AS y FROM orders)")
+@query("annualize", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN CASE WHEN y BETWEEN 5000 AND 500000 THEN y END END AS annual FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN floor(o_totalprice / 100) * CASE o_orderkey % 2 WHEN 0 THEN 14 ELSE 12 END END AS y FROM orders)")
 def annualize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P9, P10."""
     k = F.col("o_orderkey")
     period = F.when(k % 3 == 0, "year").when(k % 3 == 1, "month").otherwise("hour")
-    value = F.when(k % 3 == 1, F.round(F.col("o_totalprice") / 100, 2)).otherwise(F.col("o_totalprice"))
+    value = F.when(k % 3 == 1, F.floor(F.col("o_totalprice") / 100).cast("double")).otherwise(F.col("o_totalprice"))
     months = pay.months_of(F.when(k % 2 == 0, "IT").otherwise("DE"), F.lit(False))
     return load(spark, sf_dir, "orders").select("o_orderkey", pay.annualize(value, period, F.when(k % 5 == 0, "USD").otherwise("EUR"), F.when(k % 7 == 0, "net").otherwise("gross"), months).alias("annual"))
 
