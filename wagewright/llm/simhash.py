@@ -22,7 +22,7 @@ from wagewright.llm.common import LOWER_BYTES, row_key, stored, text_batches
 from wagewright.llm.components import connected_components
 
 BITS = 64
-#: Fingerprints, least hash first, from which correlations of bits and candidate counts are estimated.
+#: About how many fingerprints, chosen by a hash, from which correlations of bits and candidate counts are estimated.
 SAMPLE = 4096
 #: Cost of one probe in candidates that are only verified.
 PROBE_COST = 1.0
@@ -116,9 +116,9 @@ def links(prints: DataFrame, radius: int = 3, m: int = 2) -> DataFrame:
     No pair is lost: thresholds only change which probe finds it.
     """
     spark = prints.sparkSession
-    head = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
-    sample = np.array([r["fp"] for r in head.collect()], dtype=np.int64).view(np.uint64)
     n = prints.count()
+    some = prints.where(F.pmod(F.xxhash64("fp"), F.lit(max(n, 1))) < SAMPLE)
+    sample = np.array(sorted(r["fp"] for r in some.select("fp").collect()), dtype=np.int64).view(np.uint64)
     m = max(1, min(m, radius + 1))
     groups, total = bit_groups(sample, m), radius - m + 1
     whole = [sum(1 << b for b in own) for own in groups]
