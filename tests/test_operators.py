@@ -70,8 +70,7 @@ def random_ads(spark, seed, n):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_disclosure_levels_equal_a_sequential_pass(spark, seed):
     ads = random_ads(spark, seed, 160)
-    counts = cube.company_counts(ads).persist()
-    all_cells = cube.cells(ads, counts).persist()
+    all_cells, counts = (x.persist() for x in cube.cells_and_counts(ads))
     got = disclosure.hide_differences(disclosure.primary(all_cells), counts).where("visible")
     plain_cells: dict[tuple, dict] = {}
     for r in counts.collect():

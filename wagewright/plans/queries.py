@@ -36,9 +36,8 @@ def cube_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("published_cells", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT * FROM published")
 def published_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells that may be published."""
-    ads = load(spark, sf_dir, "ads")
-    counts = written(cube.company_counts(ads), "counts")
-    return disclosure.published(written(cube.cells(ads, counts), "cells"), counts)
+    found, counts = cube.cells_and_counts(load(spark, sf_dir, "ads"))
+    return disclosure.published(written(found, "cells"), counts)
 
 
 def ads_with(sql: str) -> str:
@@ -68,9 +67,8 @@ def disclosure_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("disclosure_difference", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT {', '.join(cube.CELL)}, n_jobs FROM pc")
 def disclosure_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells left after the difference rule."""
-    ads = load(spark, sf_dir, "ads")
-    counts = written(cube.company_counts(ads), "counts")
-    return disclosure.hide_differences(disclosure.primary(written(cube.cells(ads, counts), "cells")), counts).where("visible").select(*cube.CELL, "n_jobs")
+    found, counts = cube.cells_and_counts(load(spark, sf_dir, "ads"))
+    return disclosure.hide_differences(disclosure.primary(written(found, "cells")), counts).where("visible").select(*cube.CELL, "n_jobs")
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
