@@ -54,10 +54,3 @@ def fold(doc_id: Column, n: int) -> Column:
 def row_key(doc_id: Column, text: Column) -> Column:
     """A key by which repeated rows are one document, while two texts under one id (or none) are two."""
     return F.struct(doc_id.alias("id"), F.xxhash64(text).alias("h1"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("h2"))
-
-
-def held_out_n(doc_ids, n: int, remainder: int):
-    """The same fold in Python, for tests."""
-    from zlib import crc32
-
-    return [crc32(b"" if x is None else str(x).encode()) % n == remainder for x in doc_ids]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
