@@ -28,7 +28,7 @@ def test_files(spark, tmp_path):
     regions = spark.createDataFrame([("DE1", None, "Baden-Württemberg", None, None)], "code string, n1 string, n2 string, n3 string, n4 string")
     city = files.european_municipalities(units, regions).collect()
     assert [(r["location_id"], r["city"], r["region"], r["region_code"]) for r in city] == [("DE-08111", "Stuttgart", "Baden-Württemberg", "DE1")]
-    (tmp_path / "sample.csv").write_bytes("﻿url;esito;salary_min\n".encode() + b"u1;s\xec;1\r\nu2;;2\n")
+    (tmp_path / "sample.csv").write_bytes("﻿url;giudizio;salary_min\n".encode() + b"u1;s\xec;1\r\nu2;;2\n")
     sample = files.labelled_sample(spark, str(tmp_path / "sample.csv"))
     assert {tuple(r) for r in sample.select("url", "verdict", "salary_min").collect()} == {("u1", "sì", "1"), ("u2", None, "2")}
     jobs = spark.createDataFrame([("u1", "k", 9.0), ("u2", "k", 8.0)], "url string, job_key string, salary_min double")

@@ -144,6 +144,24 @@ def test_fingerprints(spark):
     assert [(r["ats"], r["slug"], r["instance"], r["n"]) for r in got] == [("lever", "acme", "eu", 2)]
 
 
+def test_registry(spark):
+    found = spark.createDataFrame([("c", "lever", "other", 1), ("c", "lever", "acmespa", 2), ("c", "ashby", "acme", 3)], "company_id string, ats string, slug string, rank int")
+    names = spark.createDataFrame([("c", "Acme S.p.A.")], "company_id string, name string")
+    assert [r["slug"] for r in registry.own_slug_first(found, names).orderBy("rank").collect()] == ["acmespa", "other", "acme"]
+    facets = spark.createDataFrame([("b", "country", "x", 5), ("b", "country", "y", 2), ("b", "city", "z", 6)], "board string, param string, id string, n int")
+    assert [(r["param"], r["ids"]) for r in registry.best_facet(facets).collect()] == [("country", ["x", "y"])]
+    ads = spark.createDataFrame([("b", "1", None, "Milano", None), ("b", "2", None, "London", ["Berlin"]), ("b", "3", "GB", "London", None)], "board string, job_id string, country string, location string, locations_all array<string>")
+    assert tuple(registry.scope_counts(ads).first()) == ("b", 3, 1, 2)
+    tenants = spark.createDataFrame([("c", f"t{i}", i) for i in range(1, 7)], "company_id string, tenant string, t int")
+    servers = spark.createDataFrame([(f"s{i}", i) for i in range(1, 12)], "server string, s int")
+    assert registry.probe_plan(tenants, servers).count() == 2 * 11 + 2 * 4
+
+
+def test_verdicts(spark):
+    rows = spark.createDataFrame([("Sì ", True), ("partly", True), ("ok", False), ("no", False), ("??", True), (None, True)], "v string, found boolean")
+    assert [r["x"] for r in rows.select(sampling.normal_verdict(F.col("v"), F.col("found")).alias("x")).collect()] == ["ok", "partial", "none", "missed", None, None]
+
+
 def test_sources(spark):
     def ads(ats, body, **more):
         row = {"board": "b", "body": body, **more}

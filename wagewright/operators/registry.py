@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagewright.functions.ids import company_id, core_tokens
+from wagewright.functions.places import scope_country
+
 # System and the pattern whose first group is a board's slug.
 FINGERPRINTS = {
     "greenhouse": r"(?:boards|job-boards)(?:\.eu)?\.greenhouse\.io/(?:embed/job_board(?:/js)?\?for=)?([A-Za-z0-9_-]+)",
@@ -51,9 +54,81 @@ def ranked(found: DataFrame, key: str) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
 
 
-def confidence(method: Column, jobs: Column, italian: Column, match: Column) -> Column:
-    """high, medium or low, from how a board was found and what it holds."""
-    return F.when((method == "fingerprint") & (jobs > 0), "high").when((match == "strong") & (jobs > 0), "high").when((match == "weak") & (italian > 0), "medium").when(method == "fingerprint", "medium").otherwise("low")
+def confidence(method: Column, ok: Column, error: Column, jobs: Column, match: Column) -> Column:
+    """high: ready to crawl; medium: likely; low: to be looked at.
+
+    A fingerprint on the company's own site is strong evidence: it stays medium without ads, without the name in them,
+    or where the service only asked for a pause.
+    """
+    seen, own = ok & (jobs > 0), method == "fingerprint"
+    return F.when(own & ~ok & (error == "HostBlocked"), "medium").when(own & ok & (jobs == 0), "medium").when(~F.coalesce(seen, F.lit(False)), "low").when(match == "strong", "high").when(own, "medium").otherwise("low")
+
+
+def out_of_scope(jobs_scope: Column, jobs_italy: Column) -> Column:
+    """The board's ads are counted and none is in an observed country."""
+    return F.coalesce(F.coalesce(jobs_scope, jobs_italy) == 0, F.lit(False))
+
+
+def own_slug_first(found: DataFrame, companies: DataFrame, key: str = "company_id") -> DataFrame:
+    """Per company the fingerprints in order: within the first one's system those first whose slug holds the company's name.
+
+    found: key, ats, slug, rank; companies: key, name.
+    """
+    names = F.filter(F.concat(F.array(F.replace(company_id(F.col("name")), F.lit("-"), F.lit(""))), core_tokens(F.col("name"))), lambda n: F.length(n) >= 4)
+    rows = found.join(companies.select(key, names.alias("_names")), key)
+    top = F.first("ats").over(Window.partitionBy(key).orderBy("rank"))
+    own = F.exists("_names", lambda n: F.contains(F.lower(F.coalesce("slug", F.lit(""))), n))
+    marked = rows.withColumn("_top", top).withColumn("_own", own)
+    order = [F.desc(F.col("ats") == F.col("_top")), F.desc((F.col("ats") == F.col("_top")) & F.col("_own")), F.asc("rank")]
+    return marked.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).drop("_names", "_top", "_own")
+
+
+def discovery(rows: DataFrame) -> DataFrame:
+    """The registry's verdict of each company from columns computed before: the first that applies.
+
+    rows: fp_ats (NULL: no fingerprint), fp_slug, fp_supported, fp_partial, fp_ok, fp_error, fp_jobs, fp_match, careers_url,
+    probe_ats (NULL: no probe succeeded), probe_slug, probe_confidence. Adds ats, slug_or_url, supported,
+    detection_method, confidence.
+    """
+    has, good = F.col("fp_ats").isNotNull(), F.coalesce("fp_ok", F.lit(False))
+    blocked = F.coalesce(F.col("fp_error") == "HostBlocked", F.lit(False))
+    sure = confidence(F.lit("fingerprint"), good, F.coalesce("fp_error", F.lit("")), F.coalesce("fp_jobs", F.lit(0)), F.coalesce("fp_match", F.lit("")))
+    supported = F.coalesce(F.col("fp_supported"), F.lit(False))
+    place = F.coalesce("fp_slug", "careers_url")
+
+    def verdict(ats: Column, slug: Column, ready: int, method: Column, how_sure: Column) -> Column:
+        return F.struct(ats.alias("ats"), slug.alias("slug_or_url"), F.lit(ready).alias("supported"), method.alias("detection_method"), how_sure.alias("confidence"))
+
+    own, medium = F.lit("fingerprint"), F.lit("medium")
+    out = (
+        F.when(has & supported & F.coalesce("fp_partial", F.lit(False)) & ~good & ~blocked, verdict(F.col("fp_ats"), place, 0, own, medium))
+        .when(has & supported & (sure != "low"), verdict(F.col("fp_ats"), F.col("fp_slug"), 1, own, sure))
+        .when(has & ~supported, verdict(F.col("fp_ats"), place, 0, own, medium))
+        .when(F.col("probe_ats").isNotNull(), verdict(F.col("probe_ats"), F.col("probe_slug"), 1, F.lit("probe"), F.col("probe_confidence")))
+        .when(has, verdict(F.col("fp_ats"), F.col("fp_slug"), 1, own, F.lit("low")))
+        .otherwise(verdict(F.lit("none"), F.lit(None).cast("string"), 0, F.lit(None).cast("string"), F.lit("low")))
+    )
+    return rows.withColumn("_v", out).select(*rows.columns, "_v.*")
+
+
+def best_site(sites: DataFrame, key: str = "host") -> DataFrame:
+    """Per host the site with most ads in scope, then most ads, then the first: sites has site, ordinal, scope, total."""
+    return sites.groupBy(key).agg(F.max_by("site", F.struct("scope", "total", -F.col("ordinal"))).alias("site"))
+
+
+def best_facet(facets: DataFrame, key: str = "board") -> DataFrame:
+    """Per board the filter that covers most ads, with its values: facets has param, id, n."""
+    summed = facets.groupBy(key, "param").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list("id")).alias("ids"))
+    return summed.groupBy(key).agg(F.max_by(F.struct("param", "ids"), F.struct("n", "param")).alias("f")).select(key, "f.*")
+
+
+def scope_counts(ads: DataFrame) -> DataFrame:
+    """Per board all ads, those with a place in Italy and those in any observed country."""
+    each = F.concat(F.array("location"), F.coalesce("locations_all", F.array().cast("array<string>")))
+    rows = ads.select("board", "job_id", "country", F.explode(each).alias("place"))
+    cc = scope_country(F.col("place"), F.col("country"))
+    by_ad = rows.withColumn("cc", cc).groupBy("board", "job_id").agg(F.max((F.col("cc") == "IT").cast("int")).alias("it"), F.max(F.col("cc").isNotNull().cast("int")).alias("any"))
+    return by_ad.groupBy("board").agg(F.count("*").alias("n_jobs_total"), F.coalesce(F.sum("it"), F.lit(0)).alias("n_jobs_italy"), F.coalesce(F.sum("any"), F.lit(0)).alias("n_jobs_scope"))
 
 
 def needs_check(last_checked: Column, today: Column, days: int, force: bool = False, changed: Column | None = None) -> Column:

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 QUOTAS = {"text": 120, "structured": 20, "vague": 30, "none": 30}
 PER_COMPANY = 8
 #: Accepted spellings of each verdict.
-VERDICTS = {"ok": ["ok", "si", "sì", "yes", "y", "correct", "giusto"], "wrong": ["wrong", "no", "errato", "sbagliato"], "partial": ["partial", "parziale"], "missed": ["missed", "mancato", "perso"], "none": ["none", "nessuno", "assente"]}
+VERDICTS = {
+    "ok": "ok, correct, right, yes, corretto, corretta, giusto, giusta, si, sì, vero".split(", "),
+    "wrong": "wrong, no, errato, errata, sbagliato, sbagliata, falso".split(", "),
+    "partial": "partial, partly, parziale, parzialmente, quasi".split(", "),
+    "missed": "missed, missing, mancata, mancato, persa, perso, non trovata".split(", "),
+    "none": "none, nessuna, nessuno, assente, niente".split(", "),
+}
 
 
 def quotas(size: int) -> dict[str, int]:

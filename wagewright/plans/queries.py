@@ -366,3 +366,41 @@ def career_link_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = load(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("url"))
     scored = links.groupBy("page_id", "url").agg(F.max(ids.career_link_score(F.col("url"), F.col("url"))).alias("score"))
     return sampling.capped(scored, ["page_id"], [F.desc("score"), "url"], 3)
+
+
+CANDIDATES = """SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN 'alpha' END AS fp_ats, CASE WHEN s_suppkey % 3 <> 0 THEN concat('s', s_suppkey) END AS fp_slug, s_suppkey % 7 <> 0 AS fp_supported, s_suppkey % 4 = 0 AS fp_partial,
+  s_suppkey % 6 <> 0 AS fp_ok, CASE WHEN s_suppkey % 12 = 0 THEN 'HostBlocked' ELSE 'HTTP 404' END AS fp_error, s_nationkey % 3 AS fp_jobs, CASE WHEN s_nationkey % 2 = 0 THEN 'strong' END AS fp_match, concat('https://c', s_suppkey) AS careers_url,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'beta' END AS probe_ats, concat('p', s_suppkey) AS probe_slug, 'medium' AS probe_confidence FROM supplier"""
+
+
+@query("discovery_cascade", f"""WITH c AS ({CANDIDATES}), s AS (SELECT *, CASE WHEN NOT fp_ok THEN CASE WHEN fp_error = 'HostBlocked' THEN 'medium' ELSE 'low' END WHEN fp_jobs > 0 AND fp_match = 'strong' THEN 'high' ELSE 'medium' END AS sure FROM c),
+  k AS (SELECT *, CASE WHEN fp_ats IS NOT NULL AND fp_supported AND fp_partial AND NOT fp_ok AND fp_error <> 'HostBlocked' THEN 1 WHEN fp_ats IS NOT NULL AND fp_supported AND sure <> 'low' THEN 2
+    WHEN fp_ats IS NOT NULL AND NOT fp_supported THEN 3 WHEN probe_ats IS NOT NULL THEN 4 WHEN fp_ats IS NOT NULL THEN 5 ELSE 6 END AS k FROM s)
+  SELECT s_suppkey, CASE k WHEN 4 THEN probe_ats WHEN 6 THEN 'none' ELSE fp_ats END AS ats, CASE WHEN k IN (1, 3) THEN coalesce(fp_slug, careers_url) WHEN k = 4 THEN probe_slug WHEN k IN (2, 5) THEN fp_slug END AS slug_or_url,
+    CASE WHEN k IN (2, 4, 5) THEN 1 ELSE 0 END AS supported, CASE WHEN k = 4 THEN 'probe' WHEN k < 6 THEN 'fingerprint' END AS detection_method, CASE WHEN k IN (1, 3) THEN 'medium' WHEN k = 2 THEN sure WHEN k = 4 THEN probe_confidence ELSE 'low' END AS confidence FROM k""")
+def discovery_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What discovery concludes for each company."""
+    rows = spark.sql(CANDIDATES.replace("FROM supplier", "FROM {supplier}"), supplier=load(spark, sf_dir, "supplier"))
+    return registry.discovery(rows).select("s_suppkey", "ats", "slug_or_url", "supported", "detection_method", "confidence")
+
+
+@query("best_site", "SELECT host, arg_max(site, (scope, total, -ordinal)) AS site FROM (SELECT concat('h', o_custkey % 40) AS host, concat('s', o_orderkey) AS site, o_orderkey AS ordinal, o_custkey % 6 AS scope, CAST(floor(o_totalprice / 1000) AS BIGINT) AS total FROM orders) GROUP BY host")
+def best_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best site of each host."""
+    k = F.col("o_custkey")
+    rows = load(spark, sf_dir, "orders").select(F.concat(F.lit("h"), k % 40).alias("host"), F.concat(F.lit("s"), "o_orderkey").alias("site"), F.col("o_orderkey").alias("ordinal"), (k % 6).alias("scope"), F.floor(F.col("o_totalprice") / 1000).alias("total"))
+    return registry.best_site(rows)
+
+
+@query("override_precedence", "SELECT s_suppkey AS company_id, CASE WHEN s_suppkey % 4 = 0 THEN 'hand' ELSE concat('ats', s_nationkey) END AS ats, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_name END AS slug FROM supplier")
+def override_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows set by hand replace discovered ones, NULLs too."""
+    rows = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"), F.concat(F.lit("ats"), "s_nationkey").alias("ats"), F.col("s_name").alias("slug"))
+    by_hand = rows.where("company_id % 4 = 0").select("company_id", F.lit("hand").alias("ats"), F.lit(None).cast("string").alias("slug"))
+    return registry.with_overrides(rows, by_hand)
+
+
+@query("recheck_due", "SELECT event_id, date_diff('day', CAST(ts AS DATE), DATE '2024-01-31') >= 14 OR user_id % 10 = 0 AS due FROM events")
+def recheck_due(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """boards to look at again."""
+    return load(spark, sf_dir, "events").select("event_id", registry.needs_check(F.to_date("ts"), F.lit("2024-01-31").cast("date"), 14, changed=F.col("user_id") % 10 == 0).alias("due"))

@@ -17,7 +17,7 @@ from wagewright.schema import conform
 #: Length of a region's code within a municipality's, by country.
 REGION_CODE = {"DE": 3, "NL": 4, "FR": 3}
 #: Columns of samples of earlier versions.
-OLD_COLUMNS = {"esito": "verdict", "note": "notes", "giudizio": "verdict"}
+OLD_COLUMNS = {"giudizio": "verdict", "note": "notes", "frasi_trovate": "matched_phrases", "contesto": "context"}
 
 
 def companies(spark: SparkSession, path: str) -> DataFrame:
