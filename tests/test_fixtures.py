@@ -166,3 +166,11 @@ def test_places(spark):
 def test_scope(spark):
     rows = {("Munich, Bavaria", None): "DE", (None, "NLD"): "NL", ("Paris La Défense", None): "FR", ("Milan, Lombardy", None): "IT", ("London, United Kingdom", None): None}
     assert many(spark, places.scope_country(F.col("l"), F.col("c")), list(rows), ["l", "c"]) == list(rows.values())
+
+
+def test_sql_functions(spark):
+    from wagewright.functions import sql
+
+    assert "pay_parse" in sql.register(spark)
+    row = spark.sql("SELECT pay_size_band(60000) a, pay_annual(2000, 'month', NULL, 'gross', 14) b, pay_annual(2000, 'month', 'EUR', 'net', 14) c, pay_share(1, 8) d, pay_shown(35000, 40000) e, pay_parse('RAL 35.000 €', 'IT').min f").first()
+    assert tuple(row) == ("medium", 28000, None, 12.5, "€35,000 - €40,000", 35000)
