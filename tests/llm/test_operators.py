@@ -237,6 +237,17 @@ def test_bin_plans_are_near_the_bound():
         assert bound <= sum(t for _, t in plan) <= bound + 1, seed
 
 
+@pytest.mark.parametrize("counts", [{1: 500}, {1: 9000}, {4096: 2, 4000: 3, 2: 700, 1: 5000}, {9: 450, 8: 3}])
+def test_bins_of_many_tiny_pieces(counts):
+    used, made = collections.Counter(), 0
+    for filling, times in packing.plan_bins(dict(counts), 4096):
+        assert sum(filling) <= 4096
+        made += times
+        for x in filling:
+            used[x] += times
+    assert used == counts and made == packing.lower_bound(counts, 4096)
+
+
 def fewest_bins(items, capacity):
     """Exhaustive: items in descending order, each into every different open bin or a new one."""
     best = [len(items)]

@@ -153,14 +153,26 @@ class _Stock:
         return self.lengths[at] if at >= 0 else 0
 
 
+def best_fit(stock: _Stock, largest: int, capacity: int) -> tuple[int, ...]:
+    """The filling of ``largest`` and then the largest that fits, again and again, one step for each length."""
+    filling, used, room = [largest], {largest: 1}, capacity - largest
+    while x := stock.largest_within(room, used):
+        n = min(room // x, stock.counts[x] - used.get(x, 0))
+        filling += [x] * n
+        used[x] = used.get(x, 0) + n
+        room -= n * x
+    return tuple(filling)
+
+
 def completions(stock: _Stock, largest: int, capacity: int, wanted: int = 3, nodes: int = 400) -> list[tuple[int, ...]]:
     """The best undominated fillings around ``largest``, least waste first.
 
-    The incumbent is the best-fit filling (largest that fits, again and again). The search adds lengths in
-    descending order. A branch ends where a single length fills the room exactly, as that dominates every filling
+    The incumbent is the best-fit filling, which is there before the search: its budget of nodes only cuts
+    alternatives. The search adds lengths in descending order. A branch ends where a single length fills the room exactly, as that dominates every filling
     of smaller ones, and where it can't waste less than the fillings already kept.
     """
-    best: dict[tuple[int, ...], int] = {}
+    incumbent = best_fit(stock, largest, capacity)
+    best: dict[tuple[int, ...], int] = {incumbent: capacity - sum(incumbent)}
     left = [nodes]
 
     def worst() -> int:
