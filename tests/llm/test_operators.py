@@ -380,6 +380,39 @@ def test_template_blocks_do_not_lose_lines(spark):
     assert len({r["t"] for r in line_dedup.templates_of(rows, 0.8).collect()}) == 1
 
 
+def greedy_templates(lines, similarity):
+    """Brute force: {h: h of the template's first line} of one leaf's (sig, h)."""
+    templates, out = [], {}
+    for sig, h in sorted(lines):
+        same = [sum(a == b for a, b in zip(t, sig, strict=True)) for t, _ in templates]
+        best = same.index(max(same)) if same else -1
+        if best >= 0 and same[best] >= similarity * len(sig):
+            t, first = templates[best]
+            templates[best] = ["*" if a != b else a for a, b in zip(t, sig, strict=True)], first
+        else:
+            templates.append((list(sig), h))
+            best = len(templates) - 1
+        out[h] = templates[best][1]
+    return out
+
+
+def test_templates_of_large_leaves(spark):
+    rng = random.Random(5)
+    signs = [chr(43 + k) for k in range(83)]
+    rows, want = [], {}
+    for leaf, (width, unlike, alphabet) in enumerate([(12, 900, signs), (10, 700, signs[:5]), (3, 60, signs), (6, 50, signs), (24, 300, ["*", *signs[:3]])]):
+        sigs = {"".join(rng.choices(alphabet, k=width)) for _ in range(unlike)}
+        for sig in rng.sample(sorted(sigs), 40):  # recurring, with one field that varies
+            at = rng.randrange(width)
+            sigs |= {sig[:at] + rng.choice(alphabet) + sig[at + 1 :] for _ in range(2)}
+        own = [(sig, 10_000 * leaf + k) for k, sig in enumerate(rng.sample(sorted(sigs), len(sigs)))]
+        rows += [(leaf, h, sig) for sig, h in own]
+        want |= greedy_templates(own, 0.8)
+    lines = spark.createDataFrame(rows, "leaf long, h long, sig string")
+    for block in (line_dedup.BLOCK, 3):
+        assert {r["h"]: r["t"] for r in line_dedup.templates_of(lines, 0.8, block).collect()} == want
+
+
 def line_dedup_sign(token):
     return chr(zlib.crc32(token.encode()) % 83 + 43)
 

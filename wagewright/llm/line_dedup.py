@@ -5,15 +5,17 @@ variable fields. Under one leaf, lines that agree in enough positions form a tem
 differ become variable too. A template that occurs in several documents is recurring: its first line (by doc_id, then
 by place) stays and all its other lines are dropped.
 
-Only the distinct lines of leaves that hold more than one of them are parsed further, in blocks of bounded size. A
-line travels as its signature, one sign for each token, so that whole texts are not shuffled for it.
+Only the distinct lines of leaves that hold more than one of them are parsed further, a leaf in one pass and in the
+order of its signatures. A line travels as its signature, one sign for each token, so that whole texts are not shuffled
+for it.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ from wagewright.llm.common import row_key, stored, text_batches
 
 VARIABLE = "<*>"
 DIGIT = re.compile("[0-9]")
-#: Distinct lines of a leaf that are parsed together; a larger leaf is parsed in blocks, whose templates are then merged.
+#: Templates of a leaf up to which a line is compared with each of them; beyond it an index names those that can match.
 BLOCK = 256
 #: Documents with dropped lines up to which their line numbers are broadcast; beyond it the texts are shuffled once.
 BROADCAST_ROWS = 200_000
@@ -83,77 +85,84 @@ def lines_of(keyed: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     return rows.select(own.alias("key"), "line_no", "leaf", "h", "sig")
 
 
-def parse_block(lines: list[str], similarity: float) -> list[tuple[int, str]]:
-    """For each signature (all of one length, in order) the index of its template's first line, and the template.
-
-    A line joins the template that most positions agree with, if they are at least the given share; positions that
-    differ become variable. Otherwise it starts a template.
-    """
-    table = np.frombuffer("".join(lines).encode("latin-1"), dtype=np.uint8).reshape(len(lines), -1)
-    need = similarity * table.shape[1]
-    templates, first, of = np.empty_like(table), [], []
-    for k, row in enumerate(table):
-        same = (templates[: len(first)] == row).sum(1)
-        best = int(same.argmax()) if len(first) else -1
-        if best >= 0 and same[best] >= need:
-            templates[best][templates[best] != row] = ord("*")
-        else:
-            best = len(first)
-            templates[best] = row
-            first.append(k)
-        of.append(best)
-    return [(first[t], templates[t].tobytes().decode("latin-1")) for t in of]
+class Leaf:
+    """Templates of one leaf, whose signatures have one width.
 
+    A line joins the template that most positions agree with (the first of equals), if they are at least the given
+    share; positions that differ become variable. Otherwise it starts a template.
 
-def _parse(lines: DataFrame, similarity: float) -> DataFrame:
-    """lines: leaf, block, h, sig. Returns leaf, h, t (h of the template's first line), template (a signature)."""
+    If up to d positions may differ, then of d + 1 segments at least one agrees as a whole. So beyond ``block``
+    templates a line is only compared with those that hold one of its segments, which loses none that can match.
+    """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            last = (rest["leaf"] == rest["leaf"].iloc[-1]) & (rest["block"] == rest["block"].iloc[-1])
-            yield from groups(rest[~last])
-            rest = rest[last]
-        if rest is not None:
-            yield from groups(rest)
-
-    def groups(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        leaf, block, h, sig = (rows[c].to_numpy() for c in ("leaf", "block", "h", "sig"))
-        if not len(leaf):
-            return
-        cuts = np.flatnonzero((leaf[1:] != leaf[:-1]) | (block[1:] != block[:-1])) + 1
-        t, shown = [], []
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(leaf)], strict=True):
-            for first, template in parse_block(sig[a:b].tolist(), similarity):
-                t.append(h[a + first])
-                shown.append(template)
-        yield pd.DataFrame({"leaf": leaf, "h": h, "t": np.array(t, dtype=np.int64), "template": shown})
-
-    dealt = lines.repartition("leaf", "block").sortWithinPartitions("leaf", "block", "sig", "h")
-    return dealt.select("leaf", "block", "h", "sig").mapInPandas(parse, "leaf long, h long, t long, template string")
+    def __init__(self, width: int, similarity: float, block: int = BLOCK):
+        self.need = math.ceil(similarity * width)
+        self.segments = width - self.need + 1
+        self.block = block
+        self.table = np.empty((4, width), dtype=np.uint8)
+        self.first: list[int] = []
+        self.index: dict[tuple[int, bytes], set[int]] | None = None
+
+    def _enter(self, template: int, segments: Iterable[int]) -> None:
+        line = self.table[template].tobytes()
+        for s in segments:
+            self.index.setdefault((s, line[s :: self.segments]), set()).add(template)
+
+    def _leave(self, template: int, segments: Iterable[int]) -> None:
+        line = self.table[template].tobytes()
+        for s in segments:
+            self.index[s, line[s :: self.segments]].discard(template)
+
+    def place(self, line: bytes, h: int) -> int:
+        """h of the first line of the template that the line joins."""
+        n, row = len(self.first), np.frombuffer(line, dtype=np.uint8)
+        if self.index is None and n > self.block:
+            self.index = {}
+            for template in range(n):
+                self._enter(template, range(self.segments))
+        if self.index is None:
+            near, rows = None, self.table[:n]
+        else:
+            near = sorted(set().union(*(self.index.get((s, line[s :: self.segments]), ()) for s in range(self.segments))))
+            rows = self.table[near]
+        if len(rows):
+            same = (rows == row).sum(1)
+            at = int(same.argmax())
+            if same[at] >= self.need:
+                best = at if near is None else near[at]
+                apart = np.flatnonzero(self.table[best] != row)
+                moved = set((apart % self.segments).tolist()) if self.index is not None else ()
+                self._leave(best, moved)
+                self.table[best][apart] = ord("*")
+                self._enter(best, moved)
+                return self.first[best]
+        if n == len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        self.table[n] = row
+        self.first.append(h)
+        if self.index is not None:
+            self._enter(n, range(self.segments))
+        return h
 
 
 def templates_of(lines: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """lines: leaf, h, sig (distinct). Returns leaf, h, t.
+    """lines: leaf, h, sig (distinct). Returns leaf, h, t (h of the template's first line).
 
-    A leaf of more than a block's lines is parsed in blocks by hash, and then its blocks' templates in blocks by
-    another hash, so no task ever gets an unbounded leaf. In a leaf that keeps more templates than a block holds, two
-    that are alike can stay apart.
+    A leaf's lines pass one by one through one task, which holds the leaf's templates and not its lines.
     """
 
-    def dealt(rows: DataFrame, salt: int) -> DataFrame:
-        counts = rows.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        return rows.join(counts, "leaf").withColumn("block", F.pmod(F.xxhash64("h", F.lit(salt)), F.col("blocks")).cast("int"))
-
-    placed = dealt(lines, 0)
-    first = stored(_parse(placed, similarity).join(placed.where("blocks > 1").select("leaf", F.lit(True).alias("split")).distinct(), "leaf", "left"), "templates")
-    split = first.where("split")
-    if split.isEmpty():
-        return first.select("leaf", "h", "t")
-    kept = split.groupBy("leaf", F.col("t").alias("h")).agg(F.min("template").alias("sig"))
-    merged = _parse(dealt(kept, 1), similarity).select("leaf", F.col("h").alias("t"), F.col("t").alias("to"))
-    return first.join(merged, ["leaf", "t"], "left").select("leaf", "h", F.coalesce("to", "t").alias("t"))
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, templates = None, None
+        for batch in batches:
+            t = []
+            for leaf, h, sig in zip(batch["leaf"].tolist(), batch["h"].tolist(), batch["sig"].tolist(), strict=True):
+                if leaf != now:
+                    now, templates = leaf, Leaf(len(sig), similarity, block)
+                t.append(templates.place(sig.encode("latin-1"), h))
+            yield pd.DataFrame({"leaf": batch["leaf"], "h": batch["h"], "t": np.array(t, dtype=np.int64)})
+
+    dealt = lines.repartition("leaf").sortWithinPartitions("leaf", "sig", "h")
+    return dealt.select("leaf", "h", "sig").mapInPandas(parse, "leaf long, h long, t long")
 
 
 def dedup_lines(docs: DataFrame, min_tokens: int = 3, depth: int = 4, similarity: float = 0.8, min_docs: int = 2) -> DataFrame:
