@@ -71,6 +71,14 @@ def naive_print(text, n=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
 
 
+def test_components_of_long_chains(spark):
+    rng = random.Random(4)
+    path, star = rng.sample(range(-1000, 1000), 1000), rng.sample(range(2000, 2300), 300)
+    edges = [*zip(path, path[1:], strict=False), *((star[0], x) for x in star[1:])]
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == dict.fromkeys(path, min(path)) | dict.fromkeys(star, min(star))
+
+
 def test_simhash(spark, odd_rows):
     got = simhash.near_duplicates(docs_of(spark, odd_rows)).collect()
     assert len(got) == len(odd_rows)

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from wagewright.llm.common import stored
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``edges``: columns a, b (long). Returns node, root: the smallest node of its component.
 
-    Each round takes the least root of the neighbours (an aggregate that combines before the shuffle, so hubs
-    don't gather in one task) and then the root's root, which halves the way to go. Nodes without an edge have no
-    row; an empty graph gives no row. Each round's roots are written to the shared folder.
+    Each round every node takes its least neighbour, if that is smaller, as its parent; the trees that arise are
+    flattened, and the edges between their roots are the graph of the next round. A node that stays a root has either
+    taken in a neighbour or has a smaller one a round later, so two rounds halve the nodes at least, whatever the
+    order of their values, and the loop ends when no edge is left. The least neighbour is an aggregate that combines
+    before the shuffle, so hubs don't gather in one task. Nodes without an edge have no row; an empty graph gives no
+    row. Each step is written to the shared folder.
     """
     both = stored(
         edges.where("a is not null and b is not null and a <> b")
@@ -22,13 +25,29 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots")
-    for _ in range(max_rounds):
-        near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        low = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("low"))
-        up = roots.select(F.col("node").alias("low"), F.col("root").alias("up"))
-        step = stored(low.join(up, "low").select("node", F.least("low", "up").alias("root"), (F.least("low", "up") < F.col("root")).alias("moved")), "roots")
-        roots = step.select("node", "root")
+    roots = None
+    while True:
+        step = flattened(stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots"))
+        if roots is None:
+            roots = step
+        else:
+            up = step.select(F.col("node").alias("root"), F.col("root").alias("up"))
+            roots = stored(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+        ends = [step.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
+        between = both.join(ends[0], "a").join(ends[1], "b").where("root_a <> root_b")
+        both = stored(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "edges")
+        if both.isEmpty():
+            return roots
+
+
+def flattened(parents: DataFrame) -> DataFrame:
+    """``parents``: node, root (of each node a parent of at most its value). Returns them with the tree's root as root.
+
+    Each step takes the parent's parent, which halves the way to go.
+    """
+    while True:
+        up = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        step = stored(parents.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") < F.col("root")).alias("moved")), "roots")
+        parents = step.select("node", "root")
         if step.where("moved").isEmpty():
-            break
-    return roots
+            return parents
