@@ -136,6 +136,14 @@ def test_keep_one(spark, odd_rows):
     assert len(ids) == len(set(ids)) and 40 in ids and 41 not in ids and set(range(1, 30)) <= set(ids)
 
 
+def test_keep_one_of_each_group_whatever_the_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (prose(rng, 150) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, c), (3, c), (7, d), (7, e), (7, e), (9, e)]
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(spark, rows)).collect())
+    assert kept == collections.Counter([(None, a), (None, b), (3, c), (7, d), (7, e)])
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     items = [(i, prose(rng, rng.randint(10, 40))) for i in range(8)] + [(20, "Short item here"), (21, ""), (22, None), (None, prose(rng, 20)), (3, "another text of item three that has more than ten words in it, really")]

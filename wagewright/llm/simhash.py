@@ -158,6 +158,13 @@ def links(prints: DataFrame, radius: int = 3, m: int = 2) -> DataFrame:
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _rooted(prints: DataFrame, least: Column, radius: int, m: int) -> DataFrame:
+    """fp, root, least (of the rows with that fp) for each distinct fp; root is the same for all of a component."""
+    nodes = stored(prints.groupBy("fp").agg(F.min(least).alias("least")), "nodes")
+    roots = connected_components(links(nodes, radius, m)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int = 2) -> DataFrame:
     """doc_id, fp (signed long), fingerprint (16 hex digits), component_id for each row of docs.
 
@@ -167,9 +174,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
     """
     text_batches(docs.sparkSession)
     prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = connected_components(links(nodes, radius, m)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    rooted = _rooted(prints, F.col("doc_id"), radius, m)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     member = rooted.join(least, "root").select("fp", "component_id")
     found = prints.join(member, "fp")
@@ -179,15 +184,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
 def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, m: int = 3) -> DataFrame:
     """One row of each group of near-duplicates, that of the smallest doc_id, with docs' own columns.
 
-    Of repeated rows of that doc_id the one with the least text stays. Rows without a doc_id stay only in groups
-    that have no id at all.
+    A row is known by its id and its text (``row_key``), so unlike texts under one doc_id, or under none, are rows of
+    their own groups. Of rows of that doc_id in one group the one with the least key stays, and of equal ones one.
+    Rows without a doc_id stay only in groups that have no id at all.
     """
-    own = [c for c in docs.columns if c != "doc_id" and c != "text"]
-    marked = docs.select(F.col("doc_id"), F.col("text"), F.struct(*own).alias("__rest") if own else F.lit(0).alias("__rest"), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
-    groups = near_duplicates(docs.select("doc_id", "text"), shingle, radius, m)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    prints = stay.groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    kept = marked.join(prints, marked["doc_id"].eqNullSafe(prints["doc_id"]), "left_semi")
-    first = kept.groupBy(F.col("doc_id").alias("__id")).agg(F.min("__key").alias("__first"))
-    rows = kept.join(first, kept["__key"] == first["__first"]).dropDuplicates(["__key"])
-    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("__rest")[c].alias(c) for c in docs.columns))
+    text_batches(docs.sparkSession)
+    key = row_key(F.col("doc_id"), F.col("text"))
+    prints = stored(docs.select(key.alias("key"), fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
+    rooted = _rooted(prints, F.struct(F.col("key.id").isNull().alias("no_id"), "key"), radius, m)
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("__key"))
+    kept = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
+    return kept.dropDuplicates(["__key"]).select(*docs.columns)
