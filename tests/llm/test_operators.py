@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wagewright.llm import brown, components, cross_polytope, decontaminate, line_dedup, packing, pii, quality, simhash, toxicity, url_filter
+from wagewright.llm import brown, components, cross_polytope, decontaminate, line_dedup, near_texts, packing, pii, quality, simhash, toxicity, url_filter
 
 DOCS = "doc_id long, text string, score double, fingerprint string, key string"
 PLACE = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", strict=True))
@@ -130,7 +130,7 @@ def test_allocation_is_least():
 
 def test_keep_one(spark, odd_rows):
     docs = docs_of(spark, odd_rows)
-    kept = simhash.keep_one(docs)
+    kept = near_texts.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) and 40 in ids and 41 not in ids and set(range(1, 30)) <= set(ids)
@@ -140,7 +140,7 @@ def test_keep_one_of_each_group_whatever_the_ids(spark):
     rng = random.Random(8)
     a, b, c, d, e = (prose(rng, 150) for _ in range(5))
     rows = [(None, a), (None, a), (None, b), (None, c), (3, c), (7, d), (7, e), (7, e), (9, e)]
-    kept = collections.Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(docs_of(spark, rows)).collect())
+    kept = collections.Counter((r["doc_id"], r["text"]) for r in near_texts.keep_one(docs_of(spark, rows)).collect())
     assert kept == collections.Counter([(None, a), (None, b), (3, c), (7, d), (7, e)])
 
 
@@ -541,3 +541,58 @@ def test_attention_gradient():
     for k, v in model.p.items():
         if abs(numeric[k]) > 1e-6:
             assert np.sign(v[(0,) * v.ndim] - signs[k]) == -np.sign(numeric[k]), k
+
+
+def jaccard(a, b, n=5):
+    def shingles(text):
+        words = words_of(text)
+        return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def edited(rng, text, changes):
+    words = text.split()
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("dense", [near_texts.DENSE, 4])
+def test_near_texts_against_brute_force(spark, dense, monkeypatch):
+    monkeypatch.setattr(near_texts, "DENSE", dense)
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        base = prose(rng, rng.randint(60, 200), 3000)
+        rows.append(base)
+        rows += [edited(rng, base, rng.randint(0, 5)) for _ in range(rng.randint(0, 3))]
+    hub = prose(rng, 150, 3000)
+    rows += [edited(rng, hub, 1) for _ in range(30)] + ["a b c d e f g h", "a b c d e f g h i", "a b c d", "a b c d e", "x", "", " "]
+    rows = list(enumerate(rows))
+    kept = {r["doc_id"] for r in near_texts.keep_one(docs_of(spark, rows), recall=0.999).collect()}
+    left, want = {i: t for i, t in rows}, set()
+    while left:
+        first = min(left)
+        want.add(first)
+        todo = [left.pop(first)]
+        while todo:
+            text = todo.pop()
+            close = [i for i, t in left.items() if jaccard(text, t) >= 0.8]
+            todo += [left.pop(i) for i in close]
+    assert kept == want
+
+
+def test_near_texts_have_no_unverified_link(spark):
+    rng = random.Random(13)
+    base = prose(rng, 100, 3000)
+    rows = [(1, base), (2, edited(rng, base, 12)), (3, base + " tail")]
+    assert jaccard(rows[0][1], rows[1][1]) < 0.8 <= jaccard(rows[0][1], rows[2][1])
+    assert {r["doc_id"] for r in near_texts.keep_one(docs_of(spark, rows)).collect()} == {1, 2}
+
+
+def test_sessions_keep_their_settings(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    near_texts.keep_one(docs_of(spark, [(1, "a b"), (2, "a b")]))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

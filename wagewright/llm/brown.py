@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, LOWER_BYTES, fold, stored, text_batches
+from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, LOWER_BYTES, TEXT_ROWS, fold, stored
 
 #: Additive smoothing of word counts.
 ALPHA = 0.1
@@ -136,7 +136,6 @@ def fit(train: DataFrame, clustered: int = 1000, classes: int = 48, end_classes:
 
     ``clustered``: words that exchange clustering assigns; ``head``: words whose counts scoring holds in memory.
     """
-    text_batches(train.sparkSession)
     words = train.select(F.explode(words_column(F.col("text"))).alias("word"))
     counts = stored(words.groupBy("word").agg(F.count("*").alias("c")), "counts")
     ends = train.count()
@@ -170,7 +169,7 @@ def fit(train: DataFrame, clustered: int = 1000, classes: int = 48, end_classes:
         yield pd.DataFrame({"pair": pairs, "n": seen[pairs]})
 
     texts = train.select(F.coalesce("text", F.lit("")).alias("text"))
-    pairs = stored(texts.mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
+    pairs = stored(texts.mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams", TEXT_ROWS)
     bigrams = np.zeros(symbols * symbols)
     for row in range(0, symbols, 400):  # a few columns' worth at a time, so the driver holds little besides the table
         part = pairs.where((F.col("pair") >= row * symbols) & (F.col("pair") < (row + 400) * symbols)).toPandas()
@@ -239,7 +238,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNotNull().alias("has_id"), "held_out", F.coalesce("text", F.lit("")).alias("text"))
     kinds = "n_tokens long, n_known long, base_score double, score double, tail array<binary>, times array<int>, id long, has_id boolean, held_out boolean"
-    near = stored(rows.mapInPandas(add, kinds).withColumn("uid", F.monotonically_increasing_id()), "scored")
+    near = stored(rows.mapInPandas(add, kinds).withColumn("uid", F.monotonically_increasing_id()), "scored", TEXT_ROWS)
 
     # Rarer words: their counts come by a join.
     tail = near.select("uid", F.explode(F.arrays_zip("tail", "times")).alias("e")).select("uid", F.col("e.tail").cast("string").alias("word"), F.col("e.times").alias("times"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import stored
+from wagewright.llm.common import discard, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -32,10 +32,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
             roots = step
         else:
             up = step.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            roots = stored(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+            before, roots = roots, stored(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+            discard(before)
         ends = [step.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b")]
         between = both.join(ends[0], "a").join(ends[1], "b").where("root_a <> root_b")
-        both = stored(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "edges")
+        before, both = both, stored(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "edges")
+        discard(before, None if step is roots else step)
         if both.isEmpty():
             return roots
 
@@ -45,9 +47,11 @@ def flattened(parents: DataFrame) -> DataFrame:
 
     Each step takes the parent's parent, which halves the way to go.
     """
+    before = None
     while True:
         up = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
         step = stored(parents.join(up, "root").select("node", F.col("up").alias("root"), (F.col("up") < F.col("root")).alias("moved")), "roots")
-        parents = step.select("node", "root")
+        discard(before)
+        parents, before = step.select("node", "root"), step
         if step.where("moved").isEmpty():
             return parents

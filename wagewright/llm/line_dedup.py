@@ -23,14 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import row_key, stored, text_batches
+from wagewright.llm.common import TEXT_ROWS, bounded, row_key, stored
 
 VARIABLE = "<*>"
 DIGIT = re.compile("[0-9]")
 #: Templates of a leaf up to which a line is compared with each of them; beyond it an index names those that can match.
 BLOCK = 256
-#: Documents with dropped lines up to which their line numbers are broadcast; beyond it the texts are shuffled once.
-BROADCAST_ROWS = 200_000
 
 
 def line_rows(text: str, min_tokens: int, depth: int, signs: dict[str, str]) -> Iterator[tuple[int, int, int, str]]:
@@ -77,7 +75,6 @@ def lines_of(keyed: DataFrame, min_tokens: int, depth: int) -> DataFrame:
                 at = np.repeat(np.arange(len(part)), [len(own) for own in made])
                 yield pd.concat([part[["has_id", "id", "h1", "h2"]].iloc[at].reset_index(drop=True), rows], axis=1)
 
-    text_batches(keyed.sparkSession)
     # pandas has no null in a column of longs, so ids travel with a flag.
     flat = keyed.select(F.col("key.id").isNotNull().alias("has_id"), F.coalesce("key.id", F.lit(0)).cast("long").alias("id"), "key.h1", "key.h2", "text")
     rows = flat.mapInPandas(cut, "has_id boolean, id long, h1 long, h2 long, line_no int, leaf long, h long, sig string")
@@ -173,7 +170,7 @@ def dedup_lines(docs: DataFrame, min_tokens: int = 3, depth: int = 4, similarity
     Columns of docs named n_lines or n_dropped are replaced.
     """
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").alias("text"))
-    lines = stored(lines_of(keyed.where(F.col("text").isNotNull()), min_tokens, depth), "lines")
+    lines = stored(lines_of(keyed.where(F.col("text").isNotNull()), min_tokens, depth), "lines", TEXT_ROWS)
 
     place = F.struct("key", "line_no")
     distinct = stored(lines.groupBy("leaf", "h").agg(F.min(place).alias("first"), F.max("key").alias("last_key"), F.min("sig").alias("sig")), "distinct")
@@ -190,12 +187,10 @@ def dedup_lines(docs: DataFrame, min_tokens: int = 3, depth: int = 4, similarity
     goes = grown.join(recurring.select("leaf", "t", "stays"), ["leaf", "t"]).select("leaf", "h", "stays")
     dropped = lines.select("key", "line_no", "leaf", "h").join(goes, ["leaf", "h"]).where(place != F.col("stays")).groupBy(F.col("key").alias("__key")).agg(F.array_distinct(F.collect_list("line_no")).alias("__gone"))
     dropped = stored(dropped, "dropped")
-    if dropped.count() <= BROADCAST_ROWS:
-        dropped = F.broadcast(dropped)
 
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("__gone", i)), "\n")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    out = docs.select(*columns, row_key(F.col("doc_id"), F.col("text")).alias("__key")).join(dropped, "__key", "left")
+    out = docs.select(*columns, row_key(F.col("doc_id"), F.col("text")).alias("__key")).join(bounded(dropped), "__key", "left")
     return out.select(
         *(F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest).alias("text") if c == "text" else F.col(c) for c in columns),
         F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0)).cast("long").alias("n_lines"),

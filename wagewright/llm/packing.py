@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import stored, text_batches
+from wagewright.llm.common import TEXT_ROWS, stored
 
 #: Chunks that a worker keeps with their token ids, twice: a full table becomes the old one, from which entries in use
 #: are taken over.
@@ -123,7 +123,6 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id
                     rows.append((doc_id, has_id, piece, at // 4, len(own) // 4, zlib.crc32(own)))
             yield pd.DataFrame(rows, columns=["id", "has_id", "piece", "start", "length", "ids_crc32"])
 
-    text_batches(docs.sparkSession)
     # pandas has no null in a column of longs, so ids travel with a flag.
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNotNull().alias("has_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     cuts = rows.mapInPandas(cut, "id long, has_id boolean, piece int, start long, length long, ids_crc32 long")
@@ -260,7 +259,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     Pieces of a sequence lie one after the other from 0 and take at most ``capacity`` tokens. No documents, no rows.
     """
     spark = docs.sparkSession
-    pieces = stored(pieces_of(docs, tokenizer_path, capacity, end_id).withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(RANK_PARTS)).cast("int")), "pieces")
+    pieces = stored(pieces_of(docs, tokenizer_path, capacity, end_id).withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(RANK_PARTS)).cast("int")), "pieces", TEXT_ROWS)
     sizes = pieces.groupBy("length", "part").count()
     ahead = stored(sizes.select("length", "part", "count", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("ahead")), "ranks")
     counts = {r["length"]: r["n"] for r in ahead.groupBy("length").agg(F.sum("count").alias("n")).collect()}

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import fold, stored, text_batches
+from wagewright.llm.common import TEXT_ROWS, fold, stored
 
 PASSAGE_WORDS = 64
 #: Signs counted together, as fixed values; what no group names is counted by byte range.
@@ -114,18 +114,19 @@ class AttentionModel:
 def fit(labelled: DataFrame, sample: int = 4000, most_passages: int = 256) -> AttentionModel | float:
     """labelled: doc_id, text (no nulls), quality. A model, or the share of label 1 where only one kind occurs.
 
-    Learns from about ``sample`` rows of at most ``most_passages`` passages each; these two bound what it gathers.
+    Learns from about ``sample`` rows, chosen by hash of the id, of at most ``most_passages`` passages each: longer
+    ones don't train. These two bound what it gathers. Every passage of what it learns from is seen whole.
     """
 
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
         return pd.Series([passages(t).tobytes() for t in texts])
 
-    short = labelled.where(F.length("text") <= most_passages * PASSAGE_WORDS * 2)
-    rows = short.select(F.col("quality").cast("int").alias("quality"), encoded("text").alias("bag")).orderBy(F.xxhash64("doc_id")).limit(int(1.3 * sample)).toPandas()
-    bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]]
-    keep = [i for i, b in enumerate(bags) if len(b) <= most_passages][:sample]
-    bags, y = [bags[i] for i in keep], rows["quality"].to_numpy()[keep] if len(rows) else np.zeros(0)
+    made = labelled.select("doc_id", F.col("quality").cast("int").alias("quality"), encoded("text").alias("bag"))
+    most_bytes = most_passages * N_FEATURES * np.dtype(np.float32).itemsize
+    short = stored(made.where(F.length("bag") <= most_bytes), "bags", TEXT_ROWS)
+    rows = short.orderBy(F.xxhash64("doc_id")).select("quality", "bag").limit(sample).toPandas()
+    bags, y = [np.frombuffer(b, dtype=np.float32).reshape(-1, N_FEATURES) for b in rows["bag"]], rows["quality"].to_numpy()
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
     x = np.concatenate(bags)
@@ -138,7 +139,6 @@ def score_column(docs: DataFrame, model: AttentionModel | float) -> Column:
     """The score of docs' text in [0, 1]; a null text counts as empty."""
     if isinstance(model, float):
         return F.lit(model)
-    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -168,10 +168,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
     """
     model = fit(train_rows(docs, labels, folds, held_out, sample), sample)
     scored = docs.select("doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), score_column(docs, model).alias("score"))
-    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return stored(scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted")), "scores", TEXT_ROWS)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, sample: int = 4000, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs whose score reaches the threshold, with docs' own columns."""
+    """The rows of docs whose score reaches the threshold, with docs' own columns, whatever their names.
+
+    Null and empty texts are judged as one passage without words. Repeated rows stay or go together. Of a label in
+    several rows the greatest counts; without labels of both kinds all rows stay or all go, by the share of label 1.
+    An empty table stays empty.
+    """
     model = fit(train_rows(docs, labels, folds, held_out, sample), sample)
-    return docs.where(score_column(docs, model) >= threshold)
+    return stored(docs.where(score_column(docs, model) >= threshold), "good", TEXT_ROWS)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import LOWER_BYTES, row_key, stored, text_batches
+from wagewright.llm.common import LOWER_BYTES, TEXT_ROWS, stored
 from wagewright.llm.components import connected_components
 
 BITS = 64
@@ -59,18 +59,20 @@ def fingerprint_column(text: Column, shingle: int = 3) -> Column:
     return of(F.coalesce(text, F.lit("")))
 
 
-def bit_groups(sample: np.ndarray, m: int) -> list[list[int]]:
-    """m groups of nearly equal size, with correlated bits together.
+def bit_groups(sample: np.ndarray, m: int, width: int = BITS) -> list[list[int]]:
+    """m groups of nearly equal size of the first ``width`` bits, with correlated bits together.
 
-    Greedy: a group starts with the first free bit and takes the free bit that correlates most with it.
+    sample: fingerprints, as rows of 64-bit words. Greedy: a group starts with the first free bit and takes the free
+    bit that correlates most with it.
     """
-    bits = (sample[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)
-    spread = bits.astype(float) - bits.mean(0) if len(bits) else np.zeros((1, BITS))
+    words = sample.reshape(len(sample), -(-width // 64), 1)
+    bits = ((words >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).reshape(len(words), 64 * words.shape[1])[:, :width]
+    spread = bits.astype(float) - bits.mean(0) if len(bits) else np.zeros((1, width))
     norm = np.sqrt((spread**2).sum(0))
     near = np.abs(spread.T @ spread) / np.maximum(np.outer(norm, norm), 1e-9)
-    free, groups = list(range(BITS)), []
+    free, groups = list(range(width)), []
     for g in range(m):
-        size = BITS // m + (g < BITS % m)
+        size = width // m + (g < width % m)
         own = [free.pop(0)] if free else []
         while len(own) < size:
             best = max(free, key=lambda b: (near[b, own].mean(), -b))
@@ -172,26 +174,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
     smallest doc_id of the component (null ids don't count; it is null if there are no others). Null and empty
     texts have fingerprint zero and link like any other.
     """
-    text_batches(docs.sparkSession)
-    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
+    prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints", TEXT_ROWS)
     rooted = _rooted(prints, F.col("doc_id"), radius, m)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     member = rooted.join(least, "root").select("fp", "component_id")
     found = prints.join(member, "fp")
     return found.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6, m: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates, that of the smallest doc_id, with docs' own columns.
-
-    A row is known by its id and its text (``row_key``), so unlike texts under one doc_id, or under none, are rows of
-    their own groups. Of rows of that doc_id in one group the one with the least key stays, and of equal ones one.
-    Rows without a doc_id stay only in groups that have no id at all.
-    """
-    text_batches(docs.sparkSession)
-    key = row_key(F.col("doc_id"), F.col("text"))
-    prints = stored(docs.select(key.alias("key"), fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
-    rooted = _rooted(prints, F.struct(F.col("key.id").isNull().alias("no_id"), "key"), radius, m)
-    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("__key"))
-    kept = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
-    return kept.dropDuplicates(["__key"]).select(*docs.columns)

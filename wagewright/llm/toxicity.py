@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import fold, stored, text_batches
+from wagewright.llm.common import TEXT_ROWS, fold, stored
 
 #: Second-person words of English, German, French and Spanish.
 SECOND_PERSON = frozenset("you your yours yourself du dich dir dein deine deinen ihr euch sie ihnen tu toi te ton ta tes vous votre vos tú ti usted ustedes tuyo vosotros".split())
@@ -101,7 +101,7 @@ def learn_lexicons(rows: DataFrame, parts: int, least_docs: int = 3, least_odds:
     totals = {(r["part"], r["toxic"]): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
     counted = rows.select("text", "toxic", "part").mapInPandas(count, ", ".join(["word string", *(f"{n} long" for n in names)]))
     summed = counted.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
-    summed = stored(summed.where(sum(F.col(f"n1_{k}") for k in range(parts)) >= least_docs), "words")
+    summed = stored(summed.where(sum(F.col(f"n1_{k}") for k in range(parts)) >= least_docs), "words", TEXT_ROWS)
     out = []
     for without in [*range(parts), -1]:
         kept = [k for k in range(parts) if k != without]
@@ -118,7 +118,6 @@ def learn_lexicons(rows: DataFrame, parts: int, least_docs: int = 3, least_odds:
 
 def featured(docs: DataFrame, lexicons: list[Lexicon], part: str | None = None) -> DataFrame:
     """docs with the column features (vector), by the lexicon whose number is in column part (the only one if None)."""
-    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicons)
 
     @F.pandas_udf("array<double>")
@@ -162,7 +161,7 @@ def fit(labelled: DataFrame, sample: int = 8000, rounds: int = 16, depth: int =
     rate = taken.agg(F.coalesce(F.avg("toxic"), F.lit(0.0))).first()[0]
     lexicons = learn_lexicons(taken, parts)
     model = ToxicityModel(lexicons[-1], None, None, rate)
-    seen = stored(featured(taken, lexicons, "part").select("features", F.col("toxic").cast("double").alias("toxic"), "calibrates"), "features")
+    seen = stored(featured(taken, lexicons, "part").select("features", F.col("toxic").cast("double").alias("toxic"), "calibrates"), "features", TEXT_ROWS)
     grows, rest = seen.where(~F.col("calibrates")), seen.where("calibrates")
     if grows.select("toxic").distinct().count() < 2:
         return model
@@ -187,4 +186,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, sample:
     few = marks.where(share < 1_000_003 * min(1.0, 1.2 * sample / max(1, n)))
     labelled = own.join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
     model = fit(labelled, sample)
-    return model.score(own).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return stored(model.score(own).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")), "scores", TEXT_ROWS)
