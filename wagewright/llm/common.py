@@ -17,7 +17,7 @@ ASCII_LOWER = ASCII_UPPER.lower()
 LOWER_BYTES = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
 
 #: Rows of whole texts that go to Python at once.
-TEXT_ROWS = 1000
+TEXT_ROWS = 500
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bounds of a broadcast: bytes in files (compressed) and rows.
 BROADCAST_BYTES, BROADCAST_ROWS = 8 << 20, 200_000

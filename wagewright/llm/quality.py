@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import TEXT_ROWS, fold, stored
+from wagewright.llm.common import TEXT_ROWS, bounded, fold, row_key, stored
 
 PASSAGE_WORDS = 64
 #: Signs counted together, as fixed values; what no group names is counted by byte range.
@@ -179,4 +179,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int
     An empty table stays empty.
     """
     model = fit(train_rows(docs, labels, folds, held_out, sample), sample)
-    return docs.where(score_column(docs, model) >= threshold)
+    key = row_key(F.col("doc_id"), F.col("text"))
+    scored = stored(docs.select(key.alias("__key"), score_column(docs, model).alias("score")), "scored", TEXT_ROWS)
+    rejected = stored(scored.where(F.col("score") < threshold).select("__key").distinct(), "rejected")
+    return docs.withColumn("__key", key).join(bounded(rejected), "__key", "left_anti").select(*docs.columns)
