@@ -1,11 +1,14 @@
 """Class-based bigram language model with exchange clustering.
 
 A token's probability is that of its class after the class before it, times that of the word within its class. The
-commonest words are assigned to classes by exchange clustering on their bigram counts; all other words belong to a
-class by the end of their spelling, so a word never seen has a class too. Counts are taken over all training rows.
-
-Only tables bounded by parameters leave Spark: the bigrams among ``clustered`` words and classes, and the counts of
-the ``head`` commonest words, which scoring looks up in place. Rarer words find their counts by a join.
+``clustered`` commonest words are assigned to classes by exchange clustering on their bigram counts: the very commonest
+one after the other, then all of them in batches, which Spark's tasks judge side by side against the same class
+bigrams. Every other word belongs to a class by the end of its spelling, so a word never seen has a class too; a
+clustered word may end up in such a class as well. Counts are taken over all training rows.
+
+Bigrams stay in Spark, a row for each clustered word with its neighbours, of which there are at most as many as symbols.
+Only tables bounded by parameters reach the driver: class bigrams, the bigrams among the ``seeds`` commonest words, and
+the counts of the ``head`` commonest words, which scoring looks up in place. Rarer words find their counts by a join.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, LOWER_BYTES, TEXT_ROWS, fold, stored
+from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, LOWER_BYTES, TEXT_ROWS, discard, fold, stored
 
 #: Additive smoothing of word counts.
 ALPHA = 0.1
@@ -47,16 +50,44 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(LOWER_BYTES).split()
 
 
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def gains(joint: np.ndarray, right: np.ndarray, left: np.ndarray, own: float) -> np.ndarray:
+    """What adding a word to each class changes in the likelihood of class bigrams.
+
+    joint: class bigrams without the word; right and left: how often it stands before and after each class; own: how
+    often it follows itself. Only the neighbours' classes change cells, besides the corner and the marginals.
+    """
+    r, l = np.flatnonzero(right), np.flatnonzero(left)  # noqa: E741
+    gain = (xlogx(joint[:, r] + right[r]) - xlogx(joint[:, r])).sum(1) + (xlogx(joint[l] + left[l, None]) - xlogx(joint[l])).sum(0)
+    corner = joint.diagonal()
+    gain += xlogx(corner + right + left + own) - xlogx(corner + right) - xlogx(corner + left) + xlogx(corner)
+    before, after = joint.sum(1) + left, joint.sum(0) + right  # these marginals hold the word wherever it goes
+    return gain - (xlogx(before + right.sum() + own) - xlogx(before) + xlogx(after + left.sum() + own) - xlogx(after))
+
+
+def without(joint: np.ndarray, a: int, right: np.ndarray, left: np.ndarray, own: float) -> np.ndarray:
+    """joint less a word of class a, whose right and left don't count itself."""
+    out = joint.copy()
+    out[a] -= right
+    out[:, a] -= left
+    out[a, a] -= own
+    return out
+
+
+def likelihood(joint: np.ndarray) -> float:
+    """The part of the likelihood that depends on the classes."""
+    return float(xlogx(joint).sum() - xlogx(joint.sum(1)).sum() - xlogx(joint.sum(0)).sum())
+
+
 def exchange(bigrams: np.ndarray, start: np.ndarray, classes: int, movable: int, rounds: int = 5) -> np.ndarray:
     """Class of each symbol after exchange clustering.
 
     bigrams[v, w]: how often w follows v. The first ``movable`` symbols move, one after the other, to the class
     that gives the greatest likelihood of the class bigrams, until a round moves none; the others keep their class.
     """
-
-    def xlogx(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
     of = start.copy()
     member = np.zeros((len(of), classes))
     member[np.arange(len(of)), of] = 1
@@ -70,17 +101,8 @@ def exchange(bigrams: np.ndarray, start: np.ndarray, classes: int, movable: int,
                 continue
             right[a] -= own
             left[a] -= own
-            joint[a] -= right
-            joint[:, a] -= left
-            joint[a, a] -= own
-            # What adding w to class b changes in the sum of n log n over row b and column b, and in the marginals.
-            rows, columns = joint.sum(1), joint.sum(0)
-            gain = (xlogx(joint + right) - xlogx(joint)).sum(1) + (xlogx(joint + left[:, None]) - xlogx(joint)).sum(0)
-            at = np.arange(classes)
-            corner = joint[at, at]
-            gain += xlogx(corner + right + left + own) - xlogx(corner + right) - xlogx(corner + left) + xlogx(corner)
-            before, after = rows + left, columns + right  # these marginals hold w wherever it goes
-            gain -= xlogx(before + right.sum() + own) - xlogx(before) + xlogx(after + left.sum() + own) - xlogx(after)
+            joint = without(joint, a, right, left, own)
+            gain = gains(joint, right, left, own)
             b = int(gain.argmax())
             if gain[b] <= gain[a] + 1e-9:
                 b = a
@@ -95,6 +117,83 @@ def exchange(bigrams: np.ndarray, start: np.ndarray, classes: int, movable: int,
     return of
 
 
+def neighbours(pairs: DataFrame, symbols: int) -> DataFrame:
+    """pairs: pair (v * symbols + w), n. A row for each symbol: s, and the symbols after it and before it with counts."""
+    v, w = F.expr(f"pair div {symbols}").cast("int"), (F.col("pair") % symbols).cast("int")
+    sides = []
+    for own, other, name in ((v, w, "right"), (w, v, "left")):
+        found = pairs.groupBy(own.alias("s")).agg(F.collect_list(F.struct(other.alias("o"), F.col("n"))).alias("e"))
+        sides.append(found.select("s", F.col("e.o").alias(name), F.col("e.n").alias(f"n_{name}")))
+    return sides[0].join(sides[1], "s", "full")
+
+
+def by_class(others: pd.Series, counts: pd.Series, of: np.ndarray, classes: int) -> np.ndarray:
+    """How often each row's neighbours are of each class."""
+    sizes = [0 if x is None else len(x) for x in others]
+    if not sum(sizes):
+        return np.zeros((len(sizes), classes))
+    ids, n = np.concatenate([x for x in others if x is not None]), np.concatenate([x for x in counts if x is not None])
+    at = np.repeat(np.arange(len(sizes)) * classes, sizes) + of[ids.astype(np.int64)]
+    return np.bincount(at, n, minlength=len(sizes) * classes).reshape(len(sizes), classes)
+
+
+def class_bigrams(rows: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+    """How often each class follows each; rows as of neighbours()."""
+    shared = rows.sparkSession.sparkContext.broadcast(of)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        joint = np.zeros((classes, classes))
+        for batch in batches:
+            np.add.at(joint, shared.value[batch["s"].to_numpy()], by_class(batch["right"], batch["n_right"], shared.value, classes))
+        cells = np.flatnonzero(joint)
+        yield pd.DataFrame({"cell": cells, "n": joint.ravel()[cells].astype(np.int64)})
+
+    joint = np.zeros(classes * classes)
+    for r in rows.select("s", "right", "n_right").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most classes squared
+        joint[r["cell"]] = r["n"]
+    return joint.reshape(classes, classes)
+
+
+def exchange_in_batches(rows: DataFrame, start: np.ndarray, classes: int, movable: int, rounds: int = 3, batches: int = 2) -> np.ndarray:
+    """Class of each symbol after more exchange, of whole batches of the movable symbols at a time.
+
+    Within a batch every word is judged against the class bigrams before it. A batch that worsens the likelihood, as
+    words that moved at once can, is taken back. It ends with a round that moves none.
+    """
+    of, joint = start.copy(), class_bigrams(rows, start, classes)
+    for _ in range(rounds):
+        moved = 0
+        for batch in range(batches):
+            shared = rows.sparkSession.sparkContext.broadcast((of, joint))
+
+            def judge(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+                of, joint = shared.value
+                for frame in frames:
+                    rights, lefts = by_class(frame["right"], frame["n_right"], of, classes), by_class(frame["left"], frame["n_left"], of, classes)
+                    best = []
+                    for s, right, left, others, n in zip(frame["s"].to_numpy(), rights, lefts, frame["right"], frame["n_right"], strict=True):
+                        a = of[s]
+                        own = float(n[np.asarray(others) == s].sum()) if others is not None else 0.0
+                        right[a] -= own
+                        left[a] -= own
+                        gain = gains(without(joint, a, right, left, own), right, left, own)[:-1]  # the last class is the end's
+                        b = int(gain.argmax())
+                        best.append(b if gain[b] > gain[a] + 1e-9 else a)
+                    yield pd.DataFrame({"s": frame["s"].to_numpy(), "b": np.array(best, dtype=np.int64)})
+
+            mine = rows.where((F.col("s") < movable) & (F.col("s") % batches == batch))
+            found = mine.mapInPandas(judge, "s int, b int").toPandas()  # at most a row for each movable symbol
+            trial = of.copy()
+            trial[found["s"].to_numpy()] = found["b"].to_numpy()
+            changed = int((trial != of).sum())
+            after = class_bigrams(rows, trial, classes) if changed else joint
+            if changed and likelihood(after) > likelihood(joint):
+                of, joint, moved = trial, after, moved + changed
+        if not moved:
+            break
+    return of
+
+
 @dataclass
 class Model:
     """What scoring needs in place; see fit()."""
@@ -131,11 +230,13 @@ def commonest(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.col("c") > cut)
 
 
-def fit(train: DataFrame, clustered: int = 1000, classes: int = 48, end_classes: int = 64, head: int = 100_000) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, clustered: int = 50_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> tuple[Model, DataFrame]:
     """The model, and the counts of all training words (word, c).
 
-    ``clustered``: words that exchange clustering assigns; ``head``: words whose counts scoring holds in memory.
+    ``clustered``: words that exchange clustering assigns; ``seeds``: those of them that it assigns one after the other
+    first; ``head``: words whose counts scoring holds in memory.
     """
+    spark = train.sparkSession
     words = train.select(F.explode(words_column(F.col("text"))).alias("word"))
     counts = stored(words.groupBy("word").agg(F.count("*").alias("c")), "counts")
     ends = train.count()
@@ -146,11 +247,11 @@ def fit(train: DataFrame, clustered: int = 1000, classes: int = 48, end_classes:
     n_clustered = min(clustered, len(names))
     # Symbols of the bigram counts: clustered words, then the classes by spelling, then the end.
     symbols = n_clustered + end_classes + 1
-    shared = train.sparkSession.sparkContext.broadcast(names[:n_clustered])
+    shared = spark.sparkContext.broadcast(names[:n_clustered])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, by_end = {w: i for i, w in enumerate(shared.value)}, {}
-        seen = np.zeros(symbols * symbols, dtype=np.int64)
+        held, size = [], 0
 
         def symbol(word: bytes) -> int:
             tail = word[-4:]
@@ -158,46 +259,54 @@ def fit(train: DataFrame, clustered: int = 1000, classes: int = 48, end_classes:
                 by_end[tail] = n_clustered + end_class(word, end_classes)
             return by_end[tail]
 
+        def counted() -> pd.DataFrame:
+            pairs, n = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"pair": pairs, "n": n})
+
         for batch in batches:
             for text in batch["text"]:
                 found = words_of(text)
                 at = np.fromiter((i if (i := ids.get(w)) is not None else symbol(w) for w in found), np.int64, len(found))
-                before = np.concatenate([[symbols - 1], at])
-                after = np.concatenate([at, [symbols - 1]])
-                np.add.at(seen, before * symbols + after, 1)
-        pairs = np.flatnonzero(seen)
-        yield pd.DataFrame({"pair": pairs, "n": seen[pairs]})
+                held.append(np.append(symbols - 1, at) * symbols + np.append(at, symbols - 1))
+                size += len(held[-1])
+                if size > 2_000_000:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
 
     texts = train.select(F.coalesce("text", F.lit("")).alias("text"))
     pairs = stored(texts.mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams", TEXT_ROWS)
-    bigrams = np.zeros(symbols * symbols)
-    for row in range(0, symbols, 400):  # a few columns' worth at a time, so the driver holds little besides the table
-        part = pairs.where((F.col("pair") >= row * symbols) & (F.col("pair") < (row + 400) * symbols)).toPandas()
-        bigrams[part["pair"].to_numpy(dtype=np.int64)] = part["n"].to_numpy()
-    bigrams = bigrams.reshape(symbols, symbols)
 
     n_classes = classes + end_classes + 1
-    start = np.concatenate([np.arange(n_clustered) % classes, classes + np.arange(end_classes + 1)]).astype(np.int64)
-    of = exchange(bigrams, start, n_classes, n_clustered)
-    member = np.zeros((symbols, n_classes))
-    member[np.arange(symbols), of] = 1
-    joint = member.T @ bigrams @ member
+    of = np.array([classes + end_class(w, end_classes) for w in names[:n_clustered]] + list(range(classes, n_classes)), dtype=np.int64)
+    n_seeds = min(seeds, n_clustered)
+    # Bigrams among the seeds and classes; all other words stand for their classes by spelling.
+    small = n_seeds + end_classes + 1
+    to_small = np.concatenate([np.arange(n_seeds), of[n_seeds:] - classes + n_seeds])
+    rows = stored(neighbours(pairs, symbols).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "s"), "neighbours")
+    discard(pairs)
+    bigrams = class_bigrams(rows, to_small, small) if n_seeds else np.zeros((small, small))
+    start = np.concatenate([np.arange(n_seeds) % classes, classes + np.arange(end_classes + 1)]).astype(np.int64)
+    of[:n_seeds] = exchange(bigrams, start, n_classes, n_seeds)[:n_seeds]
+    of = exchange_in_batches(rows.withColumns({c: F.coalesce(c, F.array().cast("array<int>")) for c in ("right", "left")} | {c: F.coalesce(c, F.array().cast("array<bigint>")) for c in ("n_right", "n_left")}), of, n_classes, n_clustered)
+    joint = class_bigrams(rows, of, n_classes)
+    discard(rows)
 
     # Words and tokens of the classes by spelling, over all words outside the clustering.
-    rest = counts.join(F.broadcast(train.sparkSession.createDataFrame([(w.decode(),) for w in names[:n_clustered]], "word string")), "word", "left_anti")
-    by_class = {r["k"]: (r["n"], r["v"]) for r in rest.groupBy(end_class_column(F.col("word"), end_classes).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    class_tokens, class_types = np.zeros(n_classes), np.zeros(n_classes)
-    for k, (n, v) in by_class.items():
-        class_tokens[classes + k], class_types[classes + k] = n, v
-    for c, k in zip(word_counts[:n_clustered], of, strict=False):
-        class_tokens[k] += c
-        class_types[k] += 1
+    known = F.broadcast(spark.createDataFrame([(w.decode(),) for w in names[:n_clustered]], "word string"))
+    rest = counts.join(known, "word", "left_anti")
+    outside = {r["k"]: (r["n"], r["v"]) for r in rest.groupBy(end_class_column(F.col("word"), end_classes).alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
+    class_tokens, class_types = np.bincount(of[:n_clustered], word_counts[:n_clustered], minlength=n_classes), np.bincount(of[:n_clustered], minlength=n_classes).astype(float)
+    for k, (n, v) in outside.items():
+        class_tokens[classes + k] += n
+        class_types[classes + k] += v
     class_tokens[-1], class_types[-1] = ends, 1
 
     share = (joint.sum(0) + 1) / (joint.sum() + n_classes)
     transition = np.log10((joint + BACK_OFF * share) / (joint.sum(1, keepdims=True) + BACK_OFF))
     own = np.array([of[i] if i < n_clustered else classes + end_class(w, end_classes) for i, w in enumerate(names)], dtype=np.int64)
-    # A clustered class has no unseen words; a class by spelling leaves room for one.
+    # A class by spelling leaves room for an unseen word; another has none.
     emission = np.log10((word_counts + ALPHA) / (class_tokens[own] + ALPHA * (class_types[own] + (own >= classes)))) if len(names) else np.zeros(0)
     return Model(total["n"] + ends, total["v"] + (ends > 0), n_clustered, end_classes, names, word_counts, own, emission, transition, class_tokens, class_types, ends), counts
 
@@ -262,14 +371,15 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, folds: int = 10, clustered: int = 1000, classes: int = 48, end_classes: int = 64, head: int = 100_000) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, clustered: int = 50_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> DataFrame:
     """Log10 probability of every document under a model of those whose crc32(doc_id) mod folds isn't 0.
 
     A null text is empty and scores its end alone. Repeated rows count and score as often as they come. Without
-    training rows every token is unknown. Other columns of docs are ignored.
+    training rows every token is unknown. Other columns of docs are ignored, whatever their names. An empty table gives no
+    rows.
     """
     own = docs.select("doc_id", "text", (fold(F.col("doc_id"), folds) == 0).alias("held_out"))
-    model, counts = fit(own.where(~F.col("held_out")), clustered, classes, end_classes, head)
+    model, counts = fit(own.where(~F.col("held_out")), clustered, classes, end_classes, head, seeds)
     return score(own, model, counts)
 
 
