@@ -163,28 +163,31 @@ def best_fit(stock: _Stock, largest: int, capacity: int) -> tuple[int, ...]:
     return tuple(filling)
 
 
-def completions(stock: _Stock, largest: int, capacity: int, wanted: int = 3, nodes: int = 400) -> list[tuple[int, ...]]:
+def completions(stock: _Stock, largest: int, capacity: int, wanted: int = 4, nodes: int = 400) -> list[tuple[int, ...]]:
     """The best undominated fillings around ``largest``, least waste first.
 
     The incumbent is the best-fit filling, which is there before the search: its budget of nodes only cuts
-    alternatives. The search adds lengths in descending order. A branch ends where a single length fills the room exactly, as that dominates every filling
-    of smaller ones, and where it can't waste less than the fillings already kept.
+    alternatives. The search adds lengths in descending order. A filling is dominated, and left out, if one of its
+    lengths could be swapped for a larger one that is left and fits; a branch ends where a single length fills the room
+    exactly, and where it can't waste less than the fillings already kept.
     """
     incumbent = best_fit(stock, largest, capacity)
     best: dict[tuple[int, ...], int] = {incumbent: capacity - sum(incumbent)}
     left = [nodes]
 
-    def worst() -> int:
-        return sorted(best.values())[wanted - 1] if len(best) >= wanted else capacity + 1
+    def dominated(filling: tuple[int, ...], used: dict[int, int], room: int) -> bool:
+        return any(stock.largest_within(x + room, used) > x for x in set(filling[1:]))
 
     def grow(filling: tuple[int, ...], used: dict[int, int], room: int, most: int) -> None:
         left[0] -= 1
-        first = stock.largest_within(min(room, most), used)
-        if not first:
-            if room < worst() or filling not in best and len(best) < wanted:
+        if not stock.largest_within(room, used):
+            if filling not in best and not dominated(filling, used, room):
                 best[filling] = room
+                if len(best) > wanted:
+                    del best[max(best, key=lambda f: (best[f], f == incumbent))]
             return
-        at, x = bisect_right(stock.lengths, first) - 1, first
+        first = stock.largest_within(min(room, most), used)
+        at = bisect_right(stock.lengths, first) - 1
         while at >= 0 and left[0] > 0:
             x = stock.lengths[at]
             at -= 1
@@ -193,63 +196,78 @@ def completions(stock: _Stock, largest: int, capacity: int, wanted: int = 3, nod
             used[x] = used.get(x, 0) + 1
             grow((*filling, x), used, room - x, x)
             used[x] -= 1
-            if x == room or 0 in best.values() and len(best) >= wanted or len(filling) > 2:
-                break  # dominated, enough, or deep: only best fit goes on from here
+            if x == room or len(best) >= wanted and not max(best.values()):
+                break  # dominates all smaller ones, or enough without waste
 
     grow((largest,), {largest: 1}, capacity - largest, capacity - largest)
-    return sorted(best, key=lambda f: (best[f], [-x for x in f]))[:wanted]
+    return sorted(best, key=lambda f: (best[f], [-x for x in f]))
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """Bins that any packing needs: for each k, lengths over half take a bin each, and those from k up to a half only
     find room beside lengths of at most capacity - k."""
     size = np.zeros(capacity + 1, dtype=np.int64)
-    for x, n in counts.items():
-        size[x] = n
+    size[list(counts)] = list(counts.values())
     number = np.concatenate([[0], np.cumsum(size)])  # number[x]: of lengths below x
     total = np.concatenate([[0], np.cumsum(size * np.arange(capacity + 1))])
-    half, best = capacity // 2, 0
-    for k in range(half + 1):
-        large = number[-1] - number[half + 1]
-        beside = number[capacity - k + 1] - number[half + 1]
-        room = beside * capacity - (total[capacity - k + 1] - total[half + 1])
-        small = total[half + 1] - total[k]
-        best = max(best, large + max(0, -(-(small - room) // capacity)))
-    return int(best)
-
-
-def plan_bins(counts: dict[int, int], capacity: int, descents: int = 6) -> list[tuple[tuple[int, ...], int]]:
+    half = capacity // 2
+    k = np.arange(half + 1)
+    beside = number[capacity - k + 1] - number[half + 1]
+    room = beside * capacity - (total[capacity - k + 1] - total[half + 1])
+    small = total[half + 1] - total[k]
+    return int(number[-1] - number[half + 1] + np.maximum(0, -(-(small - room) // capacity)).max())
+
+
+def _descend(stock: _Stock, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Fillings of the stock, each the best completion around the largest length, as often as it goes."""
+    plan = []
+    while stock.lengths:
+        filling = completions(stock, stock.lengths[-1], capacity)[0]
+        times = min(stock.counts[x] // filling.count(x) for x in set(filling))
+        stock.take(filling, times)
+        plan.append((filling, times))
+    return plan
+
+
+def plan_bins(counts: dict[int, int], capacity: int, nodes: int = 3000) -> list[tuple[tuple[int, ...], int]]:
     """(filling, times) of a packing of ``counts`` (length: how many) into as few bins as found.
 
-    Depth-first branch and bound by limited discrepancy: the first descent takes the best completion at every step,
-    each further one takes the second best at one early step, and ends where the waste so far rules out fewer bins
-    than the incumbent has. It stops when a packing meets the lower bound. The number of steps depends on the
-    number of different lengths, not on the number of pieces.
+    Depth-first branch and bound. The first incumbent takes the best completion at every step; if it doesn't meet the
+    lower bound, the search branches at every bin over the undominated completions around the largest length left, used
+    as often as it goes or once. A branch is cut where its bins and the lower bound of what is left don't stay below the
+    incumbent's, and where its waste does not. The search ends with a packing that meets the lower bound, when it has
+    gone through all branches, or after ``nodes`` of them: then the packing may not be the best, but is known to be
+    within its distance from the lower bound. Steps depend on the number of different lengths, not of pieces.
     """
     counts = {k: n for k, n in counts.items() if n}
-    total = sum(k * n for k, n in counts.items())
-    bound = lower_bound(counts, capacity)
-    incumbent: list[tuple[tuple[int, ...], int]] = []
-    bins = None
-    for odd_step in range(-1, descents - 1):
-        stock, plan, waste, step, made = _Stock(counts), [], 0, 0, 0
-        allowed = None if bins is None else (bins - 1) * capacity - total
-        while stock.lengths:
-            largest = stock.lengths[-1]
-            found = completions(stock, largest, capacity)
-            filling = found[min(1, len(found) - 1)] if step == odd_step else found[0]
-            times = min(stock.counts[x] // filling.count(x) for x in set(filling))
-            stock.take(filling, times)
-            plan.append((filling, times))
-            waste, step, made = waste + times * (capacity - sum(filling)), step + 1, made + times
-            # The last bin may be emptier than the bound on waste says; what is left decides that.
-            if allowed is not None and waste > allowed:
-                break
-        else:
-            if bins is None or made < bins:
-                incumbent, bins = plan, made
-        if bins == bound or step > 20_000:
-            break
+    incumbent = _descend(_Stock(counts), capacity)
+    bins, bound = sum(times for _, times in incumbent), lower_bound(counts, capacity)
+    spare = lambda: (bins - 1) * capacity - sum(k * n for k, n in counts.items())
+    # Open branches: counts left, bins made, waste, the plan so far as a linked list.
+    branches: list[tuple[dict[int, int], int, int, tuple | None]] = [(counts, 0, 0, None)]
+    while branches and bins > bound and nodes > 0:
+        rest, made, waste, plan = branches.pop()
+        nodes -= 1
+        if not rest:
+            bins, incumbent = made, []
+            while plan is not None:
+                incumbent.append(plan[0])
+                plan = plan[1]
+            incumbent.reverse()
+            continue
+        stock = _Stock(rest)
+        found = completions(stock, stock.lengths[-1], capacity, nodes=100)
+        for filling in reversed(found):
+            most = min(rest[x] // filling.count(x) for x in set(filling))
+            for times in {1, most}:
+                after = dict(rest)
+                for x in filling:
+                    after[x] -= times
+                after = {x: n for x, n in after.items() if n}
+                wasted = waste + times * (capacity - sum(filling))
+                # The last bin may be emptier than the bound on waste says.
+                if made + times + lower_bound(after, capacity) < bins and (wasted <= spare() or not after):
+                    branches.append((after, made + times, wasted, ((filling, times), plan)))
     return incumbent
 
 
@@ -257,6 +275,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece.
 
     Pieces of a sequence lie one after the other from 0 and take at most ``capacity`` tokens. No documents, no rows.
+    Columns of docs besides doc_id and text are ignored, whatever their names.
     """
     spark = docs.sparkSession
     pieces = stored(pieces_of(docs, tokenizer_path, capacity, end_id).withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(RANK_PARTS)).cast("int")), "pieces", TEXT_ROWS)
