@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import row_key, stored
+from wagewright.llm.common import discard, row_key, stored
 
 #: Given names that replace given names, by gender and script, and family names by script.
 GIVEN = {
@@ -28,6 +28,8 @@ FAMILY = {
 #: Titles that precede a name, by the gender they tell.
 TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Señora", "Sra", "Signora", "Г-жа"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Г-н"]}
 
+#: Rounds of drawing after which what collides gets longer.
+GROWS_AFTER = 4
 _LABEL = r"(?:password|passwd|pwd|secret|token|api[_-]?key)"
 _WORD = r"\p{Lu}[\p{Ll}]+"
 #: Kind and pattern; of two that match at one place the first counts.
@@ -112,7 +114,6 @@ def surrogate(kind: Column, canon: Column, gender: Column, digest: Column, domai
     at = F.instr(canon, "@")
     local, domain = F.substring(canon, F.lit(1), at - 1), F.substring(canon, at + 1, F.length(canon))
     name, last = F.substring_index(domain, ".", -1), F.regexp_replace(domain, r"\.[^.]*\z", "")
-    email = F.concat(_alike(local, digest), F.lit("@"), _alike(last, domain_digest), F.lit("."), name)
     ip = F.concat_ws(".", *((_number(digest, 1 + 8 * i, 254) + 1).cast("string") for i in range(4)))
     card = _luhn(F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), F.length(canon)), digest)))
     iban = F.concat(F.substring(canon, 1, 2), _alike(F.substring(canon, F.lit(3), F.length(canon)), digest))
@@ -123,9 +124,14 @@ def surrogate(kind: Column, canon: Column, gender: Column, digest: Column, domai
     family = F.coalesce(*(F.when(script == s, _pick(names, digest, 9)) for s, names in FAMILY.items()))
     # Lists of names are short; more family names come from syllables when a list has run out.
     tail = F.when(F.col("attempt") > 0, F.when(script == "cyrillic", _pick("ин ов ский енко".split(), digest, 17)).otherwise(_pick("ini ard sen mann elli ova eau ton".split(), digest, 17))).otherwise("")
-    more = F.when(F.col("attempt") > 2, F.lower(_alike(F.when(script == "cyrillic", "Аааа").otherwise("Aaaa"), digest))).otherwise("")
+    # What still collides grows by a letter in each further round.
+    longer = F.greatest(F.col("attempt") - GROWS_AFTER, F.lit(0))
+    letters = F.concat(F.lit("aaaa"), F.repeat(F.lit("a"), longer))
+    more = F.when(F.col("attempt") > 2, _alike(F.when(script == "cyrillic", F.translate(letters, "a", "а")).otherwise(letters), digest)).otherwise("")
     person = F.when(canon.contains(" "), F.concat(given, F.lit(" "), family, more, tail)).otherwise(F.concat(family, more, tail))
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "key", key).when(kind == "name", person).otherwise(_alike(canon, digest))
+    grown = _alike(F.repeat(F.lit("z"), longer), F.sha2(digest, 256))
+    email = F.concat(_alike(local, digest), grown, F.lit("@"), _alike(last, domain_digest), F.lit("."), name)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "key", F.concat(key, grown)).when(kind == "name", person).when(kind == "secret", F.concat(_alike(canon, digest), grown)).otherwise(_alike(canon, digest))
 
 
 def in_format(kind: Column, own: Column, fresh: Column) -> Column:
@@ -141,22 +147,27 @@ def in_format(kind: Column, own: Column, fresh: Column) -> Column:
     return F.when(kind.isin("card", "ssn", "phone", "iban"), spread).when(kind == "email", upper).otherwise(fresh)
 
 
-def surrogates(entities: DataFrame, key: str, rounds: int = 12) -> DataFrame:
+def surrogates(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
     """entities: distinct kind, canon, gender. Adds fresh: replacements distinct within a kind, none of them an entity.
 
-    Each round draws anew for those that collide (all but the first by canonical form). Raises if some still do
-    after the last round.
+    Each round draws anew for those that collide (all but the first by canonical form). Names, addresses, secrets and
+    keys get longer with the rounds, so they always find a place; numbers of a fixed format raise an error if they still
+    collide after the last round, that is, if there are more of them than the format has room for.
     """
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def drawn(rows: DataFrame) -> DataFrame:
+    def drawn(rows: DataFrame, attempt: int) -> DataFrame:
+        # Entities are few beside the work that each one is, so they are dealt out first; a draw is used twice.
+        dealt = rows.repartition(parts, "kind", "canon").withColumn("attempt", F.lit(attempt))
         digest = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 256)
         domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index("canon", "@", -1)), 256)
-        return rows.withColumn("fresh", surrogate(F.col("kind"), F.col("canon"), F.col("gender"), digest, domain))
+        fresh = surrogate(F.col("kind"), F.col("canon"), F.col("gender"), digest, domain)
+        return stored(dealt.select("kind", "canon", "gender", fresh.alias("fresh")), "draw")
 
     # A person's mentions with and without a title's gender are one entity.
-    wanted = drawn(entities.withColumn("attempt", F.lit(0)))
-    settled = None
-    for attempt in range(1, rounds + 1):
+    left, settled = entities, None
+    for attempt in range(rounds):
+        wanted = drawn(left, attempt)
         real = entities.select("kind", F.col("canon").alias("fresh")).withColumn("real", F.lit(True))
         firsts = wanted.groupBy("kind", "fresh").agg(F.min("canon").alias("first"))
         judged = wanted.join(firsts, ["kind", "fresh"]).join(real, ["kind", "fresh"], "left")
@@ -166,12 +177,12 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 12) -> DataFrame:
             judged = judged.withColumn("taken", F.lit(None).cast("boolean"))
         fine = F.col("real").isNull() & F.col("taken").isNull() & (F.col("canon") == F.col("first"))
         step = stored(judged.select("kind", "canon", "gender", "fresh", fine.alias("fine")), "surrogates")
-        good, again = step.where("fine").drop("fine"), step.where(~F.col("fine")).select("kind", "canon", "gender")
+        discard(wanted)
+        good, left = step.where("fine").drop("fine"), step.where(~F.col("fine")).select("kind", "canon", "gender")
         settled = good if settled is None else settled.unionByName(good)
-        if again.isEmpty():
+        if left.isEmpty():
             return settled
-        wanted = drawn(again.withColumn("attempt", F.lit(attempt)))
-    raise ValueError(f"replacements still collide after {rounds} rounds")
+    raise ValueError(f"numbers of a fixed format still collide after {rounds} rounds")
 
 
 def mentions_of(docs: DataFrame) -> DataFrame:
