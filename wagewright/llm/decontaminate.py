@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, row_key, stored
+from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, bounded, row_key, stored
 
 #: What lies between words, once A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows of benchmark fingerprints, windows or marked documents that may be broadcast; beyond it Spark shuffles both sides.
-BROADCAST_ROWS = 100_000
+#: Documents from which the rarest word of a short item is estimated, and bits of the map that such words pass through.
+SAMPLE, BITMAP = 2000, 1 << 16
 
 
 def words_of(lowered: Column) -> Column:
@@ -72,9 +72,51 @@ def windows_at(words: Column, starts: Column, length: int) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(words, i, length), " ").alias("window")))
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def anchors_of(short: DataFrame, docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """short (len, window, items) with word and off: the word of the window by which it is looked for, and its place.
+
+    It is the word that fewest of about ``sample`` documents hold (of equals the longest, then the first); another
+    choice would cost more but find the same.
+    """
+    n = max(1, docs.count())
+    some = docs.where(F.pmod(F.xxhash64("key"), F.lit(n)) < sample).select(F.explode(F.array_distinct(exact_words(F.col("text")))).alias("word"))
+    each = short.select("len", "window", F.posexplode(F.split("window", " ")).alias("off", "word"))
+    seen = some.join(each.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("c"))
+    ranked = each.join(seen, "word", "left").withColumn("rank", F.struct(F.coalesce("c", F.lit(0)).alias("c"), (-F.length("word")).alias("l"), "off"))
+    best = ranked.groupBy("len", "window").agg(F.min_by(F.struct("word", "off"), "rank").alias("a"))
+    return stored(short.join(best.select("len", "window", "a.word", "a.off"), ["len", "window"]), "anchors")
+
+
+def marked_words(words: Column, anchors: DataFrame) -> Column:
+    """Positions of words that may be an anchor: a bitmap over hashes lets all anchors pass, and few other words."""
+    h = F.pmod(F.xxhash64("word"), F.lit(BITMAP))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64).cast("int"))
+    rows = anchors.select(F.floor(h / 64).cast("int").alias("i"), bit.alias("bit")).groupBy("i").agg(F.bit_or("bit").alias("bits")).collect()  # at most BITMAP / 64
+    table = [0] * (BITMAP // 64)
+    for r in rows:
+        table[r["i"]] = r["bits"]
+    longs = F.array(*(F.lit(x).cast("long") for x in table))
+
+    def place(w: Column, i: Column) -> Column:
+        own = F.pmod(F.xxhash64(w), F.lit(BITMAP))
+        held = F.call_function("shiftrightunsigned", F.get(longs, F.floor(own / 64).cast("int")), (own % 64).cast("int")).bitwiseAND(F.lit(1).cast("long"))
+        return F.when(held == 1, i + 1)
+
+    return F.filter(F.transform(words, place), lambda p: p.isNotNull())
+
+
+def short_hits(docs: DataFrame, short: DataFrame, window: int) -> DataFrame:
+    """key, pos, len, items of windows of fewer than ``window`` words: only around words that may be an anchor are the
+    documents' words compared, so no document is taken apart into all its words."""
+    anchors = anchors_of(short, docs)
+    words = docs.select("key", exact_words(F.col("text")).alias("words"))
+    spots = words.withColumn("at", marked_words(F.col("words"), anchors)).where(F.size("at") > 0).select("key", "words", F.explode("at").alias("at"))
+    first = F.greatest(F.col("at") - (window - 2), F.lit(1))
+    near = spots.select("key", "at", first.alias("first"), F.get("words", F.col("at") - 1).alias("word"), F.slice("words", first, 2 * window - 3).alias("around"))
+    start = F.col("at") - F.col("off")
+    found = near.join(bounded(anchors), "word").withColumn("pos", start).where(F.col("pos") >= 1)
+    own = F.array_join(F.slice("around", F.col("pos") - F.col("first") + 1, F.col("len")), " ")
+    return found.where(own == F.col("window")).select("key", "pos", "len", "items")
 
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -82,7 +124,8 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5)
     own = stored(items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), exact_words(F.col("text")).alias("words"), folded_words(F.col("text")).alias("folded")).where(F.size("words") > 0), "items")
     length = F.least(F.size("words"), F.lit(window))
     parts = own.select("item", length.alias("len"), F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - length + 1), lambda i: F.array_join(F.slice("words", i, length), " "))).alias("window"))
-    windows = stored(parts.groupBy("len", "window").agg(F.collect_set("item").alias("items")), "windows")
+    windows = parts.groupBy("len", "window").agg(F.collect_set("item").alias("items"))
+    whole, short = stored(windows.where(F.col("len") == window), "windows"), stored(windows.where(F.col("len") < window), "windows")
     marks = stored(with_fingerprints(own.select("folded"), "folded", window, k, "fps").select(F.explode("fps").alias("fp")).distinct(), "marks")
 
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text"))
@@ -98,19 +141,16 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5)
     starts = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(F.greatest(p - (window - k), F.lit(1)), p))))
     fit = F.filter(starts, lambda s: s <= F.size("words") - window + 1)
     found = near.select("key", F.explode(windows_at(F.col("words"), fit, window)).alias("e")).select("key", F.lit(window).alias("len"), "e.pos", "e.window")
-    hits = found.join(bounded(windows.where(F.col("len") == window)), ["len", "window"]).select("key", "pos", "len", "items")
-
-    # An item of fewer words is one window of its own length; there are at most window - 1 such lengths.
-    for short in sorted(r["len"] for r in windows.where(F.col("len") < window).select("len").distinct().collect()):
-        every = keyed.select("key", exact_words(F.col("text")).alias("words")).where(F.size("words") >= short)
-        spots = every.select("key", F.explode(windows_at(F.col("words"), F.sequence(F.lit(1), F.size("words") - short + 1), short)).alias("e")).select("key", F.lit(short).alias("len"), "e.pos", "e.window")
-        hits = hits.unionByName(spots.join(bounded(windows.where(F.col("len") == short)), ["len", "window"]).select("key", "pos", "len", "items"))
+    hits = found.join(bounded(whole), ["len", "window"]).select("key", "pos", "len", "items")
+    if not short.isEmpty():
+        hits = hits.unionByName(short_hits(keyed, short, window))
     return base, hits
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of docs.
 
+    Columns of docs and items besides doc_id, text and item_id are ignored, whatever their names.
     Null and empty texts have no words and hit nothing. Repeated rows are judged alike. Items without words or
     without an id take no part; rows of one item id are one item. No items: nothing is contaminated.
     """
@@ -134,7 +174,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5) -> DataFrame:
-    """The rows of docs without any word in a benchmark window, with docs' own columns."""
+    """The rows of docs without any word in a benchmark window, with docs' own columns, whatever their names.
+
+    Null and empty texts stay. Repeated rows stay or go together. Without items everything stays; an empty table stays
+    empty.
+    """
     _, hits = occurrences(docs, items, window, k)
     leaks = stored(hits.select(F.col("key").alias("__key")).distinct(), "leaks")
     return docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text"))).join(leaks, "__key", "left_anti").drop("__key")
