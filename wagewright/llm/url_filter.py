@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, stored
+from wagewright.llm.common import ASCII_LOWER, ASCII_UPPER, bounded, stored
 
 #: (host, path, verdict)
 RULES = [
@@ -64,16 +64,12 @@ def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
     return keys.groupBy(block_of(F.col("key"), blocks).alias("block")).agg(F.bit_or(bits_of(F.col("key"))).alias("bits"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict for each row of pages.
 
     The longest fitting rule decides (of equal length the last by text; of rows of one rule, block before allow).
     A url that fits no rule isn't listed and gets ``default``. Rules with a null or empty host or a null path take no
-    part. A null url, or one without ``://``, has an empty host and path, and fits no rule.
+    part. Columns of pages besides page_id and url are ignored, whatever their names. A null url, or one without ``://``, has an empty host and path, and fits no rule.
     """
     listed = (
         rules.where("host is not null and host <> '' and path is not null")
@@ -92,11 +88,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     probes = distinct.select("host", "path", F.explode(keys).alias("key"))
     passing = (
         probes.withColumn("block", block_of(F.col("key"), blocks))
-        .join(_small(bloom_filter(listed.select("key"), blocks)), "block")
+        .join(bounded(stored(bloom_filter(listed.select("key"), blocks), "bloom")), "block")
         .where(F.col("bits").bitwiseAND(bits_of(F.col("key"))) == bits_of(F.col("key")))
     )
     longest = F.max(F.struct(F.length("rule").alias("n"), F.col("rule"), F.col("verdict")))
-    fits = passing.join(_small(listed.select("key", "rule", "verdict")), "key").groupBy("host", "path").agg(longest.alias("best"))
+    fits = passing.join(bounded(listed).select("key", "rule", "verdict"), "key").groupBy("host", "path").agg(longest.alias("best"))
     found = parts.join(fits, ["host", "path"], "left")
     return found.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
