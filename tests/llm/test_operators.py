@@ -292,13 +292,13 @@ def test_bin_plans_against_exhaustive_search():
         made, fewest = sum(t for _, t in packing.plan_bins(dict(collections.Counter(items)), 20)), fewest_bins(items, 20)
         assert packing.lower_bound(collections.Counter(items), 20) <= fewest <= made <= fewest + 1
         worse += made > fewest
-    assert worse <= 3
+    assert worse == 0
 
 
 def test_brown(spark, odd_rows):
     rows = odd_rows + [(i, prose(random.Random(i), 80)) for i in range(100, 220)]
     # small tables, so that most words are looked up by a join
-    got = brown.score_documents(docs_of(spark, rows), clustered=20, classes=4, end_classes=3, head=50).collect()
+    got = brown.score_documents(docs_of(spark, rows), clustered=20, classes=4, end_classes=3, head=50, seeds=8).collect()
     held = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 10 == 0
     counts = collections.Counter(w for i, t in rows if not held(i) for w in [*words_of(t), None])
     n, v = sum(counts.values()), len(counts)
@@ -317,7 +317,7 @@ def test_brown(spark, odd_rows):
 def test_brown_is_a_distribution(spark):
     rng = random.Random(6)
     rows = [(i, prose(rng, 30, 12)) for i in range(1, 90)]
-    model, counts = brown.fit(docs_of(spark, rows), clustered=6, classes=3, end_classes=2, head=40)
+    model, counts = brown.fit(docs_of(spark, rows), clustered=6, classes=3, end_classes=2, head=40, seeds=3)
     assert np.allclose((10.0**model.transition).sum(1), 1)
     mass = collections.Counter()
     for k, e in zip(model.of, model.emission, strict=True):
@@ -328,6 +328,60 @@ def test_brown_is_a_distribution(spark):
             assert abs(mass[k] + unseen - 1) < 0.15 if k < 3 else abs(mass[k] + unseen - 1) < 1e-9
 
 
+def test_brown_scores_against_brute_force(spark):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, rng.randint(0, 40), 60)) for i in range(1, 80)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    classes, ends = 4, 3
+    sizes = {"clustered": 25, "classes": classes, "end_classes": ends, "head": 30, "seeds": 10}
+    train = [words_of(t) for i, t in rows if not held(i)]
+    model, _ = brown.fit(docs_of(spark, [(i, t) for i, t in rows if not held(i)]), **sizes)
+    counts = collections.Counter(w for words in train for w in words)
+    of = {w.decode(): int(k) for w, k in zip(model.words, model.of, strict=True)}
+    last = classes + ends
+
+    def cls(w):
+        return last if w is None else of.get(w, classes + zlib.crc32(w.encode()[-4:]) % ends)
+
+    assert all(of[w] == classes + zlib.crc32(w.encode()[-4:]) % ends for w in list(of)[25:])
+    bigrams = collections.Counter((cls(a), cls(b)) for words in train for a, b in zip([None, *words], [*words, None], strict=True))
+    after = collections.Counter()
+    for (_, b), n in bigrams.items():
+        after[b] += n
+    tokens, types = collections.Counter(), collections.Counter()
+    for w, n in counts.items():
+        tokens[cls(w)] += n
+        types[cls(w)] += 1
+    total = sum(bigrams.values())
+
+    def log_p(a, b, w):
+        start = sum(n for (x, _), n in bigrams.items() if x == a)
+        step = (bigrams[a, b] + brown.BACK_OFF * (after[b] + 1) / (total + last + 1)) / (start + brown.BACK_OFF)
+        word = 1 if w is None else (counts[w] + 0.1) / (tokens[b] + 0.1 * (types[b] + (b >= classes)))
+        return math.log10(step) + math.log10(word)
+
+    for r in brown.score_documents(docs_of(spark, rows), **sizes).collect():
+        words = words_of(dict(rows)[r["doc_id"]])
+        want = sum(log_p(cls(a), cls(b), b) for a, b in zip([None, *words], [*words, None], strict=True))
+        assert math.isclose(r["score"], want, rel_tol=1e-9), r
+
+
+def test_batched_exchange_only_gains(spark):
+    rng = np.random.default_rng(3)
+    n, classes = 40, 4
+    truth = np.arange(n) % 3
+    bigrams = rng.poisson(np.where((truth[:, None] + 1) % 3 == truth[None, :], 8.0, 0.3))
+    pairs = spark.createDataFrame([(int(v * n + w), int(bigrams[v, w])) for v in range(n) for w in range(n) if bigrams[v, w]], "pair long, n long")
+    rows = brown.neighbours(pairs, n)
+    start = rng.integers(0, 3, n)
+    member = lambda of: np.eye(classes)[of]
+    joint = lambda of: member(of).T @ bigrams @ member(of)
+    assert np.array_equal(brown.class_bigrams(rows, start, classes), joint(start))
+    found = brown.exchange_in_batches(rows, start, classes, n, rounds=8, batches=4)
+    assert brown.likelihood(joint(found)) > brown.likelihood(joint(start))
+    assert all(collections.Counter(found[truth == k]).most_common(1)[0][1] >= 0.9 * (truth == k).sum() for k in range(3))
+
+
 def test_exchange_finds_alternating_classes():
     rng = np.random.default_rng(0)
     bigrams = np.zeros((12, 12))
@@ -345,7 +399,7 @@ def test_nearest(spark):
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
     rows += [(400, None, 1), (420, [0.0] * 24, 1), (440, [float("nan")] + [1.0] * 23, 1), (460, [float("inf")] * 24, 1), (480, [None] * 24, 1), (0, x[0].tolist(), 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")
-    got = cross_polytope.nearest(frame, F.col("vec_id") % 20 == 0, block=64).collect()
+    got = cross_polytope.nearest(frame, F.col("vec_id") % 20 == 0, block=64, query_block=7).collect()
     found = collections.defaultdict(list)
     for r in got:
         found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
@@ -360,11 +414,23 @@ def test_nearest(spark):
     assert hit >= 0.9 * 20 * 15
     assert set(found) == set(range(0, 300, 20))
     assert [i for _, i, _ in sorted(found[60])] == [i for i in range(50, 71) if i != 60]
-    few = cross_polytope.nearest(frame.where("vec_id < 4"), F.col("vec_id") == 0, probes=1.0).collect()
+    few = cross_polytope.nearest(frame.where("vec_id < 4"), F.col("vec_id") == 0).collect()
     assert {r["vec_id"] for r in few} == {1, 2, 3}
     assert cross_polytope.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_hashing_is_selective_where_the_data_allow_it():
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(50, 32))
+    for spread, least, most in ((0.3, 0.0, 0.2), (50.0, 0.2, 3.0)):
+        x = centres[rng.integers(0, 50, 3000)] + spread * rng.normal(size=(3000, 32))
+        queries = x[:60]
+        top = [x[np.argsort(-(q @ x.T), kind="stable")[1:21]] for q in queries]
+        signs = cross_polytope.rotations(32, 16)
+        tables, many = cross_polytope.choose(queries, top, signs, 0.95)
+        assert least <= tables * many / 64 <= most, (spread, tables, many)
+
+
 def test_hadamard_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 20))
     y = cross_polytope.rotated(x, cross_polytope.rotations(20, 1)[0])
@@ -466,6 +532,12 @@ def test_surrogates(spark):
     assert pii.pseudonymise(docs.limit(0), "x").count() == 0
 
 
+def test_surrogates_grow_where_there_is_no_room(spark):
+    rows = [("email", f"{c}@x.de", "") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", "********", ""), ("secret", "--------", "")]
+    fresh = {r["canon"]: r["fresh"] for r in pii.surrogates(spark.createDataFrame(rows, "kind string, canon string, gender string"), "k").collect()}
+    assert len(set(fresh.values())) == len(rows) and not set(fresh.values()) & set(fresh)
+
+
 def test_surrogates_stay_distinct(spark):
     names = spark.range(600).select(F.lit("name").alias("kind"), F.concat(F.lit("N"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("canon"), F.when(F.col("id") % 2 == 0, "f").otherwise("m").alias("gender"))
     fresh = [r["fresh"] for r in pii.surrogates(names, "k").collect()]
