@@ -53,3 +53,17 @@ def in_order(rows: DataFrame, values: list[str]) -> DataFrame:
     """By a fixed enumeration; values outside it last."""
     at = F.array_position(F.array(*map(F.lit, values)), F.col("value"))
     return rows.orderBy(F.when(at == 0, len(values) + 1).otherwise(at), "value")
+
+
+def by_top_pay(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(F.desc(F.coalesce("ral_max_median", "ral_min_median")), "value")
+
+
+def by_onsite(mix: DataFrame) -> DataFrame:
+    """Rows of workplace_mix, those with most ads on site first."""
+    return mix.orderBy(F.desc(F.coalesce("onsite", F.lit(0.0))), *AXES)
+
+
+def with_all_axes(rows: DataFrame) -> DataFrame:
+    """rows of cells with every axis: one that is missing or NULL is 'all'."""
+    return rows.withColumns({a: F.coalesce(F.col(a), F.lit("all")) if a in rows.columns else F.lit("all") for a in AXES})

@@ -6,17 +6,30 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows up to which a written table is broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """df written as Parquet under the session's checkpoint folder and read again, which cuts its lineage.
 
-    Where the session names no such folder (local tests) a temporary one is set.
+    Where the session names no such folder a temporary one is set in local mode; on a cluster that raises, as executors
+    couldn't share it.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-shared-"))
     path = f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df marked for broadcast if it has few rows, of a few plain columns; beyond that Spark shuffles both sides."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
