@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagewright.functions.text import normalize_text
@@ -76,20 +76,85 @@ def name_match(name: Column, website: Column, texts: Column) -> Column:
     return F.when(is_strong, "strong").when(any_of(weak, named), "weak")
 
 
-def career_link_score(url: Column, text: Column) -> Column:
-    """Two points each for a hint in address, text and host."""
-    words = r"(?i)career|jobs?\b|karriere|stellen|lavora|carriere|vacature|recrut|join|work-with|opportunit"
-    host = F.regexp_extract(F.lower(url), r"^https?://([^/?#]*)", 1)
-    return F.when(url.rlike(words), 2).otherwise(0) + F.when(text.rlike(words), 2).otherwise(0) + F.when(host.rlike(r"^(?:career|careers|jobs|job|karriere|lavora)"), 2).otherwise(0)
+# What points to career pages, and addresses that never do.
+CAREER_WORDS = r"(?i)career|carrier[ae]|lavora[\s_-]*con[\s_-]*noi|\bjobs?\b|work[\s_-]*with[\s_-]*us|join[\s_-]*(?:us|the[\s_-]*team|our[\s_-]*team)|unisciti|opportunit|posizioni[\s_-]*aperte|offerte[\s_-]*di[\s_-]*lavoro|talent|recruit|candidat|open[\s_-]*positions"
+CAREER_HOSTS = r"^(?:careers?|jobs|carriere|lavoraconnoi)\."
+SKIPPED_LINKS = r"(?i)^(?:mailto|tel|javascript):|linkedin\.com|facebook\.com|instagram\.com|twitter\.com|//x\.com|youtube\.com|glassdoor|indeed\.|tiktok\.com|\.pdf(?:$|\?)"
+ANCHOR = r"(?is)<a\b[^>]*?href\s*=\s*[\"']([^\"'#][^\"']*)[\"'][^>]*>(.*?)</a>"
+WORKDAY_NOT_SITES = ["wday", "job", "jobs", "details", "login", "apply"]
+ENTITIES = {"&#x2F;": "/", "&#47;": "/", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+
+
+def _part(url: Column, group: int) -> Column:
+    """Scheme (1), host (2) or path (3) of an address; https is assumed."""
+    full = F.when(url.startswith("http"), url).otherwise(F.concat(F.lit("https://"), url))
+    return F.regexp_extract(full, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)", group)
+
+
+def joined_url(base: Column, href: Column) -> Column:
+    """The address that a link of the page at ``base`` leads to."""
+    origin = F.concat(_part(base, 1), F.lit("://"), _part(base, 2))
+    folder = F.regexp_extract(_part(base, 3), r"(?s)^(.*/)", 1)
+    path = F.concat(F.when(folder == "", "/").otherwise(folder), href)
+    for _ in range(4):
+        path = F.regexp_replace(F.regexp_replace(path, r"/\./", "/"), r"^(/[^?#]*?)?/(?!\.\./)[^/?#]+/\.\./", "$1/")
+    return (
+        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(_part(base, 1), F.lit(":"), href))
+        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("?"), F.concat(origin, _part(base, 3), href))
+        .otherwise(F.concat(origin, path))
+    )
+
+
+def career_links(pages: DataFrame, key: str, html: str, base: str, most: int = 3) -> DataFrame:
+    """key, url, score: the best links of each page to career pages; of links with equal scores the first in the page.
+
+    Two points each for a hint in the address, in the link's own text, and at the beginning of the host. Links to the
+    page itself, to other networks and to documents don't count; of several links to one address the best does.
+    """
+    anchors = F.arrays_zip(F.regexp_extract_all(html, F.lit(ANCHOR), 1).alias("href"), F.regexp_extract_all(html, F.lit(ANCHOR), 2).alias("text"))
+    rows = pages.select(key, F.col(base).alias("_base"), F.posexplode(anchors).alias("_at", "a")).select(key, "_base", "_at", F.trim("a.href").alias("href"), F.regexp_replace("a.text", "<[^>]+>", " ").alias("text"))
+    href = F.col("href")
+    for entity, sign in ENTITIES.items():
+        href = F.replace(href, F.lit(entity), F.lit(sign))
+    rows = rows.withColumn("href", href).where((F.col("href") != "") & ~F.col("href").rlike(SKIPPED_LINKS)).withColumn("url", joined_url(F.col("_base"), F.col("href")))
+    rows = rows.where(F.col("url").startswith("http") & (F.rtrim("url", F.lit("/")) != F.rtrim("_base", F.lit("/"))))
+    points = [F.concat(_part(F.col("url"), 2), _part(F.col("url"), 3)).rlike(CAREER_WORDS), F.col("text").rlike(CAREER_WORDS), _part(F.col("url"), 2).rlike(CAREER_HOSTS)]
+    scored = rows.withColumn("score", sum((2 * p.cast("int") for p in points), F.lit(0))).where("score > 0")
+    best = scored.groupBy(key, "url").agg(F.max("score").alias("score"), F.min("_at").alias("_at"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "_at"))
+    return best.withColumn("_n", rank).where(F.col("_n") <= most).select(key, "url", "score")
 
 
 def workday_parts(url: Column) -> Column:
-    """Struct of host, tenant and site of a board's address; a language part isn't a site."""
-    host = F.lower(F.regexp_extract(url, r"^https?://([^/?#]*)", 1))
-    parts = F.filter(F.split(F.regexp_extract(url, r"^https?://[^/?#]*([^?#]*)", 1), "/"), lambda p: (p != "") & ~p.rlike("^[a-z]{2}(?:-[A-Za-z]{2})?$"))
-    return F.struct(host.alias("host"), F.substring_index(host, ".", 1).alias("tenant"), F.try_element_at(parts, F.lit(1)).alias("site"))
+    """Struct of host, tenant and site of a board's address; parts that can't be told are NULL."""
+    host = _part(url, 2)
+    parts = F.filter(F.split(_part(url, 3), "/"), lambda p: p != "")
+    api = (F.size(parts) >= 4) & (F.try_element_at(parts, F.lit(1)) == "wday") & (F.try_element_at(parts, F.lit(2)) == "cxs")
+    own = F.filter(parts, lambda p: ~p.rlike("^[a-z]{2}-[A-Z]{2}$"))
+    shared, first = host.endswith("myworkdaysite.com"), F.try_element_at(own, F.lit(1))
+    recruiting = shared & (F.size(own) >= 2) & (first == "recruiting")
+    tenant = F.when(api, F.try_element_at(parts, F.lit(3))).when(recruiting, F.try_element_at(own, F.lit(2))).when(~shared, F.substring_index(host, ".", 1))
+    site = F.when(api, F.try_element_at(parts, F.lit(4))).when(recruiting, F.try_element_at(own, F.lit(3))).when(~shared & ~first.isin(WORKDAY_NOT_SITES), first)
+    return F.struct(host.alias("host"), tenant.alias("tenant"), site.alias("site"))
+
+
+def workday_url(parts: Column) -> Column:
+    """A board's address in its one form; NULL without a site."""
+    shared = F.concat(F.lit("recruiting/"), parts["tenant"], F.lit("/"))
+    return F.concat(F.lit("https://"), parts["host"], F.lit("/"), F.when(parts["host"].endswith("myworkdaysite.com"), shared).otherwise(""), parts["site"])
 
 
 def oracle_parts(url: Column) -> Column:
-    host = F.lower(F.regexp_extract(url, r"^(?:https?://)?([^/?#]*)", 1))
-    return F.struct(host.alias("host"), F.nullif(F.regexp_extract(url, r"/sites/([^/?#]+)", 1), F.lit("")).alias("site"))
+    return F.struct(_part(url, 2).alias("host"), F.nullif(F.regexp_extract(_part(url, 3), r"/sites/([^/]+)", 1), F.lit("")).alias("site"))
+
+
+def site_root(url: Column) -> Column:
+    """Scheme and host of an address."""
+    return F.concat(_part(url, 1), F.lit("://"), _part(url, 2))
+
+
+def teamtailor_root(slug_or_url: Column) -> Column:
+    """A slug's own site, or that of an address."""
+    return F.when(slug_or_url.contains(".") | slug_or_url.startswith("http"), site_root(slug_or_url)).otherwise(F.concat(F.lit("https://"), slug_or_url, F.lit(".teamtailor.com")))

@@ -20,5 +20,5 @@ def register(spark: SparkSession) -> list[str]:
     """Makes the functions known to a session; returns their names."""
     for head, body in EXPRESSIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
-    spark.udf.register("pay_parse", pay.parse_salary)
+    spark.udf.register("pay_parse", pay._parsed)
     return [h.split("(")[0] for h in EXPRESSIONS] + ["pay_parse"]
