@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,14 +20,38 @@ CRAWL_RUNS = "run_id bigint, company_id string, ats string, slug_or_url string,
 SEARCHES = "search_id bigint, search_term string, location string, run_at string, n_jobs bigint, n_companies bigint, n_jobs_with_salary bigint, n_jobs_vague bigint, ral_min_median double, ral_max_median double"
 TABLES = {"companies": COMPANIES, "ats_registry": ATS_REGISTRY, "locations": LOCATIONS, "jobs": JOBS, "job_locations": JOB_LOCATIONS, "crawl_runs": CRAWL_RUNS, "searches": SEARCHES}
 
+# Sectors of each macro-sector; others count as other.
+MACRO_SECTORS = {
+    "finance": ["banks", "asset_management", "insurance", "financial_services", "fintech"],
+    "consulting": ["big4", "consulting", "it_consulting"],
+    "tech_media": ["software_saas", "big_tech", "ecommerce_marketplace", "education", "marketing_media", "media_publishing"],
+    "energy_infrastructure": ["energy_utilities", "telco", "infrastructure", "transport_logistics"],
+    "industry_pharma": ["industrial", "automotive", "pharma_health", "food_beverage", "consumer_goods"],
+    "fashion_retail": ["fashion_luxury", "retail"],
+}
+
 # Labels shown for codes.
 LABELS = {
-    "salary_transparency": {"figure": "Figure stated", "vague": "Vague wording", "none": "Nothing stated"},
-    "posting_period": {"post_law": "After the law", "pre_law": "Before the law", "old": "Over a year old"},
+    "country": {"IT": "Italy", "DE": "Germany", "NL": "Netherlands", "FR": "France", "not_stated": "Remote in Europe"},
+    "macro_sector": {"finance": "Finance and insurance", "consulting": "Consulting", "tech_media": "Technology and media", "energy_infrastructure": "Energy, telco and infrastructure", "industry_pharma": "Industry and pharma", "fashion_retail": "Fashion and retail"},
+    "sector": {
+        "banks": "Banks", "asset_management": "Asset management", "insurance": "Insurance", "financial_services": "Financial services", "fintech": "Fintech and insurtech", "big4": "Big Four", "consulting": "Consulting", "it_consulting": "IT consulting",
+        "marketing_media": "Marketing and media agencies", "media_publishing": "Media and publishing", "energy_utilities": "Energy and utilities", "telco": "Telecommunications", "fashion_luxury": "Fashion and luxury", "retail": "Retail and grocery",
+        "industrial": "Industrial", "automotive": "Automotive", "food_beverage": "Food and beverage", "consumer_goods": "Consumer goods", "pharma_health": "Pharma and healthcare", "transport_logistics": "Transport and logistics", "infrastructure": "Infrastructure",
+        "big_tech": "Big tech", "software_saas": "Software", "ecommerce_marketplace": "E-commerce and marketplaces", "education": "Education",
+    },
+    "job_function": {
+        "engineering": "Engineering and IT", "data": "Data and analytics", "product": "Product", "design": "Design", "project_management": "Project management", "sales": "Sales", "retail": "Stores", "marketing": "Marketing and communication",
+        "finance": "Finance and accounting", "insurance": "Insurance (claims, actuarial)", "hr": "Human resources", "legal": "Legal, compliance and tenders", "strategy": "Strategy and planning", "admin": "Office support and back office",
+        "customer_service": "Customer service", "operations": "Operations, production and technicians", "consulting": "Consulting", "healthcare": "Healthcare", "hospitality": "Food service and hospitality", "other": "Other",
+    },
+    "seniority": {"intern": "Internship", "junior": "Junior", "mid": "Mid-level", "senior": "Senior", "lead": "Lead / expert specialist", "manager": "Manager", "director": "Director", "executive": "Executive"},
+    "contract_type": {"permanent": "Permanent", "fixed_term": "Fixed term", "internship": "Internship", "apprenticeship": "Apprenticeship", "freelance": "Freelance", "agency": "Agency work"},
     "workplace_type": {"onsite": "On site", "hybrid": "Hybrid", "remote": "Remote"},
-    "seniority": {"intern": "Intern", "junior": "Junior", "mid": "Mid", "senior": "Senior", "lead": "Lead", "manager": "Manager", "director": "Director", "executive": "Executive"},
-    "contract_type": {"permanent": "Permanent", "fixed_term": "Fixed term", "internship": "Internship", "apprenticeship": "Apprenticeship", "freelance": "Freelance", "agency": "Agency"},
-}
+    "salary_transparency": {"figure": "States the pay", "vague": "Vague wording only", "none": "No information"},
+    "posting_period": {"post_law": "From 7 June 2026", "pre_law": "Before the law", "old": "Online for over a year"},
+    "region": {"Remote": "Remote", "Unspecified": "Location not stated"},
+}
 
 
 def fields(ddl: str) -> T.StructType:
@@ -46,3 +70,16 @@ def labelled(df: DataFrame, column: str, to: str = "label") -> DataFrame:
     pairs = [F.lit(x) for kv in LABELS[column].items() for x in kv]
     own = F.coalesce(F.col(column), F.lit("not_stated"))
     return df.withColumn(to, F.coalesce(F.element_at(F.create_map(*pairs), own), own))
+
+
+def percent(value: Column, digits: int = 0) -> Column:
+    return F.concat(F.format_number(value, digits), F.lit(" %"))
+
+
+def euro(value: Column) -> Column:
+    return F.concat(F.lit("€"), F.format_number(value, 0))
+
+
+def pay_range(low: Column, high: Column) -> Column:
+    """One amount, or two with a dash; NULL without the lower one."""
+    return F.when(high.isNull() | (high == low), euro(low)).otherwise(F.concat(euro(low), F.lit(" – "), euro(high)))
