@@ -2,55 +2,105 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.functions.ids import company_id, core_tokens
+from wagewright.functions.ids import company_id, core_tokens, workday_parts, workday_url
 from wagewright.functions.places import scope_country
 
-# System and the pattern whose first group is a board's slug.
-FINGERPRINTS = {
-    "greenhouse": r"(?:boards|job-boards)(?:\.eu)?\.greenhouse\.io/(?:embed/job_board(?:/js)?\?for=)?([A-Za-z0-9_-]+)",
-    "lever": r"jobs\.(?:eu\.)?lever\.co/([A-Za-z0-9_-]+)",
-    "ashby": r"jobs\.ashbyhq\.com/([A-Za-z0-9_%.-]+)",
-    "workable": r"apply\.workable\.com/([A-Za-z0-9_-]+)",
-    "recruitee": r"([A-Za-z0-9-]+)\.recruitee\.com",
-    "personio": r"([A-Za-z0-9-]+)\.jobs\.personio\.(?:de|com)",
-    "teamtailor": r"([A-Za-z0-9-]+)\.teamtailor\.com",
-    "workday": r"([A-Za-z0-9-]+)\.wd\d+\.myworkdayjobs\.com",
-    "successfactors": r"([A-Za-z0-9-]+)\.successfactors\.(?:eu|com)",
-}
-SUPPORTED = list(FINGERPRINTS)
+# System and a pattern whose first group is a board's slug; a pattern without a group only tells the system.
+FINGERPRINTS = [
+    ("greenhouse", r"(?:job-)?boards(?:-api)?(?:\.eu)?\.greenhouse\.io/(?:v1/boards/|embed/job_(?:board|app)(?:/js)?\?(?:[^\"'\s<>]*?&(?:amp;)?)?for=)?([\w-]+)"),
+    ("lever", r"(?:jobs|api)(?:\.eu)?\.lever\.co/(?:v0/postings/)?([\w.-]+)"),
+    ("ashby", r"(?:jobs|api)\.ashbyhq\.com/(?:posting-api/job-board/)?([\w.%-]+)"),
+    ("smartrecruiters", r"(?:careers|jobs)\.smartrecruiters\.com/([\w-]+)"),
+    ("smartrecruiters", r"api\.smartrecruiters\.com/v1/companies/([\w-]+)"),
+    ("workable", r"apply\.workable\.com/([\w-]+)"),
+    ("workable", r"([\w-]+)\.workable\.com"),
+    ("recruitee", r"([\w-]+)\.recruitee\.com"),
+    ("teamtailor", r"([\w-]+)\.teamtailor\.com"),
+    ("teamtailor", r"teamtailor(?:-cdn)?\.com"),
+    ("personio", r"([\w-]+)\.jobs\.personio\.(?:de|com)"),
+    ("successfactors", r"successfactors\.(?:com|eu)/[^\"'\s<>]*?company=([\w-]+)"),
+    ("successfactors", r"[\w-]+\.jobs2web\.com"),
+    ("successfactors", r"rmkcdn\.successfactors\.com"),
+    ("oracle", r"([\w-]+\.fa\.[\w-]+\.oraclecloud\.com/hcmUI/CandidateExperience(?:/[a-z]{2}(?:-[A-Z]{2})?)?(?:/sites/[\w-]+)?)"),
+    ("taleo", r"([\w-]+)\.taleo\.net"),
+    ("icims", r"([\w-]+)\.icims\.com"),
+    ("avature", r"([\w-]+)\.avature\.net"),
+    ("avature", r"//([\w.-]+\.[a-z]{2,})/[a-z]{2}_[A-Z]{2}/careers/(?:JobOpenings|SearchJobs|JobDetail|Home)"),
+    ("inrecruiting", r"([\w-]+)\.(?:intervieweb\.it|inrecruiting\.com)"),
+    ("inrecruiting", r"(?:intervieweb\.it|inrecruiting\.com)"),
+    ("altamira", r"([\w-]+)\.altamirahrm\.com"),
+    ("altamira", r"altamirahrm\.com"),
+    ("jobvite", r"jobs\.jobvite\.com/([\w-]+)"),
+    ("eightfold", r"([\w-]+)\.eightfold\.ai"),
+    ("phenom", r"phenompeople\.com"),
+    ("cornerstone", r"([\w-]+)\.csod\.com"),
+    ("factorial", r"([\w-]+)\.factorialhr\.(?:com|it|es)"),
+]
+WORKDAY = r"(?:[\w-]+\.wd\d+\.myworkdayjobs\.com|wd\d+\.myworkdaysite\.com)(?:/[^\s\"'<>?#\\]*)?"
+#: Systems whose boards can be read; of the last some boards can't.
+SUPPORTED = ["greenhouse", "lever", "ashby", "workday", "workable", "personio", "recruitee", "oracle", "teamtailor", "successfactors"]
+PARTIAL = ["successfactors"]
 #: Words that stand where a slug would, but aren't one.
-NOT_SLUGS = ["www", "api", "app", "embed", "static", "assets", "cdn", "help", "support", "jobs", "careers", "js", "css"]
+NOT_SLUGS = (
+    "www app api apply assets cdn static careers career jobs job help support status embed v0 v1 js css img images favicon boards job-boards login signin widget widgets media files eu us en it de fr privacy terms developers docs "
+    "posting-api job-board scripts fonts cookies blog j analytics tracking metrics cdn-assets inrecruiting tt zinrec"
+).split()
+#: Signs written as escapes in addresses.
+ESCAPES = {r"\\u002[fF]|\\/|%2[fF]|&#x2F;": "/", "%3[aA]": ":", "%3[fF]": "?", "%3[dD]": "=", "%26": "&", "%2[eE]": "."}
 
 
 def unescaped(text: Column) -> Column:
-    """Slashes written as escapes made plain."""
-    return F.regexp_replace(text, r"(?i)\\u002f|\\/|%2f|&#x2f;|&#47;", "/")
+    """Addresses with the signs that delimit their parts made plain."""
+    for escape, sign in ESCAPES.items():
+        text = F.regexp_replace(text, escape, sign)
+    return text
+
 
+def fingerprints(pages: DataFrame, key: str = "page_id", text: str = "html") -> DataFrame:
+    """key, ats, slug, instance, supported, n (how often), evidence (the first match): boards that a page points to.
 
-def fingerprints(pages: DataFrame, key: str = "page_id", text: str = "html", patterns: dict[str, str] = FINGERPRINTS) -> DataFrame:
-    """key, ats, slug, n (how often), instance: boards that a page points to."""
+    A match whose slug is a word of shared addresses doesn't count. instance is us or eu for the two systems that have
+    two, by the match itself. A workday board's slug is its address.
+    """
     plain = pages.select(key, unescaped(F.col(text)).alias("t"))
+    kind = "array<struct<ats:string,seen:string,slug:string,at:int>>"
+
+    def of(ats: str, pattern: str, i: int) -> Column:
+        own = F.regexp_extract_all("t", F.lit(f"(?i){pattern}"), 0)
+        slug = (lambda m: F.regexp_replace(F.regexp_extract(m, f"(?i){pattern}", 1), r"^[.-]+|[.-]+$", "")) if has_group(pattern) else (lambda m: F.lit(""))
+        return F.transform(own, lambda m, k: F.struct(F.lit(ats).alias("ats"), m.alias("seen"), slug(m).alias("slug"), (k * 1000 + i).cast("int").alias("at"))).cast(kind)
+
+    found = F.flatten(F.array(*(of(ats, p, i) for i, (ats, p) in enumerate([*FINGERPRINTS, ("workday", WORKDAY)]))))
+    rows = plain.select(key, F.explode(found).alias("e")).select(key, "e.*")
+    board = workday_parts(F.col("seen"))
+    address = F.when(board["tenant"].isNotNull(), F.coalesce(workday_url(board), F.concat(F.lit("https://"), board["host"])))
+    rows = rows.withColumn("slug", F.when(F.col("ats") == "workday", address).otherwise(F.coalesce(F.try_url_decode("slug"), "slug")))
+    rows = rows.where(F.when(F.col("ats") == "workday", F.col("slug").isNotNull()).otherwise(~F.lower("slug").isin(NOT_SLUGS)))
+    instance = F.when(F.col("ats").isin("greenhouse", "lever"), F.when(F.col("seen").rlike(r"(?i)\.eu\.(?:greenhouse|lever)\."), "eu").otherwise("us"))
+    named = rows.withColumns({"instance": instance, "slug": F.nullif("slug", F.lit("")), "supported": F.col("ats").isin(SUPPORTED)})
+    return named.groupBy(key, "ats", "slug", "instance", "supported").agg(F.count("*").alias("n"), F.substring(F.min_by("seen", "at"), 1, 150).alias("evidence"))
 
-    def of(ats: str, pattern: str) -> Column:
-        return F.transform(F.regexp_extract_all("t", F.lit(pattern), 1), lambda s: F.struct(F.lit(ats).alias("ats"), F.lower(s).alias("slug")))
 
-    found = F.flatten(F.array(*(of(ats, p) for ats, p in patterns.items())))
-    eu = F.when(F.col("t").rlike(r"\.eu\.(?:lever|greenhouse)|(?:boards|jobs)\.eu\."), "eu").otherwise("us")
-    rows = plain.select(key, F.explode(found).alias("e"), eu.alias("instance")).where(~F.col("e.slug").isin(NOT_SLUGS))
-    return rows.groupBy(key, "e.ats", "e.slug", "instance").agg(F.count("*").alias("n"))
+def has_group(pattern: str) -> bool:
+    return re.compile(pattern).groups > 0
 
 
 def merged(found: DataFrame) -> DataFrame:
-    """One row per ats, slug and instance."""
-    return found.groupBy("ats", "slug", "instance").agg(F.sum("n").alias("n"))
+    """One row per ats, slug and instance over all pages, with evidence of one of them."""
+    return found.groupBy("ats", "slug", "instance", "supported").agg(F.sum("n").alias("n"), F.min("evidence").alias("evidence"))
 
 
 def ranked(found: DataFrame, key: str) -> DataFrame:
-    """Per key the rank of each fingerprint: supported systems, then those with a slug, then the commonest."""
-    order = [F.desc(F.col("ats").isin(SUPPORTED)), F.desc(F.col("slug") != ""), F.desc("n"), F.asc("ats"), F.asc("slug")]
+    """Per key the rank of each fingerprint: supported systems, then those with a slug (for workday: with a site), then
+    the commonest."""
+    telling = F.col("slug").isNotNull() & (F.regexp_count("slug", F.lit("/")) != 2)
+    order = [F.desc(F.col("ats").isin(SUPPORTED)), F.desc(F.coalesce(telling, F.lit(False))), F.desc("n"), F.asc("ats"), F.asc("slug")]
     return found.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
 
 
@@ -131,10 +181,21 @@ def scope_counts(ads: DataFrame) -> DataFrame:
     return by_ad.groupBy("board").agg(F.count("*").alias("n_jobs_total"), F.coalesce(F.sum("it"), F.lit(0)).alias("n_jobs_italy"), F.coalesce(F.sum("any"), F.lit(0)).alias("n_jobs_scope"))
 
 
-def needs_check(last_checked: Column, today: Column, days: int, force: bool = False, changed: Column | None = None) -> Column:
-    """Never looked at, long ago, changed by hand, or forced."""
-    stale = last_checked.isNull() | (F.datediff(today, last_checked) >= days)
-    return F.lit(force) | stale | (F.coalesce(changed, F.lit(False)) if changed is not None else F.lit(False))
+def needs_check(last_checked: Column, today: Column, days: int, force: bool = False, changed: Column | None = None, newly: Column | None = None, uncounted: Column | None = None) -> Column:
+    """Never looked at, long ago, changed by hand, of a system that can be read now, without a count of ads, or forced."""
+    reasons = [F.coalesce(c, F.lit(False)) for c in (changed, newly, uncounted) if c is not None]
+    return reduce(lambda a, b: a | b, reasons, F.lit(force) | last_checked.isNull() | (F.datediff(today, last_checked) >= days))
+
+
+def newly_supported(ats: Column, supported: Column, notes: Column) -> Column:
+    """Found when the system couldn't be read yet; not a board of which it is known that it can't."""
+    known = ats.isin(PARTIAL) & F.contains(F.coalesce(notes, F.lit("")), F.lit("no public job list"))
+    return ats.isin(SUPPORTED) & (supported == 0) & ~known
+
+
+def uncounted(supported: Column, jobs_total: Column, jobs_italy: Column) -> Column:
+    """Readable and with ads, of which Italy's weren't counted."""
+    return (supported == 1) & (jobs_total > 0) & jobs_italy.isNull()
 
 
 def with_overrides(found: DataFrame, overrides: DataFrame, key: str = "company_id") -> DataFrame:
