@@ -49,6 +49,14 @@ def country_code(country: Column) -> Column:
     return F.coalesce(*(F.when(country == name, code) for code, name in places.NAMES.items()), F.lit("IT"))
 
 
+def last_rows(ads: DataFrame) -> DataFrame:
+    """One row of each ad: that with the greatest ordinal where raw has one (the order in which ads were read), of equal
+    ones the greatest by its other columns."""
+    columns = [c for c in ads.columns if c not in ("job_key", "ordinal")]
+    order = [F.col(c) for c in (["ordinal"] if "ordinal" in ads.columns else []) + columns]
+    return ads.groupBy("job_key").agg(F.max(F.struct(*order)).alias("a")).select("job_key", "a.*")
+
+
 def build(raw: DataFrame, boards: DataFrame, gazetteer: DataFrame, known: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
     """(ads, their places) of one crawl.
 
@@ -56,7 +64,8 @@ def build(raw: DataFrame, boards: DataFrame, gazetteer: DataFrame, known: DataFr
     outside the observed countries don't count. Personal data in texts is scrubbed before anything else reads them.
     """
     ads = raw.where(F.coalesce("job_id", F.lit("")) != "").where(~rules.is_open_application(F.col("title")))
-    ads = ads.withColumn("job_key", F.concat_ws("|", "ats", "board", "job_id")).dropDuplicates(["job_key"])
+    ads = ads.withColumn("job_key", F.concat_ws("|", "ats", "board", "job_id"))
+    ads = last_rows(ads)
     spots = places_of(ads, gazetteer)
     main = spots.groupBy("job_key").agg(F.min_by(F.struct("location_id", "city", "place_country", "is_remote"), "ordinal").alias("p"))
     seen = ads.join(main, "job_key").join(known.select("job_key", F.col("first_seen").alias("_first")), "job_key", "left").join(boards.select("board", "company_id"), "board", "left")

@@ -9,11 +9,14 @@ from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagewright.functions.text import clean_html
+from wagewright.functions.ids import site_root
+from wagewright.functions.places import scope_country
+from wagewright.functions.text import _unescape, clean_html
+from wagewright.stores import written
 
 RAW_AD = ["ats", "board", "job_id", "title", "location", "locations_all", "country", "department", "employment_type", "workplace_type", "posted_at", "url", "description", "salary_structured"]
 PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -95,11 +98,70 @@ def workday(docs: DataFrame) -> DataFrame:
     return out.dropDuplicates(["board", "job_id"])
 
 
+MANY_PLACES = r"(?i)^\d+ (?:locations|sedi|località|standorte|lieux|locaties)$"
+
+
+def workday_ads(lists: DataFrame, details: DataFrame, cap: int | None = None) -> DataFrame:
+    """RAW_AD of boards whose lists and details are separate answers.
+
+    lists: board, facet (the country the list was asked for, NULL for none), offset, body (a page of postings); details:
+    board, path, body. Of each board and country at most ``cap`` postings count, so that none crowds out another; an
+    ad in two countries counts once. Without a country's list only postings that name an observed place or several
+    places are looked up. A posting without details is left out.
+    """
+    posting = "array<struct<externalPath string, title string, locationsText string>>"
+    rows = lists.select("board", "facet", "offset", F.posexplode(F.from_json("body", f"struct<jobPostings {posting}>")["jobPostings"]).alias("i", "p")).select("board", "facet", "offset", "i", "p.*")
+    place = F.coalesce("locationsText", F.lit(""))
+    rows = rows.where(F.col("externalPath").isNotNull() & (F.col("facet").isNotNull() | scope_country(place, F.lit(None)).isNotNull() | place.rlike(MANY_PLACES)))
+    if cap is not None:
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("board", "facet").orderBy("offset", "i"))).where(F.col("_n") <= cap)
+    once = rows.groupBy("board", "externalPath").agg(F.min_by(F.struct("title", "locationsText"), F.struct("facet", "offset", "i")).alias("p"))
+    info = "struct<jobPostingInfo struct<jobReqId string, id string, title string, location string, additionalLocations array<string>, country struct<descriptor string>, timeType string, remoteType string, startDate string, externalUrl string, jobDescription string>>"
+    told = details.select("board", F.col("path").alias("externalPath"), F.from_json("body", info)["jobPostingInfo"].alias("d"))
+    full = once.join(told, ["board", "externalPath"])
+    several = F.when(F.size("d.additionalLocations") > 0, F.concat(F.array("d.location"), F.col("d.additionalLocations")))
+    return _ads(full, "workday", job_id=F.coalesce("d.jobReqId", "d.id", "externalPath"), title=F.coalesce("d.title", "p.title"), location=F.coalesce("d.location", "p.locationsText"), locations_all=several, country=F.col("d.country.descriptor"), employment_type=F.col("d.timeType"), workplace_type=F.col("d.remoteType"), posted_at=F.col("d.startDate"), url=F.coalesce("d.externalUrl", F.concat("board", "externalPath")), description=clean_html(F.col("d.jobDescription")))
+
+
+REQUISITION = "struct<Id string, Title string, PrimaryLocation string, PrimaryLocationCountry string, secondaryLocations array<struct<Name string, CountryCode string>>, JobFamily string, JobFunction string, ContractType string, JobSchedule string, WorkplaceType string, WorkplaceTypeCode string, PostedDate string, ExternalDescriptionStr string>"
+
+
+def _requisitions(docs: DataFrame) -> DataFrame:
+    rows = _each(docs, f"struct<items array<struct<requisitionList array<{REQUISITION}>>>>", "items")
+    return rows.select("board", F.explode("a.requisitionList").alias("a"))
+
+
+def _oracle_fields() -> dict[str, Column]:
+    secondary = F.filter("a.secondaryLocations.Name", lambda x: F.coalesce(x, F.lit("")) != "")
+    several = F.when(F.size(secondary) > 0, F.concat(F.array("a.PrimaryLocation"), secondary))
+    return {"job_id": F.col("a.Id"), "title": F.col("a.Title"), "location": F.col("a.PrimaryLocation"), "locations_all": several, "country": F.col("a.PrimaryLocationCountry"), "department": F.coalesce("a.JobFamily", "a.JobFunction"), "employment_type": F.nullif(F.concat_ws(" ", "a.ContractType", "a.JobSchedule"), F.lit("")), "workplace_type": F.coalesce("a.WorkplaceTypeCode", "a.WorkplaceType"), "posted_at": F.col("a.PostedDate")}
+
+
 @parser("oracle")
 def oracle(docs: DataFrame) -> DataFrame:
-    a = "struct<Id string, Title string, PrimaryLocation string, PrimaryLocationCountry string, secondaryLocations array<struct<Name string, CountryCode string>>, JobFamily string, JobSchedule string, WorkplaceType string, PostedDate string, ExternalDescriptionStr string>"
-    rows = _each(docs, f"struct<items array<struct<requisitionList array<{a}>>>>", "items").select("board", F.explode("a.requisitionList").alias("a"))
-    return _ads(rows, "oracle", job_id=F.col("a.Id"), title=F.col("a.Title"), location=F.col("a.PrimaryLocation"), locations_all=F.col("a.secondaryLocations.Name"), country=F.col("a.PrimaryLocationCountry"), department=F.col("a.JobFamily"), employment_type=F.col("a.JobSchedule"), workplace_type=F.col("a.WorkplaceType"), posted_at=F.col("a.PostedDate"), description=clean_html(F.col("a.ExternalDescriptionStr")))
+    return _ads(_requisitions(docs), "oracle", **_oracle_fields(), description=clean_html(F.col("a.ExternalDescriptionStr")))
+
+
+def oracle_ads(lists: DataFrame, details: DataFrame) -> DataFrame:
+    """RAW_AD of boards whose lists (board, body) and details (board, job_id, body) are separate answers.
+
+    Only ads of observed countries are looked up; one without details has an empty description.
+    """
+    rows = _requisitions(lists)
+    codes = F.concat(F.array("a.PrimaryLocationCountry"), F.coalesce("a.secondaryLocations.CountryCode", F.array().cast("array<string>")))
+    places = F.concat(F.array("a.PrimaryLocation"), F.coalesce("a.secondaryLocations.Name", F.array().cast("array<string>")))
+    seen = rows.withColumn("_c", F.array_join(codes, "|")).withColumn("_in", F.col("_c").rlike(r"(?i)(?:^|\|)(?:IT|DE|NL|FR)(?:\||$)") | scope_country(F.array_join(places, ", "), F.lit(None)).isNotNull())
+    told = details.select("board", "job_id", F.from_json("body", "struct<items array<struct<ExternalDescriptionStr string, ExternalResponsibilitiesStr string, ExternalQualificationsStr string>>>")["items"][0].alias("d"))
+    full = seen.where("_in").withColumn("job_id", F.col("a.Id")).join(told, ["board", "job_id"], "left")
+    text = clean_html(F.concat_ws(" ", "d.ExternalDescriptionStr", "d.ExternalResponsibilitiesStr", "d.ExternalQualificationsStr"))
+    return _ads(full, "oracle", **_oracle_fields(), description=text)
+
+
+def first_answers(answers: DataFrame, instances: tuple[str, ...] = ("us", "eu")) -> DataFrame:
+    """board, instance, body: of each board's answers (board, instance, status, body) the first good one in order."""
+    order = F.array_position(F.array(*map(F.lit, instances)), F.col("instance"))
+    fine = answers.where((F.col("status") == 200) & (order > 0))
+    return fine.groupBy("board").agg(F.min_by(F.struct("instance", "body"), order).alias("a")).select("board", "a.*")
 
 
 @parser("personio")
@@ -172,36 +234,63 @@ def inner_html_column(pages: pd.Series, values: pd.Series) -> pd.Series:
 
 @parser("successfactors")
 def successfactors(docs: DataFrame) -> DataFrame:
-    """One ad page per row, with the column url."""
+    """One ad page per row, with the column url. The place is city, region and country, else what the address says."""
     def prop(name: str) -> Column:
-        return F.nullif(F.regexp_extract("body", rf'(?is)<meta[^>]*itemprop="{name}"[^>]*content="([^"]*)"', 1), F.lit(""))
+        return F.nullif(F.trim(_unescape(F.regexp_extract("body", rf'(?is)<meta[^>]*itemprop="{name}"[^>]*content="([^"]*)"', 1))), F.lit(""))
 
     og = F.nullif(F.regexp_extract("body", r'(?is)<meta[^>]*property="og:title"[^>]*content="([^"]*)"', 1), F.lit(""))
     title = F.coalesce(F.nullif(clean_html(F.regexp_extract("body", r'(?is)itemprop="title"[^>]*>(.*?)</', 1)), F.lit("")), clean_html(og))
     day = F.try_to_timestamp(F.regexp_replace(prop("datePosted"), r"^[A-Za-z]{3} ", ""), F.lit("MMM dd HH:mm:ss z yyyy"))
     number = F.regexp_extract("url", r"/(\d+)/?$", 1)
-    return _ads(docs, "successfactors", job_id=number, title=title, location=F.coalesce(prop("streetAddress"), prop("addressLocality")), country=prop("addressCountry"), posted_at=F.date_format(day, "yyyy-MM-dd"), url=F.col("url"), description=clean_html(inner_html_column(F.col("body"), F.lit("description"))))
-
-
-def sitemap_urls(docs: DataFrame) -> DataFrame:
-    """board, url: the different ad addresses in a site's maps, in order; open applications left out."""
-    urls = docs.select("board", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), 1))).alias("url"))
-    return urls.where(F.col("url").contains("/job/") & ~F.lower("url").rlike("open-application|spontan|talent-community"))
-
-
-def facet_counts(docs: DataFrame, levels: int = 3) -> DataFrame:
-    """board, country code, n: ads by country in a tree of facets; per country the greatest count anywhere."""
+    named = F.nullif(F.concat_ws(", ", prop("addressLocality"), prop("addressRegion"), prop("addressCountry")), F.lit(""))
+    part = F.regexp_extract("url", r"/job/([^/]+)", 1)
+    said = F.nullif(F.regexp_replace(F.coalesce(F.try_url_decode(part), part), "[-_]+", " "), F.lit(""))
+    text = F.substring(clean_html(inner_html_column(F.col("body"), F.lit("description"))), 1, 20_000)
+    return _ads(docs, "successfactors", job_id=number, title=title, location=F.coalesce(named, said), country=prop("addressCountry"), employment_type=prop("employmentType"), posted_at=F.coalesce(F.date_format(day, "yyyy-MM-dd"), prop("datePosted")), url=F.col("url"), description=text)
+
+
+NO_AD = r"(?i)talent-?community|candidatura-spontanea|spontaneous"
+
+
+def sitemap_urls(docs: DataFrame, most: int = 10) -> DataFrame:
+    """board, url: the different ad addresses of a site's maps; open applications left out.
+
+    docs: board, url, body of the maps that were fetched. The walk begins at the board's sitemap.xml and follows maps
+    that maps name on the same host, ``most`` of them at most, the nearest to the first and then the first named.
+    """
+    maps = docs.select("board", "url", "body")
+    reached = maps.select("board", F.concat(site_root(F.col("board")), F.lit("/sitemap.xml")).alias("url")).distinct().withColumn("at", F.lit("0"))
+    known = level = written(reached, "maps")
+    for depth in range(1, most):
+        nested = level.join(maps, ["board", "url"]).select("board", "at", F.posexplode(F.regexp_extract_all("body", F.lit(r"<sitemap>\s*<loc>\s*([^<\s]+)\s*</loc>"), 1)).alias("i", "url"))
+        here = nested.where(site_root(F.col("url")) == site_root(F.col("board"))).join(known, ["board", "url"], "left_anti")
+        place = F.concat_ws(".", F.lit(str(depth)), F.regexp_replace("at", r"^\d+\.?", ""), F.lpad(F.col("i").cast("string"), 6, "0"))
+        level = written(here.groupBy("board", "url").agg(F.min(place).alias("at")), "maps")
+        if level.isEmpty():
+            break
+        known = known.unionByName(level)
+    walked = known.withColumn("_n", F.row_number().over(Window.partitionBy("board").orderBy("at", "url"))).where(F.col("_n") <= most)
+    urls = walked.join(maps, ["board", "url"]).select("board", F.explode(F.regexp_extract_all("body", F.lit(r"<loc>\s*([^<\s]*/job/[^<\s]*)\s*</loc>"), 1)).alias("url")).distinct()
+    return urls.select("board", F.replace("url", F.lit("&amp;"), F.lit("&")).alias("url")).where(~F.col("url").rlike(NO_AD))
+
+
+def facet_counts(docs: DataFrame) -> DataFrame:
+    """board, country code, n: ads by country in a tree of facets of any depth; per country the greatest count anywhere."""
     v = F.try_parse_json("body")
-    nodes = docs.select("board", F.explode(F.try_variant_get(v, "$.facets", "array<variant>")).alias("v"))
-    every = nodes
-    for _ in range(levels):
-        nodes = nodes.select("board", F.explode(F.try_variant_get("v", "$.values", "array<variant>")).alias("v"))
-        every = every.unionByName(nodes)
-    from wagewright.functions.places import scope_country
-
+    level = written(docs.select("board", F.explode(F.try_variant_get(v, "$.facets", "array<variant>")).alias("v")), "facets")
+    every = level
+    while not level.isEmpty():
+        level = written(level.select("board", F.explode(F.try_variant_get("v", "$.values", "array<variant>")).alias("v")), "facets")
+        every = every.unionByName(level)
     named = every.select("board", scope_country(F.lit(""), F.try_variant_get("v", "$.descriptor", "string")).alias("cc"), F.try_variant_get("v", "$.count", "bigint").alias("n"))
     return named.where("cc is not null and n is not null").groupBy("board", "cc").agg(F.max("n").alias("n"))
 
 
+def facet_totals(docs: DataFrame) -> DataFrame:
+    """board, n_jobs_italy, n_jobs_scope by the facets; NULL where they name no country."""
+    counts = facet_counts(docs).groupBy("board").agg(F.max(F.when(F.col("cc") == "IT", F.col("n"))).alias("n_jobs_italy"), F.sum("n").alias("n_jobs_scope"))
+    return docs.select("board").distinct().join(counts, "board", "left")
+
+
 def parse(docs: DataFrame, ats: str) -> DataFrame:
     return PARSERS[ats](docs)

@@ -33,6 +33,22 @@ def overrides(spark: SparkSession, path: str) -> DataFrame:
     return first_of(rows, ["company_id"], "_o", last=True).drop("_o")
 
 
+def unknown_overrides(overrides: DataFrame, companies: DataFrame) -> DataFrame:
+    """Corrections of companies that aren't in the list."""
+    return overrides.join(companies.select("company_id"), "company_id", "left_anti")
+
+
+def eurostat_units(spark: SparkSession, path: str) -> DataFrame:
+    """Local units of a CSV whose header names them; european_municipalities takes them."""
+    rows = spark.read.csv(path, header=True)
+    return rows.select("country_code", "nuts3", "lau_code", "name_latin", "name", F.col("population").try_cast("bigint").alias("population"))
+
+
+def eurostat_regions(spark: SparkSession, path: str) -> DataFrame:
+    """Region codes and their names, one column for each level, of a CSV with a header."""
+    return spark.read.csv(path, header=True).select("code", "n1", "n2", "n3", "n4")
+
+
 def italian_municipalities(spark: SparkSession, path: str, population_path: str) -> DataFrame:
     """Municipalities of a semicolon-separated file, by place of the column; short rows and rows without a code go."""
     cells = spark.read.text(path).select(F.split("value", ";").alias("c")).where((F.size("c") >= 15) & (F.trim(F.get("c", F.lit(4))) != "")).where(F.trim(F.get("c", F.lit(4))).rlike(r"^\d+$"))
