@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagewright.functions.ids import company_id
+from wagewright.stores import bounded
+
 
 def first_of(rows: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
     """One row per key: the first (or last) by order."""
@@ -58,11 +61,10 @@ def replay(snapshots: DataFrame, day: str = "day") -> DataFrame:
 
     An ad is active if it is in its board's last snapshot.
     """
-    last_day = F.max(day).over(Window.partitionBy("board"))
+    ads = snapshots.groupBy("board", "job_key").agg(F.min(day).alias("first_seen"), F.max(day).alias("last_seen"), F.max(F.struct(day, "ordinal", "pay"))["pay"].alias("pay"))
+    boards = snapshots.groupBy("board").agg(F.max(day).alias("board_day"))
     return (
-        snapshots.withColumn("board_day", last_day)
-        .groupBy("board", "job_key")
-        .agg(F.min(day).alias("first_seen"), F.max(day).alias("last_seen"), F.max("board_day").alias("board_day"), F.max(F.struct(day, "ordinal", "pay"))["pay"].alias("pay"))
+        ads.join(bounded(boards), "board")
         .select("board", "job_key", "first_seen", "last_seen", (F.col("last_seen") == F.col("board_day")).cast("int").alias("is_active"), "pay")
     )
 
@@ -80,3 +82,14 @@ def run_counters(merged: DataFrame, seen: DataFrame, now) -> DataFrame:
     downloaded = seen.groupBy("board").agg(F.count("*").alias("downloaded"))
     kept = merged.where(F.col("last_seen") == F.lit(now)).groupBy("board").agg(F.count("*").alias("kept"), F.count_if(F.col("first_seen") == F.col("last_seen")).alias("new"))
     return downloaded.join(kept, "board", "left").na.fill(0, ["kept", "new"])
+
+
+def crawl_totals(counters: DataFrame) -> DataFrame:
+    """One row over all boards of a crawl."""
+    return counters.agg(F.count("*").alias("boards"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("downloaded", "kept", "new")))
+
+
+def named_companies(rows: DataFrame, names: list[str], column: str = "company_id") -> DataFrame:
+    """rows of the companies that a user names, in whatever spelling gives the same identifier."""
+    wanted = rows.sparkSession.createDataFrame([(n,) for n in names], "name string").select(company_id(F.col("name")).alias(column)).distinct()
+    return rows.join(wanted, column, "left_semi")

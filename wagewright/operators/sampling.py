@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagewright.stores import written
+
 #: Ads of each stratum in a sample of 200.
 QUOTAS = {"text": 120, "structured": 20, "vague": 30, "none": 30}
 PER_COMPANY = 8
@@ -23,7 +25,7 @@ def quotas(size: int) -> dict[str, int]:
 
 
 def stratified(rows: DataFrame, size: int, seed: int, key: str = "job_key", company: str = "company_id") -> DataFrame:
-    """Rows (columns source, transparency) in random order by a seeded hash: few per company, then a quota per stratum.
+    """Rows (columns source, transparency) in random order by a seeded digest: few per company, then a quota per stratum.
 
     A row can be in two strata.
     """
@@ -33,7 +35,7 @@ def stratified(rows: DataFrame, size: int, seed: int, key: str = "job_key", comp
             F.when(F.col("transparency") == "vague", "vague"), F.when(F.col("transparency") == "none", "none"),
         ), lambda s: s.isNotNull(),
     )
-    order = F.xxhash64(F.col(key), F.lit(seed))
+    order = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
     placed = rows.withColumn("stratum", F.explode(strata)).withColumn("_o", order)
     few = placed.withColumn("_c", F.row_number().over(Window.partitionBy("stratum", company).orderBy("_o", key))).where(F.col("_c") <= PER_COMPANY)
     quota = F.coalesce(*(F.when(F.col("stratum") == k, n) for k, n in quotas(size).items()))
@@ -66,12 +68,32 @@ def capped(rows: DataFrame, keys: list[str], order: list[str], cap: int) -> Data
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= cap).drop("_n")
 
 
-def evenly(rows: DataFrame, order: str, size: int) -> DataFrame:
-    """Every k-th row in order, k as large as leaves ``size`` of them; the first ``size``."""
-    n = rows.count()
-    k = max(1, n // size)
-    ordered = rows.orderBy(order).limit(k * size)
-    return ordered.withColumn("_n", F.row_number().over(Window.orderBy(order)) - 1).where(F.col("_n") % k == 0).limit(size).drop("_n")
+def evenly(rows: DataFrame, order: str, size: int, parts: int = 32) -> DataFrame:
+    """Every k-th row in order, k as large as leaves ``size`` of them; the first ``size``.
+
+    Rows are dealt to ranges of the order; a row's number is its number in its range and the rows of the ranges before.
+    """
+    dealt = rows.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
+    dealt = written(dealt, "ranges")
+    counts = {r["_part"]: r["count"] for r in dealt.groupBy("_part").count().collect()}
+    k = max(1, sum(counts.values()) // size)
+    ahead = [sum(n for p, n in counts.items() if p < part) for part in range(parts)]
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1 + F.get(F.array(*map(F.lit, ahead)), F.col("_part"))
+    return dealt.withColumn("_n", number).where((F.col("_n") % k == 0) & (F.col("_n") < k * size)).drop("_n", "_part")
+
+
+def unlabelled(jobs: DataFrame, samples: list[DataFrame]) -> DataFrame:
+    """jobs whose url has no verdict in any of the samples."""
+    for sample in samples:
+        done = sample.where(F.trim(F.coalesce("verdict", F.lit(""))) != "").select("url")
+        jobs = jobs.join(done, "url", "left_anti")
+    return jobs
+
+
+def unknown_verdicts(rows: DataFrame) -> DataFrame:
+    """Verdicts that aren't one of the accepted spellings, with how often they occur."""
+    own = F.trim("verdict")
+    return rows.where((own != "") & normal_verdict(own, F.lit(True)).isNull()).groupBy(own.alias("verdict")).count()
 
 
 def estimate(hits: Column, sampled: Column, total: Column) -> Column:

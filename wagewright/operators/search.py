@@ -73,3 +73,10 @@ def history_summary(searches: DataFrame) -> DataFrame:
         share("n_jobs_with_salary").alias("pct_with_salary"), "n_jobs_vague", share("n_jobs_vague").alias("pct_vague"), "ral_min_median", "ral_max_median",
         (F.col("n_jobs") - F.col("first.n_jobs")).alias("delta_n_jobs"), (F.col("n_jobs_with_salary") - F.col("first.n_jobs_with_salary")).alias("delta_with_salary"),
     )
+
+
+def appended(searches: DataFrame, found: DataFrame, term: str, location: str | None, run_at) -> DataFrame:
+    """searches with one more row: what a search found; its number follows the greatest."""
+    number = searches.agg((F.coalesce(F.max("search_id"), F.lit(0)) + 1).alias("search_id"))
+    row = summary(found).crossJoin(number).withColumns({"search_term": F.lit(term), "location": F.lit(location), "run_at": F.lit(run_at)})  # one row each
+    return searches.unionByName(row.select(*(F.col(c).cast(searches.schema[c].dataType).alias(c) for c in searches.columns)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,24 +14,56 @@ from wagewright.operators.history import merge_snapshot
 STORED = "board string, job_key string, first_seen timestamp, last_seen timestamp, is_active int, pay double"
 
 
+#: Parts of the stored ads, by a hash of the board; a batch rewrites only the parts of its boards.
+PARTS = 64
+
+
+def _read_index(spark: SparkSession, path: str, version: int) -> dict[str, int]:
+    """Which version holds each part, as the version's index says."""
+    if version < 0:
+        return {}
+    return json.loads(spark.read.text(f"{path}/v{version}/index").first()["value"])
+
+
+def _parts(spark: SparkSession, path: str, index: dict[str, int], parts: list[str]) -> DataFrame:
+    folders = [f"{path}/v{index[p]}/ads/part={p}" for p in parts if p in index]
+    return spark.read.schema(STORED).parquet(*folders) if folders else spark.createDataFrame([], STORED)
+
+
+def stored_ads(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """All ads as of a version."""
+    index = _read_index(spark, path, version)
+    return _parts(spark, path, index, list(index))
+
+
 def merge_into(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps one Parquet folder per version under path and merges each batch's boards.
+    """A foreachBatch function that merges each batch's boards into the ads under path.
 
-    A batch that comes again (its version is there already) changes nothing.
+    A version has the parts that its batch changed, and an index that names the version of every part; it counts once
+    its index is written. A batch that comes again (its index is there already) changes nothing. Parts that the version
+    before last still held but no later index names are removed.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{batch_id}/_SUCCESS")
-        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        of = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        done = of(f"v{batch_id}/index/_SUCCESS")
+        files = done.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(done):
             return
-        before = spark.read.schema(STORED).parquet(f"{path}/v{batch_id - 1}") if batch_id else spark.createDataFrame([], STORED)
-        now = batch.agg(F.max("ts")).first()[0]
-        if now is None:
-            after = before
-        else:
-            after = merge_snapshot(before, batch, batch.select("board", F.lit(True).alias("ok")).distinct(), now)
-        after.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        index = _read_index(spark, path, batch_id - 1)
+        part = F.pmod(F.xxhash64("board"), F.lit(PARTS)).cast("string")
+        row = batch.agg(F.max("ts").alias("now"), F.collect_set(part).alias("parts")).first()  # at most PARTS names
+        if row["now"] is not None:
+            boards = batch.select("board", F.lit(True).alias("ok")).distinct()
+            after = merge_snapshot(_parts(spark, path, index, row["parts"]), batch, boards, row["now"])
+            after.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{path}/v{batch_id}/ads")
+        unused = {p: v for p, v in index.items() if p in row["parts"]}
+        index |= dict.fromkeys(row["parts"], batch_id)
+        spark.createDataFrame([(json.dumps(index),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/v{batch_id}/index")
+        for p, v in unused.items():
+            if v < batch_id - 1:
+                files.delete(of(f"v{v}/ads/part={p}"), True)
 
     return merge
 
