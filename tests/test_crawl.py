@@ -1,5 +1,6 @@
 """From files and raw ads to stored ads and exports."""
 
+import glob
 import json
 
 from pyspark.sql import functions as F
@@ -62,7 +63,11 @@ def test_crawl(spark):
 def test_sinks(spark, tmp_path):
     cells = spark.createDataFrame([("all", 5, None)], "period string, n_jobs int, ral_min_median double")
     publish.aggregates(cells, str(tmp_path))
-    assert spark.read.json(str(tmp_path / "aggregates.json")).first()["n_jobs"] == 5
+    whole = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(str(tmp_path / "aggregates.json" / "part-*"))))
+    assert json.loads(whole) == [{"period": "all", "n_jobs": 5, "ral_min_median": None}]
+    publish.publish(cells.unionByName(cells), {"a": 1}, str(tmp_path / "site"))
+    back, header, shown = publish.read_published(spark, str(tmp_path / "site"))
+    assert back.count() == 2 and header == {"a": 1} and shown["region"]["Remote"] == "Remote" and "sector" not in shown
     assert spark.read.csv(str(tmp_path / "aggregates.csv"), header=True).count() == 1
     publish.load_files({"jobs": spark.createDataFrame([("k", "text")], "job_key string, description string")}, str(tmp_path / "load"))
     assert spark.read.json(str(tmp_path / "load" / "jobs")).columns == ["job_key"]
@@ -71,6 +76,7 @@ def test_sinks(spark, tmp_path):
     publish.write_text(spark, str(tmp_path / "meta"), head)
     assert json.loads(spark.read.text(str(tmp_path / "meta")).first()["value"]) == head and head["last_update"] == "2026-02-01"
     publish.sample_csv(cells, str(tmp_path / "s"))
+    assert open(glob.glob(str(tmp_path / "s" / "part-*"))[0], "rb").read().startswith(b"\xef\xbb\xbf")
     try:
         publish.sample_csv(cells, str(tmp_path / "s"))
         raise AssertionError("a sample was overwritten")

@@ -136,6 +136,18 @@ def test_names(spark):
     assert "acme" in one(spark, ids.workday_tenants(F.col("n"), F.lit(None).cast("string")), n="Acme Group")
 
 
+def test_more_places(spark):
+    found = many(spark, places.is_italy(F.col("l"), F.lit(None).cast("string")), [("Mantova",), ("Reggio Emilia",), ("L'Aquila",), ("Pavia (PV)",), ("Paris",)], ["l"])
+    assert found == [True, True, True, True, False]
+    assert one(spark, places.scope_country(F.col("l"), F.lit(None).cast("string")), l="Nice, Provence-Alpes-Côte d Azur") == "FR"
+
+
+def test_the_first_band_counts():
+    text = "Italy: 61,600 EUR - 92,400 EUR. Later, Italy: €50,000 - 60,000"
+    assert (pay.parse(text, "IT")["min"], pay.parse(text, "IT")["max"]) == (61600, 92400)
+    assert pay.number("1.224.0") == 1224
+
+
 def test_text(spark):
     scrubbed = one(spark, text.scrub_personal_data(F.col("t")), t="Scrivi a mario.rossi@azienda.it o chiama +39 02 1234 5678")
     assert "@" not in scrubbed and "1234" not in scrubbed

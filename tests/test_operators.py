@@ -3,14 +3,18 @@
 import glob
 import os
 import random
+import statistics
 from collections import Counter
+from functools import cache
 
 import pytest
 from pyspark.sql import functions as F
 
+from wagewright.functions import ids
 from wagewright.operators import cells as cell_queries
-from wagewright.operators import cube, disclosure, history, registry, sampling
+from wagewright.operators import cube, disclosure, history, registry, sampling, search, views
 from wagewright.plans.queries import ORACLES, QUERIES
+from wagewright.schema import conform
 from wagewright.sources import ads as sources
 
 SF = "/root/testdata/sf0.001"
@@ -70,14 +74,46 @@ def random_ads(spark, seed, n):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_disclosure_levels_equal_a_sequential_pass(spark, seed):
     ads = random_ads(spark, seed, 160)
-    all_cells, counts = (x.persist() for x in cube.cells_and_counts(ads))
-    got = disclosure.hide_differences(disclosure.primary(all_cells), counts).where("visible")
-    plain_cells: dict[tuple, dict] = {}
-    for r in counts.collect():
-        key = tuple(r[c] for c in cube.CELL)
-        plain_cells.setdefault(key, dict(zip(cube.CELL, key, strict=True)) | {"companies": {}})["companies"][r["company_id"]] = r["n"]
-    want = {tuple(c[k] for k in cube.CELL) for c in disclosure.sequential(list(plain_cells.values()))}
-    assert {tuple(r[c] for c in cube.CELL) for r in got.collect()} == want
+    own = cube.Cube(ads)
+    got = own.decoded(disclosure.hide_differences(disclosure.primary(own.cells(medians=False)), own).where("visible"))
+    companies: dict[tuple, Counter] = {}
+    for r in own.decoded(own.by_company()).collect():
+        companies.setdefault(tuple(r[c] for c in cube.CELL), Counter())[r["company_id"]] = r["n"]
+
+    def fine(counts):
+        return sum(counts) >= 5 and len(counts) >= 3 and max(counts) <= 0.7 * sum(counts) if counts else False
+
+    def tells(parent, key):
+        left = [n for n in (companies[parent] - companies[key]).values() if n]
+        return bool(left) and not fine(left)
+
+    def parents(key, axes):
+        return [key[:i] + ("all",) + key[i + 1 :] for i in axes if key[i] != "all"]
+
+    @cache
+    def shown(key):
+        return fine(list(companies[key].values())) and not any(shown(p) and tells(p, key) for p in parents(key, range(1, 5)))
+
+    periods = {p for key in companies if fine(list(companies[key].values())) for p in parents(key, [0]) if fine(list(companies[p].values())) and tells(p, key)}
+    assert {tuple(r[c] for c in cube.CELL) for r in got.collect()} == {key for key in companies if shown(key)} - periods
+
+
+def test_cells_of_some_dimensions_are_the_same(spark):
+    ads = random_ads(spark, 4, 120)
+    rows = lambda df: {tuple(r) for r in df.select(*cube.CELL, "n_jobs", "ral_min_median", "ral_max_median").collect()}
+    whole = rows(disclosure.published(ads))
+    assert rows(disclosure.published(ads, ["region", "total"])) == {r for r in whole if r[5] in ("region", "total")}
+
+
+def test_medians(spark):
+    rng = random.Random(7)
+    pay = [(rng.choice("ab"), rng.choice([None, *range(20_000, 20_400)]), rng.choice([None, 40_000, 50_123])) for _ in range(400)]
+    ads = ads_of(spark, [(1, c, "m", "post_law", "r", "f", "s", "p", "onsite", "figure", low and float(low), high and float(high)) for c, low, high in pay])
+    found = {(r["dim"], r["value"]): (r["ral_min_median"], r["ral_max_median"]) for r in cube.cells(ads, ["total", "country"]).where("period = 'all' and country = 'all' and macro = 'all' and function = 'all' and workplace = 'all'").collect()}
+    for dim, value, own in [("total", "all", pay), *(("country", c, [p for p in pay if p[0] == c]) for c in "ab")]:
+        lows = [low for _, low, _ in own if low is not None]
+        highs = [high for _, low, high in own if low is not None and high is not None]
+        assert found[dim, value] == (round(statistics.median(lows), -2), round(statistics.median(highs), -2))
 
 
 def test_cube_properties(spark):
@@ -101,9 +137,12 @@ def cell_rows(spark, rows):
 
 def test_thresholds_and_secondary(spark):
     rows = [("Lombardia", 100, 10, 0.3), ("Lazio", 50, 6, 0.4), ("Piemonte", 40, 5, 0.5), ("Molise", 4, 3, 0.5), ("Umbria", 20, 2, 0.5), ("Marche", 30, 4, 0.9)]
-    seen = lambda df: {r["value"] for r in df.where("visible").collect()}
-    assert seen(disclosure.secondary(disclosure.primary(cell_rows(spark, rows)))) == {"Lombardia", "Lazio", "Piemonte"}
-    assert seen(disclosure.secondary(disclosure.primary(cell_rows(spark, rows[:2] + rows[3:4])))) == {"Lombardia"}
+    def seen(own):
+        shown = disclosure.secondary(disclosure.primary(cell_rows(spark, own)), F.concat_ws("|", *cube.AXES, "dim"), F.col("dim") == "total", "value")
+        return {r["value"] for r in shown.where("visible").collect()}
+
+    assert seen(rows) == {"Lombardia", "Lazio", "Piemonte"}
+    assert seen(rows[:2] + rows[3:4]) == {"Lombardia"}
     assert {r["ral_min_median"] for r in disclosure.primary(cell_rows(spark, rows)).collect()} == {None}
 
 
@@ -141,7 +180,84 @@ def test_chart_and_options(spark):
 def test_fingerprints(spark):
     page = spark.createDataFrame([(1, r'<a href="https:\/\/jobs.eu.lever.co\/acme/abc-123"> jobs.lever.co/acme www.recruitee.com')], "page_id int, html string")
     got = registry.fingerprints(page).collect()
-    assert [(r["ats"], r["slug"], r["instance"], r["n"]) for r in got] == [("lever", "acme", "eu", 2)]
+    assert {(r["ats"], r["slug"], r["instance"], r["n"]) for r in got} == {("lever", "acme", "eu", 1), ("lever", "acme", "us", 1)}
+    html = (
+        '<a href="https://boards.greenhouse.io/embed/job_board?a=b&amp;for=Co-1"> //x.taleo.net/a https%3A%2F%2Fy.intervieweb.it//teamtailor-cdn.com/app.js '
+        "https://acme.wd3.myworkdayjobs.com/it-IT/Ext/job/9 wd3.myworkdaysite.com/en-US/recruiting/acme/Group https://h1.fa.ocs.oraclecloud.com/hcmUI/CandidateExperience/it/sites/CX_1 https://jobs.eu.lever.co/acme"
+    )
+    got = registry.fingerprints(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    found = {(r["ats"], r["slug"], r["instance"], r["supported"]) for r in got.collect()}
+    assert found == {
+        ("greenhouse", "Co-1", "us", True), ("taleo", "x", None, False), ("inrecruiting", "y", None, False), ("inrecruiting", None, None, False), ("teamtailor", None, None, True), ("lever", "acme", "eu", True),
+        ("workday", "https://acme.wd3.myworkdayjobs.com/Ext", None, True), ("workday", "https://wd3.myworkdaysite.com/recruiting/acme/Group", None, True), ("oracle", "h1.fa.ocs.oraclecloud.com/hcmUI/CandidateExperience/it/sites/CX_1", None, True),
+    }
+    first = registry.ranked(got, "page_id").orderBy("rank").collect()
+    assert first[0]["supported"] and not first[-1]["supported"] and first[0]["evidence"]
+    row = spark.createDataFrame([("taleo", 0, None), ("lever", 0, None), ("successfactors", 0, "no public job list"), ("lever", 1, None)], "ats string, supported int, notes string")
+    assert [r["x"] for r in row.select(registry.newly_supported(F.col("ats"), F.col("supported"), F.col("notes")).alias("x")).collect()] == [False, True, False, False]
+
+
+def test_career_links(spark):
+    html = '<a href="/about">About</a> <a class=x href=\'/lavora-con-noi\'>Qui</a> <a href="https://jobs.acme.it/?a=1&amp;b=2">Open positions</a> <a href="https://www.linkedin.com/jobs">jobs</a> <a href="../team/">Join us</a> <a href="https://acme.it/x/y/">careers</a> <a href="mailto:jobs@acme.it">jobs</a>'
+    got = ids.career_links(spark.createDataFrame([(1, html, "https://acme.it/x/y")], "page_id int, html string, base string"), "page_id", "html", "base")
+    assert {(r["url"], r["score"]) for r in got.collect()} == {("https://jobs.acme.it/?a=1&b=2", 6), ("https://acme.it/lavora-con-noi", 2), ("https://acme.it/team/", 2)}
+
+
+def test_public_ads_have_no_texts(spark):
+    job = conform(spark.createDataFrame([("k", "c", "l", "secret text", "secret phrase")], "job_key string, company_id string, location_id string, description string, content_hash string"), "jobs")
+    companies = conform(spark.createDataFrame([("c", "Acme")], "company_id string, name string"), "companies")
+    places_table = conform(spark.createDataFrame([("l", "Lazio")], "location_id string, region string"), "locations")
+    public = views.jobs_public(job, companies, places_table)
+    assert len(public.columns) == 39 and not {"description", "salary_text_matches", "salary_structured_json", "content_hash", "location_raw"} & set(public.columns)
+    assert (public.first()["company"], public.first()["region"]) == ("Acme", "Lazio")
+
+
+def test_samples_leave_labelled_ads_out(spark):
+    jobs = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "url string")
+    labelled = spark.createDataFrame([("u1", "ok"), ("u2", " "), ("u9", "dunno")], "url string, verdict string")
+    assert {r["url"] for r in sampling.unlabelled(jobs, [labelled]).collect()} == {"u2", "u3"}
+    assert [tuple(r) for r in sampling.unknown_verdicts(labelled).collect()] == [("dunno", 1)]
+    assert [r["id"] for r in sampling.evenly(spark.range(1000), "id", 4, parts=7).orderBy("id").collect()] == [0, 250, 500, 750]
+
+
+def test_searches_are_appended(spark):
+    runs = spark.createDataFrame([], "search_id bigint, search_term string, location string, run_at string, n_jobs bigint, n_companies bigint, n_jobs_with_salary bigint, n_jobs_vague bigint, ral_min_median double, ral_max_median double")
+    found = spark.createDataFrame([("a", "figure", 30000.0, None), ("b", "none", None, None)], "company string, salary_transparency string, ral_min_annual double, ral_max_annual double")
+    runs = search.appended(search.appended(runs, found, "data", None, "d1"), found, "data", "milano", "d2")
+    assert [(r["search_id"], r["location"], r["n_jobs"], r["ral_min_median"]) for r in runs.orderBy("search_id").collect()] == [(1, None, 2, 30000.0), (2, "milano", 2, 30000.0)]
+
+
+def test_named_companies_and_axes(spark):
+    rows = spark.createDataFrame([("acme-spa",), ("other",)], "company_id string")
+    assert [r["company_id"] for r in history.named_companies(rows, ["Acme S.p.A.", "Nobody"]).collect()] == ["acme-spa"]
+    assert tuple(cell_queries.with_all_axes(spark.createDataFrame([("IT", None)], "country string, macro string")).select(*cube.AXES).first()) == ("all", "IT", "all", "all", "all")
+
+
+def test_lists_and_details(spark):
+    posting = lambda path, place: f'{{"externalPath": "{path}", "title": "T", "locationsText": "{place}"}}'
+    lists = spark.createDataFrame(
+        [("b", "it", 0, f'{{"jobPostings": [{posting("/1", "Milan")}, {posting("/2", "Milan")}]}}'), ("b", "de", 0, f'{{"jobPostings": [{posting("/1", "Berlin")}, {posting("/3", "Berlin")}, {posting("/4", "Berlin")}]}}'),
+         ("c", None, 0, f'{{"jobPostings": [{posting("/5", "London")}, {posting("/6", "3 Locations")}, {posting("/7", "Roma")}]}}')], "board string, facet string, offset int, body string")
+    details = spark.createDataFrame([(b, f"/{i}", f'{{"jobPostingInfo": {{"jobReqId": "R{i}", "location": "Milan", "additionalLocations": ["Rome"], "jobDescription": "<p>x</p>"}}}}') for b, i in (("b", 1), ("b", 2), ("b", 3), ("b", 4), ("c", 5), ("c", 6))], "board string, path string, body string")
+    got = sources.workday_ads(lists, details, cap=2)
+    assert {(r["board"], r["job_id"]) for r in got.collect()} == {("b", "R1"), ("b", "R2"), ("b", "R3"), ("c", "R6")}
+    assert got.first()["locations_all"] == ["Milan", "Rome"] and got.count() == 4
+    reqs = spark.createDataFrame([("b", '{"items": [{"requisitionList": [{"Id": "1", "PrimaryLocation": "Rome", "PrimaryLocationCountry": "IT"}, {"Id": "2", "PrimaryLocationCountry": "US", "PrimaryLocation": "Austin"}, {"Id": "3", "PrimaryLocationCountry": "US", "secondaryLocations": [{"Name": "Munich", "CountryCode": "DE"}]}]}]}')], "board string, body string")
+    told = spark.createDataFrame([("b", "1", '{"items": [{"ExternalDescriptionStr": "a", "ExternalQualificationsStr": "b"}]}')], "board string, job_id string, body string")
+    assert {(r["job_id"], r["description"]) for r in sources.oracle_ads(reqs, told).collect()} == {("1", "a b"), ("3", "")}
+    answers = spark.createDataFrame([("x", "us", 404, None), ("x", "eu", 200, "e"), ("y", "eu", 200, "e"), ("y", "us", 200, "u"), ("z", "us", 500, None)], "board string, instance string, status int, body string")
+    assert {tuple(r) for r in sources.first_answers(answers).collect()} == {("x", "eu", "e"), ("y", "us", "u")}
+
+
+def test_nested_sitemaps(spark):
+    loc = lambda u: f"<loc>{u}</loc>"
+    h = "https://h.it"
+    maps = [
+        (h, f"{h}/sitemap.xml", f"<sitemap>{loc(f'{h}/a.xml')}</sitemap><sitemap>{loc('https://other.it/b.xml')}</sitemap>"), (h, f"{h}/a.xml", f"<sitemap>{loc(f'{h}/c.xml')}</sitemap>" + loc(f"{h}/job/Rome/1/") + loc(f"{h}/about")),
+        (h, f"{h}/c.xml", loc(f"{h}/job/x?a=1&amp;b=2") + loc(f"{h}/job/Rome/1/") + loc(f"{h}/job/Talent-Community/3/") + f"<sitemap>{loc(f'{h}/a.xml')}</sitemap>"), (h, "https://other.it/b.xml", loc("https://other.it/job/9")),
+    ]
+    got = sources.sitemap_urls(spark.createDataFrame(maps, "board string, url string, body string"))
+    assert {r["url"] for r in got.collect()} == {f"{h}/job/Rome/1/", f"{h}/job/x?a=1&b=2"}
 
 
 def test_registry(spark):
@@ -188,15 +304,22 @@ def test_sources(spark):
     assert orc[0]["job_id"] == "5"
     facets = spark.createDataFrame([("b", '{"facets": [{"descriptor": "x", "values": [{"descriptor": "Italy", "count": 3}, {"descriptor": "g", "values": [{"descriptor": "Italy", "count": 5}, {"descriptor": "Germany", "count": 2}]}]}]}')], "board string, body string")
     assert {(r["cc"], r["n"]) for r in sources.facet_counts(facets).collect()} == {("IT", 5), ("DE", 2)}
+    none = spark.createDataFrame([("n", '{"facets": [{"descriptor": "x"}]}')], "board string, body string")
+    assert {tuple(r) for r in sources.facet_totals(facets.unionByName(none)).collect()} == {("b", 5, 7), ("n", None, None)}
+    page = '<meta itemprop="addressLocality" content="Roma"><meta itemprop="addressRegion" content="Lazio &amp; c"><meta itemprop="addressCountry" content="IT"><meta itemprop="employmentType" content="FULL"><span itemprop="title">Dev</span>'
+    placed = ads("successfactors", page, url="https://h/job/Mantova-Dev/7/")[0]
+    assert (placed["location"], placed["employment_type"], placed["title"]) == ("Roma, Lazio & c, IT", "FULL", "Dev")
+    assert sf[0]["location"] == "Rome Dev"
 
 
 def test_stream_of_snapshots(spark, tmp_path):
     from wagewright.streaming import snapshots
 
     schema = "board string, job_key string, ordinal int, ts timestamp, pay double"
-    for i, rows in enumerate(([("a", "1", 1, "2026-01-01", 1.0), ("a", "2", 2, "2026-01-01", 2.0)], [("a", "2", 1, "2026-01-02", 3.0)])):
+    for i, rows in enumerate(([("a", "1", 1, "2026-01-01", 1.0), ("a", "2", 2, "2026-01-01", 2.0)], [("a", "2", 1, "2026-01-02", 3.0)], [("b", "9", 1, "2026-01-03", 7.0)])):
         data = spark.createDataFrame(rows, "board string, job_key string, ordinal int, ts string, pay double").withColumn("ts", F.col("ts").cast("timestamp"))
         data.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         snapshots.ingest(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(60)
-    last = sorted(glob.glob(str(tmp_path / "out" / "v*")))[-1]
-    assert {(r["job_key"], r["is_active"], r["pay"]) for r in spark.read.parquet(last).collect()} == {("1", 0, 1.0), ("2", 1, 3.0)}
+    version = max(int(p.rsplit("v", 1)[1]) for p in glob.glob(str(tmp_path / "out" / "v*")))
+    now = snapshots.stored_ads(spark, str(tmp_path / "out"), version)
+    assert {(r["board"], r["job_key"], r["is_active"], r["pay"]) for r in now.collect()} == {("a", "1", 0, 1.0), ("a", "2", 1, 3.0), ("b", "9", 1, 7.0)}

@@ -22,7 +22,7 @@ VIEWS = {
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
           JOIN region ON r_regionkey = n_regionkey JOIN part ON p_partkey = l_partkey""",
     "companies": """
-        SELECT s_suppkey AS company_id, s_name AS name, n_name AS sector, CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE s_suppkey % 2 END AS is_tech, s_acctbal AS size
+        SELECT s_suppkey AS company_id, s_name AS name, CASE s_suppkey % 7 WHEN 0 THEN 'banks' WHEN 1 THEN 'it_consulting' WHEN 2 THEN 'telco' WHEN 3 THEN 'automotive' WHEN 4 THEN 'retail' WHEN 5 THEN n_name END AS sector, CASE s_suppkey % 3 WHEN 0 THEN NULL ELSE s_suppkey % 2 END AS is_tech, s_acctbal AS size
         FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
     "locations": """
         SELECT concat('L-', n_nationkey) AS location_id, n_name AS city, r_name AS region, concat('P', n_nationkey % 5) AS province,
@@ -35,7 +35,10 @@ VIEWS = {
           CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'post_law' WHEN 2 THEN 'pre_law' ELSE 'old' END AS posting_period,
           CASE o_orderkey % 3 WHEN 0 THEN 'figure' WHEN 1 THEN 'vague' ELSE 'none' END AS salary_transparency,
           CASE o_orderkey % 3 WHEN 0 THEN o_totalprice END AS ral_min_annual, CASE WHEN o_orderkey % 6 = 0 THEN o_totalprice + 5000 END AS ral_max_annual,
-          CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE 'Italy' END AS country, o_orderdate AS first_seen, o_orderdate AS last_seen
+          CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN 'Germany' WHEN o_custkey % 3 = 1 THEN 'France' ELSE 'Italy' END AS country, o_orderdate AS first_seen, o_orderdate AS last_seen,
+          CASE o_custkey % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'hr' ELSE 'sales' END AS job_function, lower(o_orderpriority) AS seniority, CASE o_custkey % 5 WHEN 0 THEN 'not_stated' WHEN 1 THEN NULL ELSE 'title' END AS seniority_source,
+          CASE WHEN o_orderkey % 7 < 3 THEN 'permanent' END AS contract_type, CASE o_custkey % 3 WHEN 0 THEN 'onsite' WHEN 1 THEN 'hybrid' ELSE 'other' END AS workplace_type,
+          concat('raw ', o_custkey) AS location_raw, concat('pay phrase ', o_orderkey) AS salary_text_matches, concat('hash ', o_orderkey) AS content_hash
         FROM orders""",
     "job_locations": """
         SELECT DISTINCT concat('board', o_custkey % 10, '|', o_orderkey) AS job_key, concat('L-', l_suppkey % 25) AS location_id

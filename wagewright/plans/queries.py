@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.adapters import load, with_views
@@ -36,8 +36,7 @@ def cube_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("published_cells", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT * FROM published")
 def published_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells that may be published."""
-    found, counts = cube.cells_and_counts(load(spark, sf_dir, "ads"))
-    return disclosure.published(written(found, "cells"), counts)
+    return disclosure.published(load(spark, sf_dir, "ads"))
 
 
 def ads_with(sql: str) -> str:
@@ -47,15 +46,15 @@ def ads_with(sql: str) -> str:
 @query("cube_total_kpis", ads_with("SELECT period, country, macro, function, workplace, n_jobs, n_companies, pct_with_salary, pct_vague FROM cells WHERE dim = 'total'"))
 def cube_total_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The total cells."""
-    counts = cube.company_counts(load(spark, sf_dir, "ads")).where("dim = 'total'")
-    n = F.sum("n")
-    return counts.groupBy(*cube.AXES).agg(n.alias("n_jobs"), F.count("*").alias("n_companies"), F.bround(100 * F.sum("n_figure") / n, 1).alias("pct_with_salary"), F.bround(100 * F.sum("n_vague") / n, 1).alias("pct_vague"))
+    totals = cube.Cube(load(spark, sf_dir, "ads"), ["total"])
+    return totals.decoded(totals.cells(medians=False)).select(*cube.AXES, "n_jobs", "n_companies", "pct_with_salary", "pct_vague")
 
 
 @query("disclosure_primary", ads_with(f"SELECT {', '.join(cube.CELL)}, n_jobs, n_jobs >= 5 AND n_companies >= 3 AND top_share <= 0.7 AS visible FROM cells"))
 def disclosure_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which cells are large and even enough."""
-    return disclosure.primary(cube.cells(load(spark, sf_dir, "ads"))).select(*cube.CELL, "n_jobs", "visible")
+    own = cube.Cube(load(spark, sf_dir, "ads"))
+    return own.decoded(disclosure.primary(own.cells(medians=False))).select(*cube.CELL, "n_jobs", "visible")
 
 
 @query("disclosure_medians", ads_with(f"SELECT {', '.join(cube.CELL)}, CASE WHEN n_ral >= 5 AND n_ral_companies >= 3 AND ral_top_share <= 0.7 THEN ral_min_median END AS ral_min_median FROM cells"))
@@ -67,12 +66,21 @@ def disclosure_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("disclosure_difference", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT {', '.join(cube.CELL)}, n_jobs FROM pc")
 def disclosure_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells left after the difference rule."""
-    found, counts = cube.cells_and_counts(load(spark, sf_dir, "ads"))
-    return disclosure.hide_differences(disclosure.primary(written(found, "cells")), counts).where("visible").select(*cube.CELL, "n_jobs")
+    own = cube.Cube(load(spark, sf_dir, "ads"))
+    left = disclosure.hide_differences(disclosure.primary(written(own.cells(medians=False), "cells")), own)
+    return own.decoded(left.where("visible")).select(*cube.CELL, "n_jobs")
 
 
-def published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published_cells(spark, sf_dir)
+@query("disclosure_secondary", f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()} SELECT {', '.join(cube.CELL)}, n_jobs, visible AND NOT (dim <> 'total' AND hidden = 1 AND rank = 1) AS visible FROM ranked")
+def disclosure_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which cells are shown after all rules; a lone hidden cell takes a second one with it."""
+    found, own = disclosure.visible_cells(load(spark, sf_dir, "ads"), medians=False)
+    return own.decoded(found).select(*cube.CELL, "n_jobs", "visible")
+
+
+def published(spark: SparkSession, sf_dir: str, *dims: str, medians: bool = False) -> DataFrame:
+    """The published cells of some dimensions; a dashboard's question needs no others."""
+    return disclosure.published(load(spark, sf_dir, "ads"), list(dims), medians)
 
 
 PUBLISHED = f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()}"
@@ -81,19 +89,19 @@ PUBLISHED = f"{with_views('ads')}, {cube.cells_sql()}{disclosure.published_sql()
 @query("usable_filter_options", f"{PUBLISHED} SELECT DISTINCT country AS value FROM published WHERE period = 'all' AND macro = 'BUILDING' AND function = 'all' AND workplace = 'all' AND dim = 'total' OR country = 'all'")
 def usable_filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """countries that can still be chosen beside a macro-sector."""
-    return cells.usable_options(published(spark, sf_dir), {"macro": "BUILDING"}, "country")
+    return cells.usable_options(published(spark, sf_dir, "total"), {"macro": "BUILDING"}, "country")
 
 
 @query("dimension_chart", f"{PUBLISHED} SELECT value, n_jobs, pct_with_salary, value = 'ASIA' AS is_highlight FROM published WHERE period = 'all' AND country = 'all' AND macro = 'all' AND function = 'all' AND workplace = 'all' AND dim = 'country'")
 def dimension_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chart of countries with the chosen one marked."""
-    return cells.chart(published(spark, sf_dir), {"country": "ASIA"}, "country").select("value", "n_jobs", "pct_with_salary", "is_highlight")
+    return cells.chart(published(spark, sf_dir, "country"), {"country": "ASIA"}, "country").select("value", "n_jobs", "pct_with_salary", "is_highlight")
 
 
 @query("salary_domain", f"{PUBLISHED} SELECT CAST(floor(min(ral_min_median) / 10000) * 10000 AS BIGINT) AS low, CAST(ceil(max(coalesce(ral_max_median, ral_min_median)) / 10000) * 10000 AS BIGINT) AS high FROM published WHERE dim = 'country' AND ral_min_median IS NOT NULL")
 def salary_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of the salary axis."""
-    return cells.salary_domain(published(spark, sf_dir), "country")
+    return cells.salary_domain(published(spark, sf_dir, "country", medians=True), "country")
 
 
 @query("workplace_mix", f"""{PUBLISHED}, t AS (SELECT period, country, macro, function, workplace, n_jobs AS total FROM published WHERE dim = 'total'),
@@ -104,7 +112,7 @@ def salary_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN 100 - (onsite + hybrid + remote + not_stated) >= 0.5 THEN round(100 - (onsite + hybrid + remote + not_stated), 3) END AS hidden FROM s""")
 def workplace_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of workplaces and what stays hidden."""
-    return cells.workplace_mix(published(spark, sf_dir))
+    return cells.workplace_mix(published(spark, sf_dir, "total", "workplace_type"))
 
 
 @query("coverage_view", with_views("ats_registry") + """, b AS (SELECT CASE WHEN is_tech = 1 THEN 'tech' ELSE 'non tech' END AS g, * FROM ats_registry), u AS (SELECT * FROM b UNION ALL SELECT 'TOTAL' AS g, * EXCLUDE (g) FROM b)
@@ -184,7 +192,7 @@ def search_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.examples(found(spark, sf_dir), 10)
 
 
-PUBLIC = with_views("jobs", "companies", "locations") + """, public AS (SELECT j.* EXCLUDE (description), c.name AS company, c.sector, c.is_tech, l.region, l.province, l.macro_area, CASE WHEN posting_period = 'post_law' THEN 1 ELSE 0 END AS posted_after_law
+PUBLIC = with_views("jobs", "companies", "locations") + """, public AS (SELECT j.* EXCLUDE (description, seniority_source, location_raw, salary_text_matches, content_hash), c.name AS company, c.sector, c.is_tech, l.region, l.province, l.macro_area, CASE WHEN posting_period = 'post_law' THEN 1 ELSE 0 END AS posted_after_law
   FROM jobs j LEFT JOIN companies c USING (company_id) LEFT JOIN locations l USING (location_id))"""
 
 
@@ -206,6 +214,24 @@ def region_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.region_or(load(spark, sf_dir, "jobs"), load(spark, sf_dir, "locations"))
 
 
+STORED = with_views("jobs", "companies", "locations") + """, stored AS (SELECT job_key, company_id, CASE country WHEN 'Italy' THEN 'IT' WHEN 'Germany' THEN 'DE' WHEN 'France' THEN 'FR' END AS country,
+    CASE sector WHEN 'banks' THEN 'finance' WHEN 'it_consulting' THEN 'consulting' WHEN 'telco' THEN 'energy_infrastructure' WHEN 'automotive' THEN 'industry_pharma' WHEN 'retail' THEN 'fashion_retail' ELSE 'other' END AS macro_sector, posting_period,
+    coalesce(region, CASE WHEN is_remote = 1 THEN 'Remote' ELSE 'Unspecified' END) AS region, job_function, CASE WHEN seniority_source = 'not_stated' THEN NULL ELSE seniority END AS seniority, contract_type, workplace_type, salary_transparency, ral_min_annual, ral_max_annual
+  FROM jobs JOIN companies USING (company_id) LEFT JOIN locations USING (location_id) WHERE is_active = 1 AND country IS NOT NULL)"""
+
+
+@query("stored_ads_for_cube", f"{STORED} SELECT * FROM stored")
+def stored_ads_for_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored ads as the cube takes them."""
+    return views.cube_ads(*(load(spark, sf_dir, v) for v in ("jobs", "companies", "locations")))
+
+
+@query("stored_ads_published", f"{STORED}, {cube.cells_sql('stored')}{disclosure.published_sql()} SELECT * FROM published")
+def stored_ads_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From stored ads to published cells."""
+    return disclosure.published(stored_ads_for_cube(spark, sf_dir))
+
+
 @query("history_merge", with_views("snapshots") + """, b AS (SELECT *, max(day) OVER (PARTITION BY board) AS board_day FROM snapshots)
   SELECT board, job_key, min(day) AS first_seen, max(day) AS last_seen, CASE WHEN max(day) = max(board_day) THEN 1 ELSE 0 END AS is_active, arg_max(pay, (day, ordinal)) AS pay FROM b GROUP BY board, job_key""")
 def history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,20 +262,28 @@ def deactivate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.deactivate_missing(stored, rows.where("day = '2024-01-10'"), rows.select("board", (F.col("board") != "click").alias("ok")).distinct())
 
 
-@query("crawl_new_counts", with_views("snapshots") + """, f AS (SELECT board, job_key, min(day) AS first_seen FROM snapshots GROUP BY ALL)
-  SELECT board, day, count(*) AS kept, count(*) FILTER (day = first_seen) AS new FROM snapshots JOIN f USING (board, job_key) GROUP BY ALL""")
+DAY_SEEN = """, n AS (SELECT * FROM snapshots WHERE day = '2024-01-10' AND board <> 'error'), o AS (SELECT DISTINCT job_key FROM snapshots WHERE day < '2024-01-10'),
+  c AS (SELECT board, count(*) AS downloaded, count(DISTINCT job_key) AS kept, count(DISTINCT CASE WHEN job_key NOT IN (SELECT job_key FROM o) THEN job_key END) AS new FROM n GROUP BY board)"""
+
+
+@query("crawl_new_counts", with_views("snapshots") + DAY_SEEN + " SELECT * FROM c")
 def crawl_new_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ads kept and new ones, by board and day."""
-    rows = load(spark, sf_dir, "snapshots")
-    first = rows.groupBy("board", "job_key").agg(F.min("day").alias("first_seen"))
-    return rows.join(first, ["board", "job_key"]).groupBy("board", "day").agg(F.count("*").alias("kept"), F.count_if(F.col("day") == F.col("first_seen")).alias("new"))
+    """Ads downloaded, kept and new ones, by board of one day's crawl."""
+    seen = load(spark, sf_dir, "snapshots").where("day = '2024-01-10' AND board <> 'error'")
+    return history.run_counters(snapshot_merge(spark, sf_dir), seen, "2024-01-10")
+
+
+@query("crawl_totals", with_views("snapshots") + DAY_SEEN + " SELECT count(*) AS boards, CAST(sum(downloaded) AS BIGINT) AS downloaded, CAST(sum(kept) AS BIGINT) AS kept, CAST(sum(new) AS BIGINT) AS new FROM c")
+def crawl_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all boards."""
+    return history.crawl_totals(crawl_new_counts(spark, sf_dir))
 
 
-@query("posting_period", "SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '2026-06-07' THEN 'post_law' WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-06-01') > 365 THEN 'old' ELSE 'pre_law' END AS period FROM orders")
+@query("posting_period", "SELECT o_orderkey, CASE WHEN d >= DATE '2026-06-07' THEN 'post_law' WHEN date_diff('day', d, DATE '2026-06-20') > 365 THEN 'old' ELSE 'pre_law' END AS period FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) + 10450 AS d FROM orders)")
 def posting_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C12, C13."""
-    posted = rules.posted_date(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
-    return load(spark, sf_dir, "orders").select("o_orderkey", rules.posting_period(posted, F.lit("1998-06-01").cast("date")).alias("period"))
+    """Order dates moved to around the law's start."""
+    posted = rules.posted_date(F.date_format(F.date_add(F.to_date("o_orderdate"), 10_450), "yyyy-MM-dd'T'HH:mm:ss"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", rules.posting_period(posted, F.lit("2026-06-20").cast("date")).alias("period"))
 
 
 @query("annualize", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN CASE WHEN y BETWEEN 5000 AND 500000 THEN y END END AS annual FROM (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN floor(o_totalprice / 100) * CASE o_orderkey % 2 WHEN 0 THEN 14 ELSE 12 END END AS y FROM orders)")
@@ -262,42 +296,64 @@ def annualize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", pay.annualize(value, period, F.when(k % 5 == 0, "USD").otherwise("EUR"), F.when(k % 7 == 0, "net").otherwise("gross"), months).alias("annual"))
 
 
-@query("salary_render_parse", "SELECT o_orderkey, CAST(20000 + o_custkey % 900 * 100 AS DOUBLE) AS min, CAST(25000 + o_custkey % 900 * 100 AS DOUBLE) AS max, 'EUR' AS currency, 'year' AS period, CASE o_orderkey % 3 WHEN 2 THEN 'gross' END AS gross_net FROM orders")
+@query("salary_render_parse", """SELECT o_orderkey, CAST(CASE WHEN k = 3 THEN 900 + o_custkey % 90 * 10 WHEN k = 4 THEN 9 + o_custkey % 40 ELSE 20000 + o_custkey % 900 * 100 END AS DOUBLE) AS min,
+  CAST(CASE WHEN k = 3 THEN 900 + o_custkey % 90 * 10 WHEN k = 4 THEN 9 + o_custkey % 40 WHEN k = 5 THEN 26000 + o_custkey % 900 * 100 ELSE 25000 + o_custkey % 900 * 100 END AS DOUBLE) AS max, 'EUR' AS currency,
+  CASE k WHEN 3 THEN 'month' WHEN 4 THEN 'hour' ELSE 'year' END AS period, CASE WHEN k IN (2, 4) THEN 'gross' WHEN k = 3 THEN 'net' END AS gross_net FROM (SELECT *, o_orderkey % 6 AS k FROM orders)""")
 def salary_render_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pay written in three ways and read again."""
-    low, high = 20_000 + F.col("o_custkey") % 900 * 100, 25_000 + F.col("o_custkey") % 900 * 100
+    """Pay written in six ways and read again; one is a table of countries with the ad's own among them."""
+    low, high, k = 20_000 + F.col("o_custkey") % 900 * 100, 25_000 + F.col("o_custkey") % 900 * 100, F.col("o_orderkey") % 6
     italian = lambda x: F.replace(F.format_number(x, 0), F.lit(","), F.lit("."))
     ways = [
         F.concat(F.lit("We offer a salary of €"), F.format_number(low, 0), F.lit(" - €"), F.format_number(high, 0), F.lit(" per year, welfare plan.")),
         F.concat(F.lit("Das Gehalt: "), italian(low), F.lit(" - "), italian(high), F.lit(" € pro Jahr.")),
         F.concat(F.lit("Si offre RAL "), italian(low), F.lit(" - "), italian(high), F.lit(" € in base all'esperienza.")),
+        F.concat(F.lit("Ricavi di €800 mln. Rimborso di € "), (900 + F.col("o_custkey") % 90 * 10).cast("string"), F.lit(" netti al mese per lo stage, 3 anni di storia.")),
+        F.concat(F.lit("Retribuzione: "), (9 + F.col("o_custkey") % 40).cast("string"), F.lit(" € lordi all'ora")),
+        F.concat(F.lit("Compensation. Poland: 120,000 EUR - 150,000 EUR | Italy: "), F.format_number(low, 2), F.lit(" EUR - "), F.format_number(high + 1000, 2), F.lit(" EUR | Italy: €10,000 - 11,000")),
     ]
-    text = F.when(F.col("o_orderkey") % 3 == 0, ways[0]).when(F.col("o_orderkey") % 3 == 1, ways[1]).otherwise(ways[2])
+    text = F.element_at(F.array(*ways), (k + 1).cast("int"))
     return load(spark, sf_dir, "orders").select("o_orderkey", pay.parse_salary(text, F.lit("IT")).alias("p")).select("o_orderkey", "p.min", "p.max", "p.currency", "p.period", "p.gross_net")
 
 
-@query("language_score", None)
+
+def normal_sql(x: str) -> str:
+    """normalize_text in SQL. Letters without a plain form become blanks, as all signs do."""
+    plain = f"lower(replace(replace(replace(replace(strip_accents(replace(replace({x}, 'ß', ' '), chr(8230), '...')), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ẞ', ' '), 'ø', ' '))"
+    return f"trim(regexp_replace(regexp_replace({plain}, '[''’`]', '', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+
+
+def hits_sql(words: str) -> str:
+    return f"len([x FOR x IN w IF x IN ({', '.join(repr(v) for v in words.split())})])"
+
+
+LANGUAGE_COUNTS = ", ".join(f"{hits_sql(words)} AS {lang}" for lang, words in rules.LANGUAGES.items())
+
+
+@query("language_score", f"""SELECT doc_id, CASE WHEN best >= 5 THEN CASE best {' '.join(f"WHEN {lang} THEN '{lang}'" for lang in rules.LANGUAGES)} END END AS language
+  FROM (SELECT *, greatest({', '.join(rules.LANGUAGES)}) AS best FROM (SELECT doc_id, {LANGUAGE_COUNTS} FROM (SELECT doc_id, string_split({normal_sql("coalesce(substr(text, 1, 3000), '')")}, ' ') AS w FROM documents)))""")
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by its frequent words."""
     return load(spark, sf_dir, "documents").select("doc_id", rules.description_lang(F.col("text")).alias("language"))
 
 
-@query("scrub_pii", None)
+@query("scrub_pii", r"""SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '[\pL\pM\pN_.+-]+@[\pL\pM\pN_-]+\.[\pL\pM\pN_.-]+', '[email]', 'g'),
+  '(?:\+|00)[0-9]{2}[\s./-]?[0-9]{2,4}[\s./-]?[0-9]{3,4}[\s./-]?[0-9]{2,4}|\b3[0-9]{2}[\s.-]?[0-9]{3}[\s.-]?[0-9]{3,4}\b', '[phone]', 'g') AS text FROM documents""")
 def scrub_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without addresses and numbers."""
     return load(spark, sf_dir, "documents").select("doc_id", text.scrub_personal_data(F.col("text")).alias("text"))
 
 
-@query("clean_html", None)
+@query("clean_html", r"""SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(coalesce(html, ''), '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'),
+  '<[^>]+>', ' ', 'g'), '[\s\x{00A0}]+', ' ', 'g')) AS text FROM pages""")
 def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every page."""
     return load(spark, sf_dir, "pages").select("page_id", text.clean_html(F.col("html")).alias("text"))
 
 
-@query("normalize_text", r"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(replace(replace(strip_accents(replace(replace(text, 'ß', '')," + " chr(8230), '...')), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[''’`]', '', 'g'), '[^a-z0-9]+', ' ', 'g')) AS text FROM documents WHERE lang <> 'de'")
+@query("normalize_text", f"SELECT doc_id, {normal_sql('text')} AS text FROM documents")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in a language that folds alike in SQL."""
-    return load(spark, sf_dir, "documents").where("lang <> 'de'").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
+    """Every document normalised."""
+    return load(spark, sf_dir, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
 
 
 @query("domain_root", r"SELECT page_id, CASE WHEN len(l) >= 2 THEN replace(l[len(l) - 1], '-', '') END AS root FROM (SELECT page_id, [x FOR x IN string_split(lower(regexp_extract(url, '^https?://([^/?#]*)', 1)), '.') IF x <> '' AND x <> 'www'] AS l FROM pages)")
@@ -319,13 +375,18 @@ def size_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select("p_partkey", places.size_band(F.col("p_partkey") * F.col("p_size") * 37).alias("band"))
 
 
-@query("ngram_geocode", "SELECT c_custkey, CASE WHEN c_nationkey % 4 = 3 THEN 'IT' ELSE concat('L-', c_nationkey) END AS location_id FROM customer")
+@query("ngram_geocode", """SELECT c_custkey, CASE c_nationkey % 5 WHEN 3 THEN 'IT' WHEN 2 THEN concat('IT-REG-', n_regionkey) WHEN 4 THEN 'IT-REMOTE' ELSE concat('L-', c_nationkey) END AS location_id FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def ngram_geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places written around a city's name, looked up in a gazetteer of nations."""
-    gazetteer = load(spark, sf_dir, "locations").select("location_id", F.replace("city", F.lit("_"), F.lit(" ")).alias("city"), F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("region_code"), F.lit("IT").alias("country_code"), "population")
-    k = F.col("c_nationkey")
-    raw = F.when(k % 4 == 3, F.lit("Ufficio centrale, Italy")).otherwise(F.concat(F.lit("Sede di Nation "), k.cast("string"), F.lit(" (centro), Italia")))
-    rows = load(spark, sf_dir, "customer").select("c_custkey", raw.alias("raw"), F.lit("IT").alias("country"), F.lit(None).cast("string").alias("workplace"))
+    """Places written around the name of a city or region, or of the country alone, looked up in a
+    gazetteer of nations."""
+    nations = load(spark, sf_dir, "nation").select(F.concat(F.lit("L-"), "n_nationkey").alias("location_id"), F.col("n_regionkey").cast("string").alias("region_code"))
+    named = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
+    gazetteer = load(spark, sf_dir, "locations").join(nations, "location_id").select("location_id", named("city").alias("city"), named("region").alias("region"), "region_code", F.lit("IT").alias("country_code"), "population")
+    own = gazetteer.select(F.substring("location_id", 3, 9).cast("int").alias("c_nationkey"), F.col("city").alias("own_city"), F.col("region").alias("own_region"))
+    k = F.col("c_nationkey") % 5
+    raw = F.when(k == 3, "Ufficio centrale, Italy").when(k == 4, "Da remoto in Italia").when(k == 2, F.concat(F.lit("Tutta la zona "), "own_region", F.lit(", Italia")))
+    raw = raw.when(k == 1, F.upper("own_city")).otherwise(F.concat(F.lit("Sede di "), "own_city", F.lit(" (centro), Italia")))
+    rows = load(spark, sf_dir, "customer").join(own, "c_nationkey").select("c_custkey", raw.alias("raw"), F.lit("IT").alias("country"), F.lit(None).cast("string").alias("workplace"))
     return places.geocode(rows, gazetteer).select("c_custkey", "location_id")
 
 
@@ -339,7 +400,10 @@ def score_precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.precision_recall(spark.sql(LABELLED.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders")))
 
 
-@query("sample_strata", None)
+@query("sample_strata", f"""{with_views('ads')}, r AS (SELECT job_key, company_id, salary_transparency AS transparency, CASE WHEN ral_min_annual IS NOT NULL THEN 'text' ELSE 'none' END AS source, md5(concat(job_key, '|7')) AS o FROM ads),
+  s AS (SELECT *, source AS stratum FROM r WHERE source IN ('text', 'structured') UNION ALL SELECT *, transparency FROM r WHERE transparency IN ('vague', 'none')),
+  c AS (SELECT *, row_number() OVER (PARTITION BY stratum, company_id ORDER BY o, job_key) AS c FROM s), n AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY o, job_key) AS n FROM c WHERE c <= 8)
+  SELECT job_key, company_id, transparency, source, stratum FROM n WHERE n <= CASE stratum WHEN 'text' THEN 120 WHEN 'structured' THEN 20 ELSE 30 END""")
 def sample_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stratified sample of ads to label (a sample is the feature)."""
     rows = load(spark, sf_dir, "ads").select("job_key", "company_id", F.col("salary_transparency").alias("transparency"), F.when(F.col("ral_min_annual").isNotNull(), "text").otherwise("none").alias("source"))
@@ -353,19 +417,38 @@ def cap_per_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.capped(rows, ["region"], ["job_key"], 40)
 
 
-@query("fingerprint_counts", r"SELECT ats, slug, 'us' AS instance, count(*) AS n FROM (SELECT 'net' AS ats, lower(unnest(regexp_extract_all(html, '([A-Za-z0-9-]+)\.example\.net', 1))) AS slug FROM (SELECT html || ' ' || url AS html FROM pages) UNION ALL SELECT 'com', lower(unnest(regexp_extract_all(html, '([A-Za-z0-9-]+)\.example\.com', 1))) FROM (SELECT html || ' ' || url AS html FROM pages)) WHERE slug NOT IN ('www', 'api', 'app', 'embed', 'static', 'assets', 'cdn', 'help', 'support', 'jobs', 'careers', 'js', 'css') GROUP BY ALL")
+SITES = """SELECT s_suppkey, s_nationkey, concat('<a href="', CASE s_suppkey % 7 WHEN 0 THEN concat('https://boards.greenhouse.io/embed/job_board?for=co', s_nationkey, '">') WHEN 1 THEN concat('https://jobs.eu.lever.co/co', s_nationkey, '/x">')
+  WHEN 2 THEN concat('https:\\/\\/co', s_nationkey, '.recruitee.com">') WHEN 3 THEN concat('https://co', s_nationkey, '.taleo.net/a">, <img src="https://www.taleo.net">') WHEN 4 THEN concat('https://acme.wd3.myworkdayjobs.com/it-IT/Site', s_nationkey, '/job/1">')
+  WHEN 5 THEN 'https://cdn.phenompeople.com/x">' ELSE '/careers">' END, 'Jobs</a>') AS html FROM supplier"""
+
+
+@query("fingerprint_counts", f"""WITH s AS ({SITES}), k AS (SELECT *, s_suppkey % 7 AS k FROM s WHERE s_suppkey % 7 < 6)
+  SELECT CASE k WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' WHEN 2 THEN 'recruitee' WHEN 3 THEN 'taleo' WHEN 4 THEN 'workday' ELSE 'phenom' END AS ats,
+    CASE WHEN k < 4 THEN concat('co', s_nationkey) WHEN k = 4 THEN concat('https://acme.wd3.myworkdayjobs.com/Site', s_nationkey) END AS slug, CASE k WHEN 0 THEN 'us' WHEN 1 THEN 'eu' END AS instance, k NOT IN (3, 5) AS supported, count(*) AS n FROM k GROUP BY ALL""")
 def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hosts named in pages, counted like boards' fingerprints."""
-    pages = load(spark, sf_dir, "pages").select("page_id", F.concat_ws(" ", "html", "url").alias("html"))
-    return registry.merged(registry.fingerprints(pages, patterns={"net": r"([A-Za-z0-9-]+)\.example\.net", "com": r"([A-Za-z0-9-]+)\.example\.com"}))
+    """Boards that companies' pages point to, with the pages of the test tables among them (which point to
+    none)."""
+    sites = spark.sql(SITES.replace("FROM supplier", "FROM {supplier}"), supplier=load(spark, sf_dir, "supplier")).select(F.concat(F.lit("s"), "s_suppkey").alias("page_id"), "html")
+    pages = load(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_id"), F.concat_ws(" ", "html", "url").alias("html"))
+    return registry.merged(registry.fingerprints(sites.unionByName(pages))).drop("evidence")
+
 
+LINKED = """SELECT page_id, concat('https://h', page_id % 9, '.example.com/a/b') AS base, concat('<a class="x" href="/about">Lavora con noi</a><a href="https://www.linkedin.com/jobs">jobs</a><a href="https://h', page_id % 9, '.example.com/a/b/">careers</a><a href="mailto:jobs@x.it">jobs</a>',
+  '<A HREF="https://jobs.example.org/list?a=1&amp;b=2">see <b>open positions</b></A><a href="https://jobs.example.org/list?a=1&amp;b=2">all</a><a href="team">Join us</a>', html) AS html FROM pages"""
+WORDS = ids.CAREER_WORDS
 
-@query("career_link_score", None)
+
+@query("career_link_score", rf"""WITH l AS ({LINKED}), m AS (SELECT page_id, base, '<a ' || unnest(regexp_extract_all(html, '(?is)<a\b([^>]*?href\s*=\s*["''][^"''#][^"'']*["''][^>]*>.*?)</a>', 1)) AS a FROM l),
+  p AS (SELECT page_id, base, replace(trim(regexp_extract(a, '(?is)href\s*=\s*["'']([^"''#][^"'']*)["''][^>]*>(.*)$', 1)), '&amp;', '&') AS href, regexp_replace(regexp_extract(a, '(?is)href\s*=\s*["'']([^"''#][^"'']*)["''][^>]*>(.*)$', 2), '<[^>]+>', ' ', 'g') AS text FROM m),
+  u AS (SELECT page_id, base, text, CASE WHEN starts_with(href, '/') THEN regexp_extract(base, '^https://[^/]*') || href WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(base, '^(.*/)', 1) || href END AS url FROM p WHERE NOT regexp_matches(href, '{ids.SKIPPED_LINKS}')),
+  s AS (SELECT page_id, url, max(2 * regexp_matches(regexp_extract(url, '^https?://([^?#]*)', 1), '{WORDS}')::INT + 2 * regexp_matches(text, '{WORDS}')::INT + 2 * regexp_matches(regexp_extract(url, '^https?://([^/?#]*)', 1), '{ids.CAREER_HOSTS}')::INT) AS score
+    FROM u WHERE rtrim(url, '/') <> rtrim(base, '/') GROUP BY ALL)
+  SELECT page_id, max(score) AS score, count(*) FILTER (url LIKE 'https://jobs.example.org/%') AS n_jobs_host, least(count(*), 3) AS n FROM s WHERE score > 0 GROUP BY page_id""")
 def career_link_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best links of every page."""
-    links = load(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("url"))
-    scored = links.groupBy("page_id", "url").agg(F.max(ids.career_link_score(F.col("url"), F.col("url"))).alias("score"))
-    return sampling.capped(scored, ["page_id"], [F.desc("score"), "url"], 3)
+    pages = spark.sql(LINKED.replace("FROM pages", "FROM {pages}"), pages=load(spark, sf_dir, "pages"))
+    best = ids.career_links(pages, "page_id", "html", "base")
+    return best.groupBy("page_id").agg(F.max("score").alias("score"), F.count_if(F.col("url").startswith("https://jobs.example.org/")).alias("n_jobs_host"), F.count("*").alias("n"))
 
 
 CANDIDATES = """SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN 'alpha' END AS fp_ats, CASE WHEN s_suppkey % 3 <> 0 THEN concat('s', s_suppkey) END AS fp_slug, s_suppkey % 7 <> 0 AS fp_supported, s_suppkey % 4 = 0 AS fp_partial,
@@ -404,3 +487,42 @@ def override_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recheck_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     """boards to look at again."""
     return load(spark, sf_dir, "events").select("event_id", registry.needs_check(F.to_date("ts"), F.lit("2024-01-31").cast("date"), 14, changed=F.col("user_id") % 10 == 0).alias("due"))
+
+
+def fixture(name: str, about: str, rows: list[tuple[str, str | int | bool | None]], answer: Callable[[Column], Column]) -> None:
+    """A query over given texts whose oracle is their labels."""
+    said = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    sql = f"SELECT * FROM (VALUES {', '.join(f'({said(t)}, {said(v)})' for t, v in rows)}) v(input, label)"
+
+    @query(name, sql)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.createDataFrame([(t,) for t, _ in rows], "input string").select("input", answer(F.col("input")).alias("label"))
+
+    run.__doc__ = about
+
+
+fixture("seniority_fixture", "C2: levels of titles.", [
+    ("Senior Data Engineer", "senior"), ("Tirocinio HR", "intern"), ("Praktikum Marketing", "intern"), ("Chief Financial Officer", "executive"), ("Chief Engineer", "lead"), ("CFO Services - Senior Consultant", "senior"), ("CEO Office Analyst", "mid"),
+    ("Vice Direttore", "manager"), ("Assistant Store Director", "manager"), ("Head of Sales", "director"), ("Responsabile Magazzino", "manager"), ("Teamleiter Vertrieb", "manager"), ("Chef de projet", "manager"), ("Chef de partie", "mid"), ("Geschäftsführer", "executive"),
+    ("Software Developer", "mid"), ("Risk Advisory - Consultant", "mid"), ("Junior Buyer", "junior"), ("Neolaureati area finance", "junior"), ("Erfahrener Monteur", "senior"), ("Principal Architect", "lead"), ("", "mid"), (None, "mid"),
+], rules.seniority)
+fixture("function_fixture", "C7: functions of titles.", [
+    ("Infermiere", "healthcare"), ("Psicoterapeuta", "healthcare"), ("Chef de cuisine", "hospitality"), ("Chef de projet", "project_management"), ("Claims Handler", "insurance"), ("Data Scientist", "data"), ("System Administrator", "engineering"), ("Softwareentwickler", "engineering"),
+    ("Project Engineer", "engineering"), ("Product Owner", "product"), ("UX Designer", "design"), ("Addetto alla vendita", "retail"), ("Conseiller de vente", "retail"), ("Gestore imprese", "sales"), ("Media Relations Expert", "marketing"), ("Investor Relations Officer", "finance"), ("Buchhalter", "finance"),
+    ("Talent Management Partner", "hr"), ("Affari regolatori", "legal"), ("Strategy Analyst", "strategy"), ("Teamassistenz", "admin"), ("Kundenservice Mitarbeiter", "customer_service"), ("Magazziniere", "operations"), ("Einkäufer", "operations"), ("Einkauf", "operations"), ("Unternehmensberater", "consulting"),
+    ("Change Management Consultant", "consulting"), ("ESG Specialist", "strategy"), ("Training Coordinator", "hr"), ("Zookeeper", "other"), (None, "other"),
+], rules.job_function)
+fixture("contract_fixture", "C8: kinds of contract in texts.", [
+    ("contratto a tempo indeterminato", "permanent"), ("unbefristeter Vertrag", "permanent"), ("befristet auf 2 Jahre", "fixed_term"), ("CDD de 6 mois", "fixed_term"), ("poste en CDI", "permanent"), ("sostituzione di tubazioni", None), ("in sostituzione maternità", "fixed_term"),
+    ("stage di 6 mesi", "internship"), ("international team", None), ("Ausbildung zum Mechatroniker", "apprenticeship"), ("abgeschlossene Ausbildung zum Koch", None), ("Ausbildung Koch", "apprenticeship"), ("in collaborazione con il team", None), ("rapporto di collaborazione", "freelance"), ("Zeitarbeit", "agency"), ("", None),
+], lambda t: rules.contract_type(F.lit(None).cast("string"), F.lit(None).cast("string"), t))
+fixture("workplace_fixture", "C10: where ads say that work is done.", [
+    ("Modalità di lavoro: ibrida", "hybrid"), ("Work mode: on site", "onsite"), ("Hybrid working: Onsite", "onsite"), ("lavoro 100% da remoto", "remote"), ("smart working fino a 8 giorni al mese", "hybrid"), ("6 days per month remotely", "hybrid"), ("turni rotativi", "onsite"),
+    ("in sede di intervista", None), ("onsite canteen", None), ("Mobiles Arbeiten möglich", "hybrid"), ("Workplace type: fully remote", "remote"), ("office based role", "onsite"), ("full time in office", "onsite"), (None, None),
+], lambda t: rules.workplace_with_source(F.lit(None).cast("string"), F.lit("Milano"), t, F.lit(""))["value"])
+fixture("experience_years_fixture", "C3: years of experience asked for.", [
+    ("3-5 anni di esperienza", 3), ("4+ years of experience", 4), ("[4-10 years] of experience", 4), ("esperienza di almeno 5 anni", 5), ("experience: 3-5 years", 3), ("at least 2 years", 2), ("150 anni di esperienza", None), ("20 years of experience", None), ("minimo di 6 anni", 6), ("nothing", None), (None, None),
+], rules.experience_years)
+fixture("vague_flag_fixture", "P2: vague wordings of pay.", [
+    ("retribuzione commisurata all'esperienza", True), ("Competitive salary", True), ("attraktive Vergütung", True), ("secondo il CCNL", True), ("rémunération selon profil", True), ("marktconform salaris", True), ("RAL 30.000", False), ("we are competitive", False), ("", False), (None, False),
+], pay.is_vague)
