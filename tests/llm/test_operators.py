@@ -193,6 +193,9 @@ def test_url_filter(spark):
         rule, verdict = max(fits, key=lambda x: len(x[0])) if fits else (None, "allow")
         want[(i, host, path, rule, verdict)] += 1
     assert collections.Counter(tuple(r) for r in got) == want
+    same = spark.createDataFrame([("a.com", "/x", "allow"), ("com", "/x/yzz", "block"), ("com", "/x", "allow"), ("COM", "/x", "block")], "host string, path string, verdict string")
+    tied = url_filter.judge_urls(spark.createDataFrame([(1, "http://b.com/x/" + "y" * 100_000), (2, "http://a.com/x/yzz")], "page_id int, url string"), same)
+    assert {(r["page_id"], r["rule"], r["verdict"]) for r in tied.collect()} == {(1, "com/x", "block"), (2, "com/x/yzz", "block")}
     assert {r["verdict"] for r in url_filter.judge_urls(pages, url_filter.rules_frame(spark).limit(0), "block").collect()} == {"block"}
     assert url_filter.judge_urls(pages.limit(0), url_filter.rules_frame(spark)).count() == 0
 
@@ -495,6 +498,48 @@ def test_templates_of_large_leaves(spark):
         assert {r["h"]: r["t"] for r in line_dedup.templates_of(lines, 0.8, block).collect()} == want
 
 
+def naive_line_dedup(rows, min_tokens=3, depth=4, similarity=0.8):
+    """Brute force over whole documents: {(doc_id, text): text without the lines that go}."""
+    documents = sorted(set((i is not None, i or 0, i, t) for i, t in rows if t is not None))
+    leaves, lines = collections.defaultdict(dict), collections.defaultdict(list)
+    for known, _, i, text in documents:
+        for n, line in enumerate(text.split("\n")):
+            tokens = ["<*>" if re.search("[0-9]", t) else t for t in line.split()]
+            if len(tokens) >= min_tokens:
+                leaf, full = (len(tokens), *tokens[:depth]), " ".join(tokens)
+                leaves[leaf][full] = "".join("*" if t == "<*>" else line_dedup_sign(t) for t in tokens)
+                lines[leaf, full].append((i, text, n))
+    gone = set()
+    for leaf, own in leaves.items():
+        template = greedy_templates([(sig, line_dedup.signed64(full)) for full, sig in own.items()], similarity)
+        groups = collections.defaultdict(list)
+        for full in own:
+            groups[template[line_dedup.signed64(full)]] += lines[leaf, full]
+        for places in groups.values():
+            if len({p[:2] for p in places}) > 1:
+                key = lambda p: (p[0] is not None, p[0] or 0, p[2])
+                gone |= set(places) - {min(places, key=key)}
+    return {(i, t): "\n".join(x for n, x in enumerate(t.split("\n")) if (i, t, n) not in gone) for _, _, i, t in documents}
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(21)
+    shared = [prose(rng, rng.randint(3, 14), 50) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        own = []
+        for _ in range(rng.randint(0, 6)):
+            line = rng.choice(shared).split() if rng.random() < 0.5 else prose(rng, rng.randint(1, 12), 50).split()
+            if rng.random() < 0.3 and len(line) > 5:
+                line[rng.randrange(5, len(line))] = rng.choice(["anna", "17", "x9", "bert"])
+            own.append(" ".join(line))
+        rows.append((i, "\n".join(own)))
+    rows += [(None, "\n".join(shared[:3])), (500, "\n".join([*shared, prose(rng, 4000, 900)] * 3)), (3, rows[3][1]), (501, None)]
+    got = {(r["doc_id"], r["before"]): r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame([(i, t, t) for i, t in rows], "doc_id long, text string, before string")).collect()}
+    want = naive_line_dedup(rows)
+    assert {k: v for k, v in got.items() if k[1] is not None} == want and got[501, None] is None
+
+
 def line_dedup_sign(token):
     return chr(zlib.crc32(token.encode()) % 83 + 43)
 
@@ -532,6 +577,25 @@ def test_surrogates(spark):
     assert pii.pseudonymise(docs.limit(0), "x").count() == 0
 
 
+def test_surrogates_round_trip(spark):
+    """Mentions are replaced one for one by mentions of their kind, different ones by different ones, and all else stays."""
+    import regex
+
+    rng = random.Random(31)
+    made = lambda: rng.choice([f"{rng.choice('abc')}{rng.randint(1, 30)}@{rng.choice(['x.org', 'mail.y.de'])}", f"10.{rng.randint(0, 9)}.3.{rng.randint(1, 250)}", f"Frau Name{chr(97 + rng.randrange(26))}", f"+49 30 {rng.randint(1000, 1200)} {rng.randint(100, 120)}", f"token={rng.randint(10**7, 10**7 + 40)}"])
+    rows = [(i, " ".join(x for _ in range(rng.randint(0, 9)) for x in (prose(rng, 3), made()))) for i in range(80)]
+    rows += [(900, " ".join(f"word {made()}," for _ in range(4000)))]  # a very long text
+    pattern = regex.compile(pii.ANY)
+    out = dict((r["doc_id"], r["text"]) for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect())
+    to, back = {}, {}
+    for i, before in rows:
+        old, new = [m[0] for m in pattern.finditer(before)], [m[0] for m in pattern.finditer(out[i])]
+        assert len(old) == len(new) and pattern.split(before)[:: 1 + pattern.groups] == pattern.split(out[i])[:: 1 + pattern.groups]
+        for a, b in zip(old, new, strict=True):
+            assert to.setdefault(a, b) == b and back.setdefault(b, a) == a and a != b
+    assert not set(to) & set(back)
+
+
 def test_surrogates_grow_where_there_is_no_room(spark):
     rows = [("email", f"{c}@x.de", "") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", "********", ""), ("secret", "--------", "")]
     fresh = {r["canon"]: r["fresh"] for r in pii.surrogates(spark.createDataFrame(rows, "kind string, canon string, gender string"), "k").collect()}
@@ -561,6 +625,23 @@ def labelled_docs(spark, n=240):
     return docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), len(rows)
 
 
+def test_toxicity_features_against_brute_force():
+    words, stems = {"idiotx": 3.0, "scumx": 2.5}, {"mora": 2.2}
+    for text in ("", "You IDIOTX!! you are scumx.", "a b moralic c d e f you", "ID1OTX idi0tx clean", "plain words only. And more? Yes! 12", "word " * 20_000 + "idiotx"):
+        got = dict(zip(toxicity.NAMES, toxicity.features(text, words, stems), strict=True))
+        found = [w.strip(toxicity.EDGES) for w in text.lower().split()]
+        found = [w for w in found if w]
+        hits, n, chars = [w for w in found if w in words], max(1, len(found)), max(1, len(text))
+        stem_hits = [w for w in found if w not in words and w not in toxicity.SECOND_PERSON and w[:4] in stems]
+        places = [i for i, w in enumerate(found) if w in hits or w in stem_hits]
+        you = [i for i, w in enumerate(found) if w in toxicity.SECOND_PERSON]
+        want = {
+            "hits": len(hits), "max_weight": max((words[w] for w in hits), default=0), "hit_rate": len(hits) / n, "stem_hits": len(stem_hits), "near_you": sum(any(abs(i - j) <= 4 for j in you) for i in places), "you_rate": len(you) / n,
+            "capitals": sum("A" <= c <= "Z" for c in text) / chars, "exclamation": text.count("!") / chars, "question": text.count("?") / chars, "digits": sum(c in "0123456789" for c in text) / chars, "log_words": math.log1p(len(found)),
+        }
+        assert all(math.isclose(got[k], v, abs_tol=1e-12) for k, v in want.items()), (text[:40], got, want)
+
+
 def test_toxicity(spark):
     docs, labels, n = labelled_docs(spark)
     out = toxicity.score_documents(docs, labels)

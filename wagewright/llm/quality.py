@@ -165,6 +165,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
 
     Null and empty texts are one passage without words. If a label comes in several rows, the greatest counts.
     Repeated rows score alike. Without labels of both kinds every score is the share of label 1 (0.5 without labels).
+    Columns of docs and labels besides those named are ignored, whatever their names. An empty table gives no rows.
     """
     model = fit(train_rows(docs, labels, folds, held_out, sample), sample)
     scored = docs.select("doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), score_column(docs, model).alias("score"))

@@ -172,7 +172,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, m: int =
 
     Equal fingerprints are one node, so exact copies cost nothing more however many there are. component_id is the
     smallest doc_id of the component (null ids don't count; it is null if there are no others). Null and empty
-    texts have fingerprint zero and link like any other.
+    texts have fingerprint zero and link like any other. Repeated rows get equal results. Columns besides doc_id and text
+    are ignored, whatever their names; an empty table gives no rows.
     """
     prints = stored(docs.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "prints", TEXT_ROWS)
     rooted = _rooted(prints, F.col("doc_id"), radius, m)

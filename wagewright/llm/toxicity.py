@@ -177,6 +177,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, sample:
 
     Null and empty texts score as a text without words. If a label comes in several rows, the greatest counts.
     Repeated rows score alike. Without labels of both kinds every score is the share of label 1.
+    Columns of docs and labels besides those named are ignored, whatever their names. An empty table gives no rows.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold(F.col("doc_id"), folds) == 0).alias("held_out"))
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(fold(F.col("doc_id"), folds) != 0)
