@@ -374,7 +374,7 @@ def test_batched_exchange_only_gains(spark):
     n, classes = 40, 4
     truth = np.arange(n) % 3
     bigrams = rng.poisson(np.where((truth[:, None] + 1) % 3 == truth[None, :], 8.0, 0.3))
-    pairs = spark.createDataFrame([(int(v * n + w), int(bigrams[v, w])) for v in range(n) for w in range(n) if bigrams[v, w]], "pair long, n long")
+    pairs = spark.createDataFrame([(v, w, int(bigrams[v, w])) for v in range(n) for w in range(n) if bigrams[v, w]], "v int, w int, n long")
     rows = brown.neighbours(pairs, n)
     start = rng.integers(0, 3, n)
     member = lambda of: np.eye(classes)[of]

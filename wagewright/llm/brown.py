@@ -118,23 +118,27 @@ def exchange(bigrams: np.ndarray, start: np.ndarray, classes: int, movable: int,
 
 
 def neighbours(pairs: DataFrame, symbols: int) -> DataFrame:
-    """pairs: pair (v * symbols + w), n. A row for each symbol: s, and the symbols after it and before it with counts."""
-    v, w = F.expr(f"pair div {symbols}").cast("int"), (F.col("pair") % symbols).cast("int")
-    sides = []
-    for own, other, name in ((v, w, "right"), (w, v, "left")):
-        found = pairs.groupBy(own.alias("s")).agg(F.collect_list(F.struct(other.alias("o"), F.col("n"))).alias("e"))
-        sides.append(found.select("s", F.col("e.o").alias(name), F.col("e.n").alias(f"n_{name}")))
-    return sides[0].join(sides[1], "s", "full")
+    """pairs: v, w (symbol numbers), n; a pair may come in several rows. A row for each symbol: s, and as o the symbols
+    after it and, with ``symbols`` added, those before it, with their counts n.
+
+    Rows are dealt by symbol once, for the sums as for the lists; a list has at most twice as many entries as symbols.
+    """
+    both = pairs.select(F.explode(F.array(F.struct(F.col("v").alias("s"), F.col("w").alias("o"), "n"), F.struct(F.col("w").alias("s"), (F.col("v") + symbols).alias("o"), "n"))).alias("e")).select("e.*")
+    dealt = both.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s")
+    found = dealt.groupBy("s", "o").agg(F.sum("n").alias("n")).groupBy("s").agg(F.collect_list(F.struct("o", "n")).alias("e"))
+    return found.select("s", F.col("e.o").alias("o"), F.col("e.n").alias("n"))
 
 
-def by_class(others: pd.Series, counts: pd.Series, of: np.ndarray, classes: int) -> np.ndarray:
-    """How often each row's neighbours are of each class."""
-    sizes = [0 if x is None else len(x) for x in others]
-    if not sum(sizes):
-        return np.zeros((len(sizes), classes))
-    ids, n = np.concatenate([x for x in others if x is not None]), np.concatenate([x for x in counts if x is not None])
-    at = np.repeat(np.arange(len(sizes)) * classes, sizes) + of[ids.astype(np.int64)]
-    return np.bincount(at, n, minlength=len(sizes) * classes).reshape(len(sizes), classes)
+def by_class(frame: pd.DataFrame, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each row's symbol stands before and after each class; the class of symbol i is of[i]."""
+    sizes = frame["o"].map(len).to_numpy()
+    if not len(sizes):
+        return np.zeros((0, classes)), np.zeros((0, classes))
+    ids, n = np.concatenate(frame["o"].to_list()).astype(np.int64), np.concatenate(frame["n"].to_list())
+    before = ids >= len(of)
+    at = np.repeat(np.arange(len(sizes)), sizes) * 2 * classes + before * classes + of[ids - before * len(of)]
+    both = np.bincount(at, n, minlength=len(sizes) * 2 * classes).reshape(len(sizes), 2, classes)
+    return both[:, 0], both[:, 1]
 
 
 def class_bigrams(rows: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
@@ -144,12 +148,12 @@ def class_bigrams(rows: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         joint = np.zeros((classes, classes))
         for batch in batches:
-            np.add.at(joint, shared.value[batch["s"].to_numpy()], by_class(batch["right"], batch["n_right"], shared.value, classes))
+            np.add.at(joint, shared.value[batch["s"].to_numpy()], by_class(batch, shared.value, classes)[0])
         cells = np.flatnonzero(joint)
         yield pd.DataFrame({"cell": cells, "n": joint.ravel()[cells].astype(np.int64)})
 
     joint = np.zeros(classes * classes)
-    for r in rows.select("s", "right", "n_right").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most classes squared
+    for r in rows.mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most classes squared
         joint[r["cell"]] = r["n"]
     return joint.reshape(classes, classes)
 
@@ -169,11 +173,10 @@ def exchange_in_batches(rows: DataFrame, start: np.ndarray, classes: int, movabl
             def judge(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
                 of, joint = shared.value
                 for frame in frames:
-                    rights, lefts = by_class(frame["right"], frame["n_right"], of, classes), by_class(frame["left"], frame["n_left"], of, classes)
                     best = []
-                    for s, right, left, others, n in zip(frame["s"].to_numpy(), rights, lefts, frame["right"], frame["n_right"], strict=True):
+                    for s, right, left, others, n in zip(frame["s"].to_numpy(), *by_class(frame, of, classes), frame["o"], frame["n"], strict=True):
                         a = of[s]
-                        own = float(n[np.asarray(others) == s].sum()) if others is not None else 0.0
+                        own = float(n[others == s].sum())
                         right[a] -= own
                         left[a] -= own
                         gain = gains(without(joint, a, right, left, own), right, left, own)[:-1]  # the last class is the end's
@@ -230,7 +233,7 @@ def commonest(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.col("c") > cut)
 
 
-def fit(train: DataFrame, clustered: int = 50_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, clustered: int = 20_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> tuple[Model, DataFrame]:
     """The model, and the counts of all training words (word, c).
 
     ``clustered``: words that exchange clustering assigns; ``seeds``: those of them that it assigns one after the other
@@ -261,7 +264,7 @@ def fit(train: DataFrame, clustered: int = 50_000, classes: int = 48, end_classe
 
         def counted() -> pd.DataFrame:
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"pair": pairs, "n": n})
+            return pd.DataFrame({"v": pairs // symbols, "w": pairs % symbols, "n": n})
 
         for batch in batches:
             for text in batch["text"]:
@@ -269,14 +272,14 @@ def fit(train: DataFrame, clustered: int = 50_000, classes: int = 48, end_classe
                 at = np.fromiter((i if (i := ids.get(w)) is not None else symbol(w) for w in found), np.int64, len(found))
                 held.append(np.append(symbols - 1, at) * symbols + np.append(at, symbols - 1))
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > 4_000_000:
                     yield counted()
                     held, size = [], 0
         if held:
             yield counted()
 
     texts = train.select(F.coalesce("text", F.lit("")).alias("text"))
-    pairs = stored(texts.mapInPandas(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams", TEXT_ROWS)
+    rows = stored(neighbours(texts.mapInPandas(count, "v int, w int, n long"), symbols), "neighbours", TEXT_ROWS)
 
     n_classes = classes + end_classes + 1
     of = np.array([classes + end_class(w, end_classes) for w in names[:n_clustered]] + list(range(classes, n_classes)), dtype=np.int64)
@@ -284,12 +287,10 @@ def fit(train: DataFrame, clustered: int = 50_000, classes: int = 48, end_classe
     # Bigrams among the seeds and classes; all other words stand for their classes by spelling.
     small = n_seeds + end_classes + 1
     to_small = np.concatenate([np.arange(n_seeds), of[n_seeds:] - classes + n_seeds])
-    rows = stored(neighbours(pairs, symbols).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "s"), "neighbours")
-    discard(pairs)
     bigrams = class_bigrams(rows, to_small, small) if n_seeds else np.zeros((small, small))
     start = np.concatenate([np.arange(n_seeds) % classes, classes + np.arange(end_classes + 1)]).astype(np.int64)
     of[:n_seeds] = exchange(bigrams, start, n_classes, n_seeds)[:n_seeds]
-    of = exchange_in_batches(rows.withColumns({c: F.coalesce(c, F.array().cast("array<int>")) for c in ("right", "left")} | {c: F.coalesce(c, F.array().cast("array<bigint>")) for c in ("n_right", "n_left")}), of, n_classes, n_clustered)
+    of = exchange_in_batches(rows, of, n_classes, n_clustered)
     joint = class_bigrams(rows, of, n_classes)
     discard(rows)
 
@@ -371,7 +372,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, folds: int = 10, clustered: int = 50_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 10, clustered: int = 20_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> DataFrame:
     """Log10 probability of every document under a model of those whose crc32(doc_id) mod folds isn't 0.
 
     A null text is empty and scores its end alone. Repeated rows count and score as often as they come. Without
