@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.llm import brown, conversation_trie, cross_polytope, decontaminate, line_dedup, merkle, packing, pii, quality, simhash, toxicity, url_filter
+from wagewright.llm import brown, conversation_trie, cross_polytope, decontaminate, license_scan, line_dedup, merkle, packing, pii, quality, simhash, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_log_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op12_family_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -80,10 +84,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_surrogates": op8_surrogates,
         "op9_winnowing": op9_winnowing,
         "op10_log_template_tree": op10_log_template_tree,
+        "op11_signature_rules": op11_signature_rules,
         "op12_family_trie": op12_family_trie,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_blocked_bloom": url_filter.ORACLE_SQL, "op9_winnowing": decontaminate.ORACLE_SQL, "op12_family_trie": conversation_trie.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
+    return {"op7_blocked_bloom": url_filter.ORACLE_SQL, "op9_winnowing": decontaminate.ORACLE_SQL, "op11_signature_rules": license_scan.ORACLE_SQL, "op12_family_trie": conversation_trie.ORACLE_SQL, "op13_merkle_manifest": merkle.ORACLE_SQL}
