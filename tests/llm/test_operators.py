@@ -153,6 +153,9 @@ def test_decontamination(spark):
         at = rng.randint(0, len(words) - 10)
         docs.append((100 + i, prose(rng, 12) + ", " + ".".join(words[at : at + 10]).upper() + " " + prose(rng, 9)))
         docs.append((200 + i, " ".join(words[at : at + 9])))
+    greek = [f"{x}Σ" for x in "ΑΒΓΔΕΖΗΘΙΚ"]
+    items.append((30, " ".join(greek)))
+    docs += [(400 + i, f"{'w1 ' * i}{sign.join(greek)}") for i, sign in enumerate(" _'.:")] + [(410, prose(rng, 20_000) + " " + ".".join(greek))]
     docs += [(300, None), (301, ""), (302, "a short ITEM-here!"), (100, docs[20][1]), (None, docs[20][1]), (303, "É" * 5)]
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     windows = collections.defaultdict(set)
@@ -175,6 +178,7 @@ def test_decontamination(spark):
     frame = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.decontaminate(docs_of(spark, docs), frame).collect()
     assert collections.Counter(tuple(r) for r in got) == want
+    assert {r["doc_id"] for r in got if r["contaminated"]} >= {400, 401, 402, 403, 404, 410}
     kept = decontaminate.keep_clean(docs_of(spark, docs), frame)
     assert collections.Counter(r["doc_id"] for r in kept.collect()) == collections.Counter(i for (i, _, n, *_), c in want.items() for _ in range(c) if not n)
     assert decontaminate.decontaminate(docs_of(spark, []), frame).count() == 0

@@ -24,15 +24,10 @@ def words_of(lowered: Column) -> Column:
 
 
 def exact_words(text: Column) -> Column:
-    """Words with A-Z lower-cased."""
+    """Words with A-Z lower-cased, and no other letters: what some of them become depends on what follows the word."""
     return words_of(F.translate(F.coalesce(text, F.lit("")), ASCII_UPPER, ASCII_LOWER))
 
 
-def folded_words(text: Column) -> Column:
-    """As many words, all letters lower-cased: faster, and equal wherever the exact words are equal."""
-    return words_of(F.lower(F.coalesce(text, F.lit(""))))
-
-
 def after(values: str, n: int) -> Column:
     """The array from its element n on (from 0)."""
     return F.slice(values, n + 1, 1 << 30)
@@ -121,22 +116,22 @@ def short_hits(docs: DataFrame, short: DataFrame, window: int) -> DataFrame:
 
 def occurrences(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5) -> tuple[DataFrame, DataFrame]:
     """(documents with key and n_words, occurrences: key, pos, len, items)."""
-    own = stored(items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), exact_words(F.col("text")).alias("words"), folded_words(F.col("text")).alias("folded")).where(F.size("words") > 0), "items")
+    own = stored(items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), exact_words(F.col("text")).alias("words")).where(F.size("words") > 0), "items")
     length = F.least(F.size("words"), F.lit(window))
     parts = own.select("item", length.alias("len"), F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - length + 1), lambda i: F.array_join(F.slice("words", i, length), " "))).alias("window"))
     windows = parts.groupBy("len", "window").agg(F.collect_set("item").alias("items"))
     whole, short = stored(windows.where(F.col("len") == window), "windows"), stored(windows.where(F.col("len") < window), "windows")
-    marks = stored(with_fingerprints(own.select("folded"), "folded", window, k, "fps").select(F.explode("fps").alias("fp")).distinct(), "marks")
+    marks = stored(with_fingerprints(own.select("words"), "words", window, k, "fps").select(F.explode("fps").alias("fp")).distinct(), "marks")
 
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text"))
-    counted = keyed.select("doc_id", "key", folded_words(F.col("text")).alias("words"))
+    counted = keyed.select("doc_id", "key", exact_words(F.col("text")).alias("words"))
     base = stored(with_fingerprints(counted, "words", window, k, "fps").select("doc_id", "key", F.size("words").cast("long").alias("n_words"), "fps"), "prints")
     shared = base.select("key", F.explode("fps").alias("fp")).join(bounded(marks), "fp").groupBy("key").agg(F.collect_set("fp").alias("fps"))
     shared = stored(shared, "shared")
 
     # Extension: of the words around a shared k-gram, the windows that hold it are compared with the items' windows.
     near = keyed.join(bounded(shared), "key")
-    near = with_grams(near.select("key", "fps", exact_words(F.col("text")).alias("words"), folded_words(F.col("text")).alias("folded")), "folded", k, "grams")
+    near = with_grams(near.select("key", "fps", exact_words(F.col("text")).alias("words")), "words", k, "grams")
     at = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("fps", g), i + 1)), lambda i: i.isNotNull())
     starts = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(F.greatest(p - (window - k), F.lit(1)), p))))
     fit = F.filter(starts, lambda s: s <= F.size("words") - window + 1)
