@@ -95,7 +95,8 @@ def workday(docs: DataFrame) -> DataFrame:
     rows = _each(docs, f"struct<jobPostings array<{a}>>", "jobPostings")
     i = F.col("a.jobPostingInfo")
     out = _ads(rows, "workday", job_id=F.element_at(F.split("a.externalPath", "/"), -1), title=F.col("a.title"), location=F.coalesce(i["location"], F.col("a.locationsText")), locations_all=i["additionalLocations"], country=i["country"]["descriptor"], employment_type=i["timeType"], workplace_type=i["remoteType"], posted_at=i["startDate"], url=i["externalUrl"], description=clean_html(i["jobDescription"]))
-    return out.dropDuplicates(["board", "job_id"])
+    first = out.withColumn("_at", F.monotonically_increasing_id()).groupBy("board", "job_id").agg(F.min_by(F.struct(*(c for c in RAW_AD if c not in ("board", "job_id"))), "_at").alias("a"))
+    return first.select("board", "job_id", "a.*").select(*RAW_AD)
 
 
 MANY_PLACES = r"(?i)^\d+ (?:locations|sedi|località|standorte|lieux|locaties)$"
@@ -115,7 +116,21 @@ def workday_ads(lists: DataFrame, details: DataFrame, cap: int | None = None) ->
     rows = rows.where(F.col("externalPath").isNotNull() & (F.col("facet").isNotNull() | scope_country(place, F.lit(None)).isNotNull() | place.rlike(MANY_PLACES)))
     if cap is not None:
         rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("board", "facet").orderBy("offset", "i"))).where(F.col("_n") <= cap)
-    once = rows.groupBy("board", "externalPath").agg(F.min_by(F.struct("title", "locationsText"), F.struct("facet", "offset", "i")).alias("p"))
+    return workday_details(rows.withColumn("at", F.struct("facet", "offset", "i")), details)
+
+
+POSTING = "struct<externalPath string, title string, locationsText string>"
+
+
+def workday_postings(lists: DataFrame, details: DataFrame) -> DataFrame:
+    """RAW_AD of postings that the paged source has read: board, facet, ordinal, posting."""
+    rows = lists.select("board", F.struct("facet", "ordinal").alias("at"), F.from_json("posting", POSTING).alias("p")).select("board", "at", "p.*")
+    return workday_details(rows.where(F.col("externalPath").isNotNull()), details)
+
+
+def workday_details(rows: DataFrame, details: DataFrame) -> DataFrame:
+    """RAW_AD of postings (board, at, externalPath, title, locationsText) that have details; the first of each counts."""
+    once = rows.groupBy("board", "externalPath").agg(F.min_by(F.struct("title", "locationsText"), "at").alias("p"))
     info = "struct<jobPostingInfo struct<jobReqId string, id string, title string, location string, additionalLocations array<string>, country struct<descriptor string>, timeType string, remoteType string, startDate string, externalUrl string, jobDescription string>>"
     told = details.select("board", F.col("path").alias("externalPath"), F.from_json("body", info)["jobPostingInfo"].alias("d"))
     full = once.join(told, ["board", "externalPath"])
@@ -147,7 +162,16 @@ def oracle_ads(lists: DataFrame, details: DataFrame) -> DataFrame:
 
     Only ads of observed countries are looked up; one without details has an empty description.
     """
-    rows = _requisitions(lists)
+    return oracle_details(_requisitions(lists), details)
+
+
+def oracle_postings(lists: DataFrame, details: DataFrame) -> DataFrame:
+    """RAW_AD of requisitions that the paged source has read: board, facet, ordinal, posting."""
+    return oracle_details(lists.select("board", F.from_json("posting", REQUISITION).alias("a")), details)
+
+
+def oracle_details(rows: DataFrame, details: DataFrame) -> DataFrame:
+    """RAW_AD of requisitions (board, a) in observed countries, with their details where there are any."""
     codes = F.concat(F.array("a.PrimaryLocationCountry"), F.coalesce("a.secondaryLocations.CountryCode", F.array().cast("array<string>")))
     places = F.concat(F.array("a.PrimaryLocation"), F.coalesce("a.secondaryLocations.Name", F.array().cast("array<string>")))
     seen = rows.withColumn("_c", F.array_join(codes, "|")).withColumn("_in", F.col("_c").rlike(r"(?i)(?:^|\|)(?:IT|DE|NL|FR)(?:\||$)") | scope_country(F.array_join(places, ", "), F.lit(None)).isNotNull())
