@@ -177,6 +177,15 @@ def test_chart_and_options(spark):
     assert [r["value"] for r in cell_queries.in_order(rows.where("dim = 'country'"), ["DE", "IT"]).collect()] == ["DE", "IT"]
 
 
+def test_fingerprint_evidence_and_escapes(spark):
+    rows = [(2, "two.workable.com apply.workable.com/one apply.workable.com/two"), (1, "https://acme%2Dgroup.recruitee.com%2Fx https%3A%5C%2F%5C%2FJOBS.lever.co%2fcaf%C3%A9%ff &#x2F; 100% apply.workable.com/two"), (3, "no board at all"), (4, None)]
+    found = registry.fingerprints(spark.createDataFrame(rows, "page_id int, html string"))
+    got = {(r["page_id"], r["slug"]): r["evidence"] for r in found.collect()}
+    assert got[(2, "two")] == "apply.workable.com/two" and got[(2, "one")] == "apply.workable.com/one" and got[(1, "acme-group")] == "acme-group.recruitee.com" and (1, "caf") in got
+    assert {r["slug"]: (r["n"], r["evidence"]) for r in registry.merged(found).collect()}["two"] == (3, "apply.workable.com/two")
+    assert set(registry.LITERALS) == {ats for ats, _ in registry.FINGERPRINTS} | {"workday"}
+
+
 def test_fingerprints(spark):
     page = spark.createDataFrame([(1, r'<a href="https:\/\/jobs.eu.lever.co\/acme/abc-123"> jobs.lever.co/acme www.recruitee.com')], "page_id int, html string")
     got = registry.fingerprints(page).collect()

@@ -51,36 +51,55 @@ NOT_SLUGS = (
     "www app api apply assets cdn static careers career jobs job help support status embed v0 v1 js css img images favicon boards job-boards login signin widget widgets media files eu us en it de fr privacy terms developers docs "
     "posting-api job-board scripts fonts cookies blog j analytics tracking metrics cdn-assets inrecruiting tt zinrec"
 ).split()
-#: Signs written as escapes in addresses.
-ESCAPES = {r"\\u002[fF]|\\/|%2[fF]|&#x2F;": "/", "%3[aA]": ":", "%3[fF]": "?", "%3[dD]": "=", "%26": "&", "%2[eE]": "."}
+#: Of each system what any address of it holds, whatever else is in it: only where a page has it are its patterns tried.
+LITERALS = {
+    "greenhouse": ["greenhouse.io/"], "lever": ["lever.co/"], "ashby": ["ashbyhq.com/"], "smartrecruiters": ["smartrecruiters.com/"], "workable": ["workable.com"], "recruitee": ["recruitee.com"], "teamtailor": ["teamtailor"], "personio": ["jobs.personio."],
+    "successfactors": ["successfactors.", "jobs2web.com"], "oracle": ["oraclecloud.com/"], "taleo": ["taleo.net"], "icims": ["icims.com"], "avature": ["avature.net", "/careers/"], "inrecruiting": ["intervieweb.it", "inrecruiting.com"], "altamira": ["altamirahrm.com"],
+    "jobvite": ["jobs.jobvite.com/"], "eightfold": ["eightfold.ai"], "phenom": ["phenompeople.com"], "cornerstone": ["csod.com"], "factorial": ["factorialhr."], "workday": ["myworkdayjobs.com", "myworkdaysite.com"],
+}
+#: Bytes written as %xx, as many as stand together.
+ESCAPED = "(?:%[0-9A-Fa-f]{2})+"
+
+
+def unquoted(text: Column) -> Column:
+    """All bytes written as %xx made plain, once; what isn't UTF-8 becomes a replacement sign."""
+    plain = F.transform(F.regexp_extract_all(text, F.lit(ESCAPED), 0), lambda r: F.make_valid_utf8(F.unhex(F.replace(r, F.lit("%"), F.lit(""))).cast("string")))
+    joined = F.array_join(F.zip_with(F.split(text, ESCAPED, -1), plain, lambda before, r: F.concat(before, F.coalesce(r, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("%")), joined).otherwise(text)
 
 
 def unescaped(text: Column) -> Column:
-    """Addresses with the signs that delimit their parts made plain."""
-    for escape, sign in ESCAPES.items():
-        text = F.regexp_replace(text, escape, sign)
-    return text
+    """Addresses within scripts, within other addresses and in entities made plain."""
+    slashes = F.replace(F.replace(F.replace(text, F.lit("\\u002F"), F.lit("/")), F.lit("\\u002f"), F.lit("/")), F.lit("\\/"), F.lit("/"))
+    return F.replace(unquoted(slashes), F.lit("&#x2F;"), F.lit("/"))
 
 
 def fingerprints(pages: DataFrame, key: str = "page_id", text: str = "html") -> DataFrame:
     """key, ats, slug, instance, supported, n (how often), evidence (the first match): boards that a page points to.
 
     A match whose slug is a word of shared addresses doesn't count. instance is us or eu for the two systems that have
-    two, by the match itself. A workday board's slug is its address.
+    two, by the match itself. A workday board's slug is its address. The evidence is that of the first pattern that tells
+    of the board, and of its matches the first.
+
+    Literals are looked for first, all of them in one pass over a page; most pages have none, and others few.
     """
-    plain = pages.select(key, unescaped(F.col(text)).alias("t"))
-    kind = "array<struct<ats:string,seen:string,slug:string,at:int>>"
+    # Each step is a column that the next one reads often, so that it isn't computed anew there; no condition on held, as
+    # that would be moved below the steps. A page without any literal has no matches and so no rows.
+    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(x)), F.lit(x)) for own in LITERALS.values() for x in own)))
+    plain = pages.select(key, unescaped(F.col(text)).alias("t")).withColumn("low", F.lower("t")).withColumn("held", held).drop("low")
+    kind = "array<struct<ats:string,seen:string,slug:string,at:bigint>>"
 
     def of(ats: str, pattern: str, i: int) -> Column:
         own = F.regexp_extract_all("t", F.lit(f"(?i){pattern}"), 0)
-        slug = (lambda m: F.regexp_replace(F.regexp_extract(m, f"(?i){pattern}", 1), r"^[.-]+|[.-]+$", "")) if has_group(pattern) else (lambda m: F.lit(""))
-        return F.transform(own, lambda m, k: F.struct(F.lit(ats).alias("ats"), m.alias("seen"), slug(m).alias("slug"), (k * 1000 + i).cast("int").alias("at"))).cast(kind)
+        slug = (lambda m: F.regexp_extract(m, f"(?i){pattern}", 1)) if has_group(pattern) else (lambda m: F.lit(""))
+        rows = F.transform(own, lambda m, k: F.struct(F.lit(ats).alias("ats"), m.alias("seen"), slug(m).alias("slug"), (F.lit(i).cast("long") * 1_000_000_000 + k).alias("at"))).cast(kind)
+        return F.when(F.arrays_overlap("held", F.array(*map(F.lit, LITERALS[ats]))), rows).otherwise(F.array().cast(kind))
 
     found = F.flatten(F.array(*(of(ats, p, i) for i, (ats, p) in enumerate([*FINGERPRINTS, ("workday", WORKDAY)]))))
     rows = plain.select(key, F.explode(found).alias("e")).select(key, "e.*")
     board = workday_parts(F.col("seen"))
     address = F.when(board["tenant"].isNotNull(), F.coalesce(workday_url(board), F.concat(F.lit("https://"), board["host"])))
-    rows = rows.withColumn("slug", F.when(F.col("ats") == "workday", address).otherwise(F.coalesce(F.try_url_decode("slug"), "slug")))
+    rows = rows.withColumn("slug", F.when(F.col("ats") == "workday", address).otherwise(F.regexp_replace(unquoted(F.col("slug")), r"^[.-]+|[.-]+$", "")))
     rows = rows.where(F.when(F.col("ats") == "workday", F.col("slug").isNotNull()).otherwise(~F.lower("slug").isin(NOT_SLUGS)))
     instance = F.when(F.col("ats").isin("greenhouse", "lever"), F.when(F.col("seen").rlike(r"(?i)\.eu\.(?:greenhouse|lever)\."), "eu").otherwise("us"))
     named = rows.withColumns({"instance": instance, "slug": F.nullif("slug", F.lit("")), "supported": F.col("ats").isin(SUPPORTED)})
@@ -91,9 +110,9 @@ def has_group(pattern: str) -> bool:
     return re.compile(pattern).groups > 0
 
 
-def merged(found: DataFrame) -> DataFrame:
-    """One row per ats, slug and instance over all pages, with evidence of one of them."""
-    return found.groupBy("ats", "slug", "instance", "supported").agg(F.sum("n").alias("n"), F.min("evidence").alias("evidence"))
+def merged(found: DataFrame, key: str = "page_id") -> DataFrame:
+    """One row per ats, slug and instance over all pages, with the evidence of the first page (by key) that has one."""
+    return found.groupBy("ats", "slug", "instance", "supported").agg(F.sum("n").alias("n"), F.min_by("evidence", key).alias("evidence"))
 
 
 def ranked(found: DataFrame, key: str) -> DataFrame:

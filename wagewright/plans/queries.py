@@ -424,13 +424,15 @@ SITES = """SELECT s_suppkey, s_nationkey, concat('<a href="', CASE s_suppkey % 7
 
 @query("fingerprint_counts", f"""WITH s AS ({SITES}), k AS (SELECT *, s_suppkey % 7 AS k FROM s WHERE s_suppkey % 7 < 6)
   SELECT CASE k WHEN 0 THEN 'greenhouse' WHEN 1 THEN 'lever' WHEN 2 THEN 'recruitee' WHEN 3 THEN 'taleo' WHEN 4 THEN 'workday' ELSE 'phenom' END AS ats,
-    CASE WHEN k < 4 THEN concat('co', s_nationkey) WHEN k = 4 THEN concat('https://acme.wd3.myworkdayjobs.com/Site', s_nationkey) END AS slug, CASE k WHEN 0 THEN 'us' WHEN 1 THEN 'eu' END AS instance, k NOT IN (3, 5) AS supported, count(*) AS n FROM k GROUP BY ALL""")
+    CASE WHEN k < 4 THEN concat('co', s_nationkey) WHEN k = 4 THEN concat('https://acme.wd3.myworkdayjobs.com/Site', s_nationkey) END AS slug, CASE k WHEN 0 THEN 'us' WHEN 1 THEN 'eu' END AS instance, k NOT IN (3, 5) AS supported, count(*) AS n,
+    CASE k WHEN 0 THEN concat('boards.greenhouse.io/embed/job_board?for=co', s_nationkey) WHEN 1 THEN concat('jobs.eu.lever.co/co', s_nationkey) WHEN 2 THEN concat('co', s_nationkey, '.recruitee.com') WHEN 3 THEN concat('co', s_nationkey, '.taleo.net')
+      WHEN 4 THEN concat('acme.wd3.myworkdayjobs.com/it-IT/Site', s_nationkey, '/job/1') ELSE 'phenompeople.com' END AS evidence FROM k GROUP BY ALL""")
 def fingerprint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boards that companies' pages point to, with the pages of the test tables among them (which point to
     none)."""
     sites = spark.sql(SITES.replace("FROM supplier", "FROM {supplier}"), supplier=load(spark, sf_dir, "supplier")).select(F.concat(F.lit("s"), "s_suppkey").alias("page_id"), "html")
     pages = load(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("page_id"), F.concat_ws(" ", "html", "url").alias("html"))
-    return registry.merged(registry.fingerprints(sites.unionByName(pages))).drop("evidence")
+    return registry.merged(registry.fingerprints(sites.unionByName(pages)))
 
 
 LINKED = """SELECT page_id, concat('https://h', page_id % 9, '.example.com/a/b') AS base, concat('<a class="x" href="/about">Lavora con noi</a><a href="https://www.linkedin.com/jobs">jobs</a><a href="https://h', page_id % 9, '.example.com/a/b/">careers</a><a href="mailto:jobs@x.it">jobs</a>',
@@ -489,40 +491,61 @@ def recheck_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select("event_id", registry.needs_check(F.to_date("ts"), F.lit("2024-01-31").cast("date"), 14, changed=F.col("user_id") % 10 == 0).alias("due"))
 
 
-def fixture(name: str, about: str, rows: list[tuple[str, str | int | bool | None]], answer: Callable[[Column], Column]) -> None:
-    """A query over given texts whose oracle is their labels."""
+def rule(name: str, about: str, cases: list[tuple[str, str | int | bool | None]], answer: Callable[[Column], Column]) -> None:
+    """A query of a rule over texts of every part: a wording with a known answer, and the part's size after it."""
     said = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-    sql = f"SELECT * FROM (VALUES {', '.join(f'({said(t)}, {said(v)})' for t, v in rows)}) v(input, label)"
+    of = lambda i: " ".join(f"WHEN {k} THEN {said(c[i])}" for k, c in enumerate(cases))
+    text = f"CASE p_partkey % {len(cases)} {of(0)} END"
 
-    @query(name, sql)
+    @query(name, f"SELECT p_partkey, CASE p_partkey % {len(cases)} {of(1)} END AS label FROM part")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spark.createDataFrame([(t,) for t, _ in rows], "input string").select("input", answer(F.col("input")).alias("label"))
+        parts = load(spark, sf_dir, "part").withColumn("text", F.concat(F.expr(text), F.lit(" ("), "p_size", F.lit(")")))
+        return parts.select("p_partkey", answer(F.col("text")).alias("label"))
 
     run.__doc__ = about
 
 
-fixture("seniority_fixture", "C2: levels of titles.", [
+def level_and_source(description: Column) -> Column:
+    """Of a clerk's ad, whose title says nothing of the level."""
+    own = rules.seniority_with_source(F.lit("Clerk"), description)
+    said = rules.with_contract(own["level"], own["source"], rules.contract_type(F.lit(None).cast("string"), F.lit(None).cast("string"), description))
+    return F.concat_ws(" ", said["level"], said["source"])
+
+
+rule("seniority_of_titles", "C2: levels of titles.", [
     ("Senior Data Engineer", "senior"), ("Tirocinio HR", "intern"), ("Praktikum Marketing", "intern"), ("Chief Financial Officer", "executive"), ("Chief Engineer", "lead"), ("CFO Services - Senior Consultant", "senior"), ("CEO Office Analyst", "mid"),
     ("Vice Direttore", "manager"), ("Assistant Store Director", "manager"), ("Head of Sales", "director"), ("Responsabile Magazzino", "manager"), ("Teamleiter Vertrieb", "manager"), ("Chef de projet", "manager"), ("Chef de partie", "mid"), ("Geschäftsführer", "executive"),
     ("Software Developer", "mid"), ("Risk Advisory - Consultant", "mid"), ("Junior Buyer", "junior"), ("Neolaureati area finance", "junior"), ("Erfahrener Monteur", "senior"), ("Principal Architect", "lead"), ("", "mid"), (None, "mid"),
 ], rules.seniority)
-fixture("function_fixture", "C7: functions of titles.", [
+rule("function_of_titles", "C7: functions of titles.", [
     ("Infermiere", "healthcare"), ("Psicoterapeuta", "healthcare"), ("Chef de cuisine", "hospitality"), ("Chef de projet", "project_management"), ("Claims Handler", "insurance"), ("Data Scientist", "data"), ("System Administrator", "engineering"), ("Softwareentwickler", "engineering"),
     ("Project Engineer", "engineering"), ("Product Owner", "product"), ("UX Designer", "design"), ("Addetto alla vendita", "retail"), ("Conseiller de vente", "retail"), ("Gestore imprese", "sales"), ("Media Relations Expert", "marketing"), ("Investor Relations Officer", "finance"), ("Buchhalter", "finance"),
     ("Talent Management Partner", "hr"), ("Affari regolatori", "legal"), ("Strategy Analyst", "strategy"), ("Teamassistenz", "admin"), ("Kundenservice Mitarbeiter", "customer_service"), ("Magazziniere", "operations"), ("Einkäufer", "operations"), ("Einkauf", "operations"), ("Unternehmensberater", "consulting"),
     ("Change Management Consultant", "consulting"), ("ESG Specialist", "strategy"), ("Training Coordinator", "hr"), ("Zookeeper", "other"), (None, "other"),
 ], rules.job_function)
-fixture("contract_fixture", "C8: kinds of contract in texts.", [
+rule("contract_of_texts", "C8: kinds of contract in texts.", [
     ("contratto a tempo indeterminato", "permanent"), ("unbefristeter Vertrag", "permanent"), ("befristet auf 2 Jahre", "fixed_term"), ("CDD de 6 mois", "fixed_term"), ("poste en CDI", "permanent"), ("sostituzione di tubazioni", None), ("in sostituzione maternità", "fixed_term"),
     ("stage di 6 mesi", "internship"), ("international team", None), ("Ausbildung zum Mechatroniker", "apprenticeship"), ("abgeschlossene Ausbildung zum Koch", None), ("Ausbildung Koch", "apprenticeship"), ("in collaborazione con il team", None), ("rapporto di collaborazione", "freelance"), ("Zeitarbeit", "agency"), ("", None),
 ], lambda t: rules.contract_type(F.lit(None).cast("string"), F.lit(None).cast("string"), t))
-fixture("workplace_fixture", "C10: where ads say that work is done.", [
+rule("workplace_of_texts", "C10: where ads say that work is done.", [
     ("Modalità di lavoro: ibrida", "hybrid"), ("Work mode: on site", "onsite"), ("Hybrid working: Onsite", "onsite"), ("lavoro 100% da remoto", "remote"), ("smart working fino a 8 giorni al mese", "hybrid"), ("6 days per month remotely", "hybrid"), ("turni rotativi", "onsite"),
     ("in sede di intervista", None), ("onsite canteen", None), ("Mobiles Arbeiten möglich", "hybrid"), ("Workplace type: fully remote", "remote"), ("office based role", "onsite"), ("full time in office", "onsite"), (None, None),
 ], lambda t: rules.workplace_with_source(F.lit(None).cast("string"), F.lit("Milano"), t, F.lit(""))["value"])
-fixture("experience_years_fixture", "C3: years of experience asked for.", [
+rule("experience_years_asked", "C3: years of experience asked for.", [
     ("3-5 anni di esperienza", 3), ("4+ years of experience", 4), ("[4-10 years] of experience", 4), ("esperienza di almeno 5 anni", 5), ("experience: 3-5 years", 3), ("at least 2 years", 2), ("150 anni di esperienza", None), ("20 years of experience", None), ("minimo di 6 anni", 6), ("nothing", None), (None, None),
 ], rules.experience_years)
-fixture("vague_flag_fixture", "P2: vague wordings of pay.", [
+rule("seniority_with_source", "C4-C6: the level by title, else by years asked for, else by contract.", [
+    ("3-5 anni di esperienza", "mid experience"), ("esperienza di almeno 6 anni", "senior experience"), ("1 year of experience", "junior experience"), ("stage di 6 mesi", "intern contract"), ("nothing", "mid not_stated"), (None, "mid not_stated"),
+], lambda t: level_and_source(t))
+rule("schedule_of_texts", "C9: part time before full time.", [
+    ("Part-time 20 ore", "part_time"), ("full time", "full_time"), ("full time or part time", "part_time"), ("Vollzeit", "full_time"), ("Teilzeit möglich", "part_time"), ("tempo pieno", "full_time"), ("temps partiel", "part_time"), ("nothing", None), (None, None),
+], lambda t: rules.work_schedule(F.lit(None).cast("string"), F.lit(None).cast("string"), t))
+rule("open_applications", "F5: titles that aren't an ad.", [
+    ("Candidatura spontanea", True), ("Spontaneous Application", True), ("Talent Pool", True), ("Autocandidatura HR", True), ("Open Position", False), ("Talent Manager", False),
+], rules.is_open_application)
+rule("scope_of_places", "L1, L2: the observed country that a place names.", [
+    ("Milano", "IT"), ("Lombardy", "IT"), ("München, Bayern", "DE"), ("Den Haag", "NL"), ("Paris La Défense", "FR"), ("London", None), ("Deutschland", "DE"), (None, None),
+], lambda t: places.scope_country(t, F.lit(None).cast("string")))
+rule("vague_pay", "P2: vague wordings of pay.", [
     ("retribuzione commisurata all'esperienza", True), ("Competitive salary", True), ("attraktive Vergütung", True), ("secondo il CCNL", True), ("rémunération selon profil", True), ("marktconform salaris", True), ("RAL 30.000", False), ("we are competitive", False), ("", False), (None, False),
 ], pay.is_vague)
