@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagewright.operators.selection import medians
+from wagewright.stores import written
+
 
 def search(jobs: DataFrame, companies: DataFrame, job_locations: DataFrame, locations: DataFrame, term: str, location: str | None = None, period: str | None = None, include_inactive: bool = False) -> DataFrame:
     """Ads with the term in title or description (case ignored; % and _ are wildcards), by company and title.
@@ -29,18 +32,26 @@ def search(jobs: DataFrame, companies: DataFrame, job_locations: DataFrame, loca
     return found.join(companies.select("company_id", F.col("name").alias("company")), "company_id").select(*columns, "company")
 
 
-def _measures() -> list:
+PAY = ["ral_min_annual", "ral_max_annual"]
+
+
+def _counts() -> list:
     return [
         F.count("*").alias("n_jobs"),
         F.count_if(F.col("salary_transparency") == "figure").alias("n_jobs_with_salary"),
         F.count_if(F.col("salary_transparency") == "vague").alias("n_jobs_vague"),
-        F.bround(F.median("ral_min_annual"), 0).alias("ral_min_median"),
-        F.bround(F.median("ral_max_annual"), 0).alias("ral_max_median"),
     ]
 
 
+def _rounded_pay() -> list:
+    return [F.bround("ral_min_annual", 0).alias("ral_min_median"), F.bround("ral_max_annual", 0).alias("ral_max_median")]
+
+
 def summary(rows: DataFrame) -> DataFrame:
-    return rows.agg(*_measures(), F.count_distinct("company").alias("n_companies"))
+    """One row of counts and of exact medians, which are found by counts by range, not from all values at once."""
+    seen = written(rows.select("company", "salary_transparency", *PAY), "found")
+    middle = medians(seen, [], PAY).select(*_rounded_pay())
+    return seen.agg(*_counts(), F.count_distinct("company").alias("n_companies")).join(middle)  # one row each
 
 
 def by_period(rows: DataFrame) -> DataFrame:
@@ -50,7 +61,9 @@ def by_period(rows: DataFrame) -> DataFrame:
 
 def by_company(rows: DataFrame) -> DataFrame:
     """Companies with most ads first."""
-    return rows.groupBy("company").agg(*_measures()).orderBy(F.desc("n_jobs"), "company")
+    seen = written(rows.select("company", "salary_transparency", *PAY), "found")
+    middle = medians(seen, ["company"], PAY).select("company", *_rounded_pay())
+    return seen.groupBy("company").agg(*_counts()).join(middle, "company", "left").orderBy(F.desc("n_jobs"), "company")
 
 
 def examples(rows: DataFrame, n: int) -> DataFrame:
