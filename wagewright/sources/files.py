@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import codecs
+import csv
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wagewright.functions.ids import company_id
 from wagewright.functions.places import NAMES, size_band
 from wagewright.operators.history import first_of
 from wagewright.schema import conform
+from wagewright.sources.workbook import cell, sheets
+from wagewright.stores import written
 
 #: Length of a region's code within a municipality's, by country.
 REGION_CODE = {"DE": 3, "NL": 4, "FR": 3}
@@ -49,6 +52,27 @@ def eurostat_regions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True).select("code", "n1", "n2", "n3", "n4")
 
 
+#: Fixed value: the sheet that names regions.
+REGION_SHEET = "NUTS & SR 2021"
+
+
+def workbook_units(cells: DataFrame) -> DataFrame:
+    """Local units of a workbook's sheets, one for each country; the first row is the header."""
+    at = lambda i: cell(i)["text"]
+    return cells.where((F.col("row") > 1) & F.col("sheet").isin(list(REGION_CODE))).select(F.col("sheet").alias("country_code"), at(0).alias("nuts3"), at(1).alias("lau_code"), at(4).alias("name_latin"), at(3).alias("name"), cell(6)["number"].cast("bigint").alias("population"))
+
+
+def workbook_regions(cells: DataFrame) -> DataFrame:
+    """Region codes and their names, one column for each level, of a workbook's sheet; of a code that comes again the last row."""
+    own = cells.where((F.col("row") > 1) & (F.col("sheet") == REGION_SHEET)).select("row", cell(0)["text"].alias("code"), *(F.nullif(cell(i)["text"], F.lit("")).alias(f"n{i}") for i in range(1, 5))).where(F.col("code") != "")
+    return first_of(own, ["code"], "row", last=True).drop("row")
+
+
+def eurostat_workbooks(spark: SparkSession, units: str, regions: str) -> DataFrame:
+    """Municipalities of the observed countries but Italy, from the two workbooks as they are published."""
+    return european_municipalities(workbook_units(sheets(spark, units, list(REGION_CODE))), workbook_regions(sheets(spark, regions, [REGION_SHEET])))
+
+
 def italian_municipalities(spark: SparkSession, path: str, population_path: str) -> DataFrame:
     """Municipalities of a semicolon-separated file, by place of the column; short rows and rows without a code go."""
     cells = spark.read.text(path).select(F.split("value", ";").alias("c")).where((F.size("c") >= 15) & (F.trim(F.get("c", F.lit(4))) != "")).where(F.trim(F.get("c", F.lit(4))).rlike(r"^\d+$"))
@@ -78,23 +102,37 @@ def _windows(error: UnicodeError) -> tuple[str, int]:
     return error.object[error.start : error.end].decode("cp1252", errors="replace"), error.end
 
 
-def labelled_sample(spark: SparkSession, path: str) -> DataFrame:
-    """A labelled CSV however it was saved: UTF-8 with stray Windows bytes, semicolons or commas; all columns are text."""
+def labelled_records(content: bytes) -> list[dict[str, str | None]]:
+    """The rows of a file by the columns of its own header; a quoted cell goes on over line ends, which don't count."""
     codecs.register_error("windows", _windows)
+    lines = content.decode("utf-8-sig", errors="windows").splitlines()
+    if not lines:
+        return []
+    sign = ";" if lines[0].count(";") >= lines[0].count(",") else ","
+    return [{OLD_COLUMNS.get(k, k): v for k, v in r.items() if k is not None} for r in csv.DictReader(lines, delimiter=sign)]
 
-    @F.pandas_udf(T.StringType())
-    def text(contents: pd.Series) -> pd.Series:
-        codecs.register_error("windows", _windows)
-        return contents.map(lambda b: bytes(b).decode("utf-8-sig", errors="windows"))
-
-    whole = spark.read.format("binaryFile").load(path).select(text("content").alias("t"))
-    lines = whole.select(F.explode(F.filter(F.split("t", r"\r?\n"), lambda x: x != "")).alias("value"))
-    header = whole.select(F.split("t", r"\r?\n")[0].alias("h")).first()["h"]  # one line
-    sign = ";" if header.count(";") >= header.count(",") else ","
-    names = [OLD_COLUMNS.get(c.strip('"'), c.strip('"')) for c in header.split(sign)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = lines.where(F.col("value") != header).select(F.from_csv("value", F.lit(schema), {"sep": sign}).alias("r"))
-    return rows.select("r.*")
+
+def labelled_rows(files: DataFrame) -> DataFrame:
+    """path, row (from 1) and values (a map by column) of labelled CSVs given as path and content.
+
+    Each file has its own header, separator and mixture of encodings: UTF-8 with stray Windows bytes.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                rows = labelled_records(bytes(content))
+                yield pd.DataFrame({"path": path, "row": range(1, len(rows) + 1), "values": pd.Series(rows, dtype=object)})
+
+    return files.select("path", "content").mapInPandas(read, "path string, row int, values map<string,string>")
+
+
+def labelled_sample(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled CSVs however they were saved, with the columns of all of them; all columns are text, and blank cells NULL."""
+    rows = written(labelled_rows(spark.read.format("binaryFile").load(path)), "labelled")
+    named = rows.select("path", F.posexplode(F.map_keys("values")).alias("i", "name")).groupBy("name").agg(F.min(F.struct("i", "path")).alias("at"))
+    names = [r["name"] for r in named.orderBy("at").collect()]  # columns of hand-made files
+    return rows.select(*(F.nullif(F.element_at("values", F.lit(n)), F.lit("")).alias(n) for n in names))
 
 
 def refresh(sample: DataFrame, jobs: DataFrame, columns: list[str]) -> DataFrame:
