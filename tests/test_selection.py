@@ -5,7 +5,7 @@ import statistics
 
 import pytest
 
-from wagewright.operators import search, selection
+from wagewright.operators import cube, search, selection
 
 
 @pytest.mark.parametrize(("rounds", "ranges"), [(0, 1), (1, 3), (2, 1024), (3, 2)])
@@ -27,3 +27,18 @@ def test_summaries_of_nothing_and_without_pay(spark):
     assert [(r["company"], r["n_jobs"], r["ral_min_median"]) for r in search.by_company(frame).collect()] == [("a", 1, None)]
     for made in (search.summary(frame), search.by_company(frame)):
         assert "percentile" not in made._jdf.queryExecution().toString()
+
+
+def test_large_companies_and_ranges_are_dealt_out(spark, monkeypatch):
+    """A company, or a range of pay, with more rows than a task takes gives the same cells."""
+    rng = random.Random(6)
+    pick = lambda *own: rng.choice(own)
+    rows = [(pick("big", "big", "a", "b"), pick("IT", "DE"), pick("x", "y"), pick("post_law", "old"), "r", pick("f", "g"), None, "c", pick("onsite", "odd"), pick("figure", "none"), pick(None, 30000.0, 30100.0, float(rng.randint(20, 60) * 1000)), None) for _ in range(300)]
+    ads = spark.createDataFrame(rows, "company_id string, country string, macro_sector string, posting_period string, region string, job_function string, seniority string, contract_type string, workplace_type string, salary_transparency string, ral_min_annual double, ral_max_annual double")
+    cells = lambda: {tuple(r) for r in cube.cells(ads, ["total", "country"]).collect()}
+    want = cells()
+    monkeypatch.setattr(cube, "HOT_ROWS", 2)
+    assert cells() == want and len(want) > 100
+    own = cube.Cube(ads, ["total"])
+    own.by_company()
+    assert "big" in own.large and own.columns == list(cube.AXES.values())
