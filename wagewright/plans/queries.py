@@ -390,6 +390,20 @@ def ngram_geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.geocode(rows, gazetteer).select("c_custkey", "location_id")
 
 
+@query("long_region_names", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN concat('IT-REG-', n_regionkey) WHEN c_custkey % 3 = 1 THEN concat('L-', c_nationkey) ELSE 'IT' END AS location_id FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def long_region_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of regions with eight words and of cities with seven, among other words, some of them cut short."""
+    nations = load(spark, sf_dir, "nation").join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = F.concat(F.lit("Territory of the far and high lands "), F.initcap("r_name"))
+    city = F.concat(F.lit("Santa Chiara al Colle di Sopra N"), "n_nationkey")
+    gazetteer = nations.select(F.concat(F.lit("L-"), "n_nationkey").alias("location_id"), city.alias("city"), region.alias("region"), F.col("n_regionkey").cast("string").alias("region_code"), F.lit("IT").alias("country_code"), F.lit(9000).cast("long").alias("population"))
+    own = gazetteer.select(F.substring("location_id", 3, 9).cast("int").alias("c_nationkey"), F.col("city").alias("own_city"), F.col("region").alias("own_region"))
+    k = F.col("c_custkey") % 3
+    raw = F.when(k == 0, F.concat(F.lit("tutto il territory, "), F.upper("own_region"), F.lit(" (Italia)"))).when(k == 1, F.concat(F.lit("Sede: "), "own_city", F.lit(", colle"))).otherwise("Territory of the far and high lands, Santa Chiara al Colle di Sopra, Italia")
+    rows = load(spark, sf_dir, "customer").join(F.broadcast(own), "c_nationkey").select("c_custkey", raw.alias("raw"), F.lit("IT").alias("country"), F.lit(None).cast("string").alias("workplace"))
+    return places.geocode(rows, gazetteer).select("c_custkey", "location_id")
+
+
 LABELLED = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'text' WHEN 1 THEN 'structured' ELSE 'none' END AS source, CASE o_custkey % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' ELSE 'gamma' END AS ats, CASE o_orderkey % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'wrong' WHEN 2 THEN 'partial' WHEN 3 THEN 'missed' ELSE 'none' END AS verdict FROM orders"
 SCORES = "count(*) AS n, round(count(*) FILTER (verdict = 'ok') / nullif(count(*) FILTER (verdict IN ('ok', 'wrong', 'partial')), 0), 6) AS precision, round(count(*) FILTER (verdict IN ('ok', 'partial')) / nullif(count(*) FILTER (verdict IN ('ok', 'partial', 'missed')), 0), 6) AS recall"
 
