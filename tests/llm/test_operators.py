@@ -646,6 +646,17 @@ def test_toxicity_features_against_brute_force():
         assert all(math.isclose(got[k], v, abs_tol=1e-12) for k, v in want.items()), (text[:40], got, want)
 
 
+def test_censored_words_are_words(spark):
+    """A word that ends in a star isn't the beginning of others, and neither kind takes the other's room."""
+    rows = [(f"you id*t {'x' * i} idiotic{i}", 1, i % 2) for i in range(8)] + [(f"fine {'y' * i}", 0, i % 2) for i in range(8)]
+    frame = spark.createDataFrame(rows, "text string, toxic int, part int")
+    words, stems = toxicity.learn_lexicons(frame, 2)[-1]
+    assert "id*t" in words and "idio" in stems and "idiot" in stems and not any(s.endswith("*") for s in stems)
+    rows = [(f"f*** shit{i} {'x' * i}", 1, 0) for i in range(8)] + [("fine", 0, 0)] * 8
+    words, stems = toxicity.learn_lexicons(spark.createDataFrame(rows, frame.schema), 1, most=1)[-1]
+    assert list(words) == ["f***"] and list(stems) == ["shit"]
+
+
 def test_toxicity(spark):
     docs, labels, n = labelled_docs(spark)
     out = toxicity.score_documents(docs, labels)

@@ -91,16 +91,17 @@ def learn_lexicons(rows: DataFrame, parts: int, least_docs: int = 3, least_odds:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
+            seen: dict[tuple[bool, str], list[int]] = {}
             for text, y, part in zip(batch["text"], batch["toxic"], batch["part"], strict=True):
                 own = set(word_forms(text))
-                for w in own | {f"{w[:k]}*" for w in own for k in STEMS if len(w) > k}:
-                    seen.setdefault(w, [0] * len(names))[2 * int(part) + int(y)] += 1
-            yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["word", *names])
+                # A word may end in a star itself, so what is a beginning is said apart.
+                for entry in {(False, w) for w in own} | {(True, w[:k]) for w in own for k in STEMS if len(w) > k}:
+                    seen.setdefault(entry, [0] * len(names))[2 * int(part) + int(y)] += 1
+            yield pd.DataFrame([(*entry, *n) for entry, n in seen.items()], columns=["stem", "word", *names])
 
     totals = {(r["part"], r["toxic"]): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
-    counted = rows.select("text", "toxic", "part").mapInPandas(count, ", ".join(["word string", *(f"{n} long" for n in names)]))
-    summed = counted.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
+    counted = rows.select("text", "toxic", "part").mapInPandas(count, ", ".join(["stem boolean", "word string", *(f"{n} long" for n in names)]))
+    summed = counted.groupBy("stem", "word").agg(*(F.sum(n).alias(n) for n in names))
     summed = stored(summed.where(sum(F.col(f"n1_{k}") for k in range(parts)) >= least_docs), "words", TEXT_ROWS)
     out = []
     for without in [*range(parts), -1]:
@@ -108,11 +109,9 @@ def learn_lexicons(rows: DataFrame, parts: int, least_docs: int = 3, least_odds:
         n0, n1 = (sum(totals.get((k, y), 0) for k in kept) for y in (0, 1))
         c0, c1 = (sum((F.col(f"n{y}_{k}") for k in kept), F.lit(0)) for y in (0, 1))
         odds = F.log((c1 + 0.5) / F.lit(n1 + 1.0)) - F.log((c0 + 0.5) / F.lit(n0 + 1.0))
-        strong = summed.where(c1 >= least_docs).select("word", odds.alias("odds")).where(F.col("odds") >= least_odds)
-        found = strong.orderBy(F.desc("odds"), "word").limit(2 * most).collect()
-        words = {r["word"]: r["odds"] for r in found if not r["word"].endswith("*")}
-        stems = {r["word"][:-1]: r["odds"] for r in found if r["word"].endswith("*")}
-        out.append((dict(list(words.items())[:most]), dict(list(stems.items())[:most])))
+        strong = summed.where(c1 >= least_docs).select("stem", "word", odds.alias("odds")).where(F.col("odds") >= least_odds)
+        words, stems = ({r["word"]: r["odds"] for r in strong.where(kind).orderBy(F.desc("odds"), "word").limit(most).collect()} for kind in (~F.col("stem"), F.col("stem")))
+        out.append((words, stems))
     return out
 
 
