@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.adapters import load, with_views
-from wagewright.functions import ids, pay, places, rules, text
+from wagewright.functions import ids, pay, places, rules, sql, text
 from wagewright.operators import cells, cube, disclosure, history, registry, sampling, search, views
 from wagewright.stores import written
 
@@ -315,6 +315,28 @@ def salary_render_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "orders").select("o_orderkey", pay.parse_salary(text, F.lit("IT")).alias("p")).select("o_orderkey", "p.min", "p.max", "p.currency", "p.period", "p.gross_net")
 
 
+PAID_TEXTS = """SELECT o_orderkey, 20000 + o_custkey % 900 * 100 AS low, 25000 + o_custkey % 900 * 100 AS high, 1000 + o_custkey % 900 AS n,
+  concat('We offer a salary of €', 20000 + o_custkey % 900 * 100, ' - €', 25000 + o_custkey % 900 * 100, ' per year.', repeat(' lorem', 40), ' Stipendio €.', 1000 + o_custkey % 900, ' lordi al mese. No figure here.') AS text FROM orders"""
+
+
+@query("pay_mentions", f"""WITH t AS ({PAID_TEXTS}), m AS (
+    SELECT o_orderkey, strpos(text, 'salary') - 1 AS start, concat('salary of €', low) AS phrase, low AS low_, high AS high_, 'year' AS period, NULL AS gross_net, 0 AS more FROM t
+    UNION ALL SELECT o_orderkey, strpos(text, ' - €') + 2, concat('€', high), high, high, 'year', NULL, 0 FROM t
+    UNION ALL SELECT o_orderkey, strpos(text, 'Stipendio') - 1, concat('Stipendio €', n), n, n, 'month', 'gross', 1 FROM t)
+  SELECT o_orderkey, CAST(start AS INTEGER) AS start, CAST(start + len(phrase) + more AS INTEGER) AS stop, phrase, CAST(low_ AS DOUBLE) AS low, CAST(high_ AS DOUBLE) AS high, 'EUR' AS currency, period, gross_net FROM m""")
+def pay_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every mention of pay in a text, by a table function in SQL."""
+    sql.register(spark)
+    texts = spark.sql(PAID_TEXTS.replace("FROM orders", "FROM {orders}"), orders=load(spark, sf_dir, "orders"))
+    return spark.sql("SELECT o_orderkey, m.* FROM {t}, LATERAL pay_mentions(text) m", t=texts)
+
+
+@query("sql_functions", "SELECT o_orderkey, CASE WHEN o_custkey * 500 >= 1000000 THEN 'metro' WHEN o_custkey * 500 >= 250000 THEN 'large' WHEN o_custkey * 500 >= 50000 THEN 'medium' WHEN o_custkey > 0 THEN 'small' END AS band, round_even(100 * o_custkey / nullif(o_orderkey % 5, 0), 1) AS share, CASE WHEN o_custkey % 900 + 1000 BETWEEN 5000 / 14.0 AND 500000 / 14.0 THEN CAST((o_custkey % 900 + 1000) * 14 AS DOUBLE) END AS annual FROM orders")
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5: the engine's functions called from SQL."""
+    sql.register(spark)
+    return spark.sql("SELECT o_orderkey, pay_size_band(o_custkey * 500) AS band, pay_share(100 * o_custkey DIV 100, o_orderkey % 5) AS share, pay_annual(CAST(o_custkey % 900 + 1000 AS DOUBLE), 'month', 'EUR', NULL, 14) AS annual FROM {orders}", orders=load(spark, sf_dir, "orders"))
+
 
 def normal_sql(x: str) -> str:
     """normalize_text in SQL. Letters without a plain form become blanks, as all signs do."""
