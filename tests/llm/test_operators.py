@@ -373,6 +373,12 @@ def test_brown_scores_against_brute_force(spark):
         assert math.isclose(r["score"], want, rel_tol=1e-9), r
 
 
+def test_commonest_words_up_to_the_bound(spark):
+    counts = spark.createDataFrame([("b", 1), ("a", 1), ("d", 1), ("c", 3), ("e", 2)], "word string, c long")
+    of = lambda most: {r["word"] for r in brown.commonest(counts, most).collect()}
+    assert [of(n) for n in (1, 2, 3, 4, 5, 9)] == [{"c"}, {"c", "e"}, {"c", "e", "a"}, {"c", "e", "a", "b"}, set("abcde"), set("abcde")]
+
+
 def test_batched_exchange_only_gains(spark):
     rng = np.random.default_rng(3)
     n, classes = 40, 4

@@ -219,18 +219,18 @@ class Model:
 
 
 def commonest(counts: DataFrame, most: int) -> DataFrame:
-    """The words whose count is above the least count at which they are still at most ``most``.
+    """The ``most`` words of the greatest counts; of equal counts the first by spelling.
 
-    The cut comes from a table of how many words have each count, so no task sends more than its share of the words.
+    The cut comes from a table of how many words have each count, so only words of the count at the cut are put in order.
     """
     tally = counts.groupBy("c").count().orderBy(F.desc("c")).limit(most).collect()
-    cut, taken = 0, 0
+    taken = 0
     for r in tally:
+        if taken + r["count"] > most:
+            tied = counts.where(F.col("c") == r["c"]).orderBy("word").limit(most - taken)
+            return counts.where(F.col("c") > r["c"]).unionByName(tied)
         taken += r["count"]
-        if taken > most:
-            cut = r["c"]
-            break
-    return counts.where(F.col("c") > cut)
+    return counts
 
 
 def fit(train: DataFrame, clustered: int = 20_000, classes: int = 48, end_classes: int = 64, head: int = 100_000, seeds: int = 1000) -> tuple[Model, DataFrame]:
