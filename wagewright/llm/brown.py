@@ -223,7 +223,7 @@ def commonest(counts: DataFrame, most: int) -> DataFrame:
 
     The cut comes from a table of how many words have each count, so only words of the count at the cut are put in order.
     """
-    tally = counts.groupBy("c").count().orderBy(F.desc("c")).limit(most).collect()
+    tally = counts.groupBy("c").count().orderBy(F.desc("c")).limit(most + 1).collect()
     taken = 0
     for r in tally:
         if taken + r["count"] > most:
