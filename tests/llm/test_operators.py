@@ -606,6 +606,31 @@ def test_surrogates_round_trip(spark):
     assert not set(to) & set(back)
 
 
+def test_surrogates_keep_persons_domains_and_check_digits(spark):
+    """Family names change alike alone and in full, domains stay as many as they were, account numbers' checks hold."""
+    rows = [
+        (1, "Mr John Smith wrote, and Mr Smith said. Frau Smith came; Mr Peter Smith and Mrs Andrea Rossi met Mr Andrea Rossi."),
+        (2, "Mr. John Smith paid from DE89 3704 0044 0532 0130 00 to DE89370400440532013000 and GB29NWBK60161331926819"),
+        (3, " ".join(f"u{i % 3}@{c}.de" for i, c in enumerate("abcdefghijklmnopqrstuvwxyz" * 2))),
+        (4, " ".join(f"Frau Ann{chr(97 + i)} Lee" for i in range(26)) + " Frau Anna Maria"),
+    ]
+    out = dict((r["doc_id"], r["text"]) for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect())
+    word = "([A-Z][a-z]+)"
+    john, smith, alone, again, peter, third, andrea, rossi, he, his = re.fullmatch(rf"Mr {word} {word} wrote, and Mr {word} said. Frau {word} came; Mr {word} {word} and Mrs {word} {word} met Mr {word} {word}.", out[1]).groups()
+    assert smith == alone == again == third != "Smith" and john != peter and rossi == his != "Rossi" and andrea != he
+    assert out[2].startswith(f"Mr. {john} {smith} paid from DE")
+    ibans = re.fullmatch(r".* from (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d) to (DE\d{20}) and (GB\d\d[A-Z]{4}\d{14})", out[2]).groups()
+    plain = [i.replace(" ", "") for i in ibans]
+    assert plain[0] == plain[1] != "DE89370400440532013000"
+    assert all(int("".join(str(int(c, 36)) for c in i[4:] + i[:4])) % 97 == 1 for i in plain)
+    before, after = rows[2][1].split(), out[3].split()
+    to = {(a.split("@")[1], b.split("@")[1]) for a, b in zip(before, after, strict=True)}
+    assert len(to) == len({a for a, _ in to}) == len({b for _, b in to}) == 26 and not {a for a, _ in to} & {b for _, b in to}
+    assert len(set(after)) == len(set(before))
+    given = re.findall(rf"Frau {word} {word}", out[4])
+    assert len(set(given)) == 27 and len({f for _, f in given}) == 2 and all(g != f"Ann{chr(97 + i)}" for i, (g, _) in enumerate(given[:26]))
+
+
 def test_surrogates_grow_where_there_is_no_room(spark):
     rows = [("email", f"{c}@x.de", "") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", "********", ""), ("secret", "--------", "")]
     fresh = {r["canon"]: r["fresh"] for r in pii.surrogates(spark.createDataFrame(rows, "kind string, canon string, gender string"), "k").collect()}

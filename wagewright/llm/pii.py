@@ -3,6 +3,10 @@
 Every entity gets a replacement of its own kind and format, from a keyed digest of its canonical form, so all its
 mentions, however written, change alike. Replacements that two entities would share, or that are themselves somebody's
 real value, are drawn again until none collide.
+
+Names and addresses are replaced in two parts, each with a replacement of its own: given and family name, what stands
+before the @ and the domain. So a person named in full and by family name alone stays one person, and addresses share a
+domain only where they did before. As no family name and no domain is replaced by a real one, no whole name or address is.
 """
 
 from __future__ import annotations
@@ -105,33 +109,40 @@ def _luhn(digits: Column) -> Column:
     return F.concat(F.substring(digits, F.lit(1), n - 1), ((10 - total % 10) % 10).cast("string"))
 
 
+def _iban(plain: Column) -> Column:
+    """The account number with its two check digits set so that they hold."""
+    country, own = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+    values = F.transform(F.filter(F.split(F.concat(own, country, F.lit("00")), ""), lambda c: c != ""), lambda c: F.conv(c, 36, 10).cast("int"))
+    rest = F.aggregate(values, F.lit(0), lambda acc, v: (acc * F.when(v < 10, 10).otherwise(100) + v) % 97)
+    return F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), own)
+
+
 def _pick(names: list[str], digest: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, names)), _number(digest, at, len(names)) + 1)
 
 
-def surrogate(kind: Column, canon: Column, gender: Column, digest: Column, domain_digest: Column) -> Column:
-    """The canonical form's replacement."""
-    at = F.instr(canon, "@")
-    local, domain = F.substring(canon, F.lit(1), at - 1), F.substring(canon, at + 1, F.length(canon))
-    name, last = F.substring_index(domain, ".", -1), F.regexp_replace(domain, r"\.[^.]*\z", "")
+def surrogate(kind: Column, canon: Column, gender: Column, attempt: Column, digest: Column) -> Column:
+    """The replacement of one part: of an address what stands before the @, its domain as it is; else of the whole."""
+    # What still collides grows by a letter in each further round.
+    longer = F.greatest(attempt - GROWS_AFTER, F.lit(0))
+    grown = _alike(F.repeat(F.lit("z"), longer), F.sha2(digest, 256))
+    email = F.concat(_alike(F.substring_index(canon, "@", 1), digest), grown, F.lit("@"), F.substring_index(canon, "@", -1))
+    domain = F.concat(_alike(F.regexp_replace(canon, r"\.[^.]*\z", ""), digest), grown, F.lit("."), F.substring_index(canon, ".", -1))
     ip = F.concat_ws(".", *((_number(digest, 1 + 8 * i, 254) + 1).cast("string") for i in range(4)))
-    card = _luhn(F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), F.length(canon)), digest)))
-    iban = F.concat(F.substring(canon, 1, 2), _alike(F.substring(canon, F.lit(3), F.length(canon)), digest))
-    phone = F.concat(F.substring(canon, 1, 1), _alike(F.substring(canon, F.lit(2), F.length(canon)), digest))
+    rest = lambda at: _alike(F.substring(canon, F.lit(at), F.length(canon)), digest)
+    card, phone = _luhn(F.concat(F.substring(canon, 1, 1), rest(2))), F.concat(F.substring(canon, 1, 1), rest(2))
+    iban = _iban(F.concat(F.substring(canon, 1, 2), rest(3)))
     key = F.concat(F.regexp_extract(canon, r"\A(AKIA|gh[pousr]_|sk-|)", 1), _alike(F.regexp_replace(canon, r"\A(AKIA|gh[pousr]_|sk-)", ""), digest))
     script = F.when(canon.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    given = F.coalesce(*(F.when((gender == g) & (script == s), _pick(names, digest, 1)) for (g, s), names in GIVEN.items()))
+    first, second = (F.coalesce(*(F.when((gender == g) & (script == s), _pick(names, digest, at)) for (g, s), names in GIVEN.items())) for at in (1, 17))
     family = F.coalesce(*(F.when(script == s, _pick(names, digest, 9)) for s, names in FAMILY.items()))
-    # Lists of names are short; more family names come from syllables when a list has run out.
-    tail = F.when(F.col("attempt") > 0, F.when(script == "cyrillic", _pick("ин ов ский енко".split(), digest, 17)).otherwise(_pick("ini ard sen mann elli ova eau ton".split(), digest, 17))).otherwise("")
-    # What still collides grows by a letter in each further round.
-    longer = F.greatest(F.col("attempt") - GROWS_AFTER, F.lit(0))
+    # Lists of names are short; when one has run out there are two given names in one, and families by a last syllable.
+    double = F.when(attempt > 0, F.lower(second)).otherwise("")
+    tail = F.when(attempt > 0, F.when(script == "cyrillic", _pick("ин ов ский енко".split(), digest, 17)).otherwise(_pick("ini ard sen mann elli ova eau ton".split(), digest, 17))).otherwise("")
     letters = F.concat(F.lit("aaaa"), F.repeat(F.lit("a"), longer))
-    more = F.when(F.col("attempt") > 2, _alike(F.when(script == "cyrillic", F.translate(letters, "a", "а")).otherwise(letters), digest)).otherwise("")
-    person = F.when(canon.contains(" "), F.concat(given, F.lit(" "), family, more, tail)).otherwise(F.concat(family, more, tail))
-    grown = _alike(F.repeat(F.lit("z"), longer), F.sha2(digest, 256))
-    email = F.concat(_alike(local, digest), grown, F.lit("@"), _alike(last, domain_digest), F.lit("."), name)
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "key", F.concat(key, grown)).when(kind == "name", person).when(kind == "secret", F.concat(_alike(canon, digest), grown)).otherwise(_alike(canon, digest))
+    more = F.when(attempt > 2, _alike(F.when(script == "cyrillic", F.translate(letters, "a", "а")).otherwise(letters), digest)).otherwise("")
+    own = {"email": email, "domain": domain, "ip": ip, "card": card, "iban": iban, "phone": phone, "key": F.concat(key, grown), "given": F.concat(first, double, more), "name": F.concat(family, more, tail), "secret": F.concat(_alike(canon, digest), grown)}
+    return F.coalesce(*(F.when(kind == k, fresh) for k, fresh in own.items()), _alike(canon, digest))
 
 
 def in_format(kind: Column, own: Column, fresh: Column) -> Column:
@@ -150,6 +161,9 @@ def in_format(kind: Column, own: Column, fresh: Column) -> Column:
 def surrogates(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
     """entities: distinct kind, canon, gender. Adds fresh: replacements distinct within a kind, none of them an entity.
 
+    Given names (kind given, canon the gender and the name) may be those of others but not the own one; an address keeps
+    its domain here, which is a part of its own.
+
     Each round draws anew for those that collide (all but the first by canonical form). Names, addresses, secrets and
     keys get longer with the rounds, so they always find a place; numbers of a fixed format raise an error if they still
     collide after the last round, that is, if there are more of them than the format has room for.
@@ -160,11 +174,9 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
         # Entities are few beside the work that each one is, so they are dealt out first; a draw is used twice.
         dealt = rows.repartition(parts, "kind", "canon").withColumn("attempt", F.lit(attempt))
         digest = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "canon", F.col("attempt").cast("string")), 256)
-        domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index("canon", "@", -1)), 256)
-        fresh = surrogate(F.col("kind"), F.col("canon"), F.col("gender"), digest, domain)
+        fresh = surrogate(F.col("kind"), F.col("canon"), F.col("gender"), F.col("attempt"), digest)
         return stored(dealt.select("kind", "canon", "gender", fresh.alias("fresh")), "draw")
 
-    # A person's mentions with and without a title's gender are one entity.
     left, settled = entities, None
     for attempt in range(rounds):
         wanted = drawn(left, attempt)
@@ -175,7 +187,8 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
             judged = judged.join(settled.select("kind", "fresh", F.lit(True).alias("taken")), ["kind", "fresh"], "left")
         else:
             judged = judged.withColumn("taken", F.lit(None).cast("boolean"))
-        fine = F.col("real").isNull() & F.col("taken").isNull() & (F.col("canon") == F.col("first"))
+        same = (F.col("kind") == "given") & (F.substring_index("canon", " ", -1) == F.col("fresh"))
+        fine = F.col("real").isNull() & F.col("taken").isNull() & (F.col("canon") == F.col("first")) & ~same
         step = stored(judged.select("kind", "canon", "gender", "fresh", fine.alias("fine")), "surrogates")
         discard(wanted)
         good, left = step.where("fine").drop("fine"), step.where(~F.col("fine")).select("kind", "canon", "gender")
@@ -186,28 +199,58 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 200) -> DataFrame:
 
 
 def mentions_of(docs: DataFrame) -> DataFrame:
-    """docs' key with each different mention in its text: mention, kind, kept, own, canon, gender."""
+    """docs' key with each different mention in its text: mention, kind, kept, own, canon, gender.
+
+    The canonical form of a full name begins with its gender, as two persons may share a name; a family name alone doesn't
+    tell whose it is.
+    """
     hit = docs.where(F.col("text").rlike(HINT)).select("key", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), 0))).alias("mention"))
     kinds = hit.withColumn("kind", kind_of(F.col("mention")))
     parts = kinds.withColumn("kept", kept_part(F.col("kind"), F.col("mention")))
     own = parts.withColumn("own", F.substring(F.col("mention"), F.length("kept") + 1, F.length("mention")))
     female = reduce(lambda a, b: a | b, (F.col("kept").startswith(t) for t in TITLES["f"]))
     gender = F.when(F.col("kind") == "name", F.when(female, "f").otherwise("m")).otherwise("")
-    return own.withColumn("canon", canonical(F.col("kind"), F.col("own"))).withColumn("gender", gender)
+    full = (F.col("kind") == "name") & F.col("own").contains(" ")
+    canon = F.when(full, F.concat(gender, F.lit(" "), F.col("own"))).otherwise(canonical(F.col("kind"), F.col("own")))
+    return own.withColumn("canon", canon).withColumn("gender", gender)
+
+
+def parts_of(entities: DataFrame) -> DataFrame:
+    """The one or two parts of each entity that are replaced on their own: kind, canon, gender, at, part_kind, part."""
+    canon, kind = F.col("canon"), F.col("kind")
+    part = lambda at, k, c: F.struct(F.lit(at).alias("at"), k.alias("part_kind"), c.alias("part"))
+    name = F.array(part(0, F.lit("given"), F.substring_index(canon, " ", 2)), part(1, kind, F.substring_index(canon, " ", -1)))
+    email = F.array(part(0, kind, canon), part(1, F.lit("domain"), F.substring_index(canon, "@", -1)))
+    whole = F.array(part(0, kind, canon))
+    parts = F.when((kind == "name") & canon.contains(" "), name).when(kind == "email", email).otherwise(whole)
+    return entities.select("kind", "canon", "gender", F.inline(parts))
+
+
+def replaced(entities: DataFrame, key: str) -> DataFrame:
+    """entities: distinct kind, canon, gender. Their kind, canon and fresh, put together from their parts' replacements."""
+    split = stored(parts_of(entities), "parts")
+    gender = F.max(F.when(F.col("part_kind").isin("given", "name"), F.col("gender")).otherwise("")).alias("gender")
+    fresh = surrogates(stored(split.groupBy(F.col("part_kind").alias("kind"), F.col("part").alias("canon")).agg(gender), "distinct-parts"), key)
+    found = split.join(fresh.select(F.col("kind").alias("part_kind"), F.col("canon").alias("part"), "fresh"), ["part_kind", "part"])
+    first, second = (F.max(F.when(F.col("at") == i, F.col("fresh"))).alias(n) for i, n in enumerate(["first", "second"]))
+    both = found.groupBy("kind", "canon").agg(first, second)
+    address = F.concat(F.substring_index("first", "@", 1), F.lit("@"), F.col("second"))
+    return both.select("kind", "canon", F.when(F.col("kind") == "email", address).otherwise(F.concat_ws(" ", "first", "second")).alias("fresh"))
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """docs with replaced entities in text, and the new column n_replaced (mentions replaced, long).
 
-    Whole texts are searched. Equal entities get equal replacements in all documents, different ones different ones.
+    Whole texts are searched. Equal entities get equal replacements in all documents, different ones different ones; a
+    family name is replaced alike alone and after a given name, a domain alike in all addresses.
     A null text stays null; repeated rows are treated alike. A column of docs named n_replaced is replaced. The same
     key gives the same replacements for the same table.
     """
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").where(F.col("text").isNotNull())
     mentions = stored(mentions_of(keyed), "mentions")
     entities = mentions.groupBy("kind", "canon").agg(F.max("gender").alias("gender"))
-    fresh = surrogates(stored(entities, "entities"), key)
-    written = mentions.join(fresh.select("kind", "canon", "fresh"), ["kind", "canon"])
+    fresh = replaced(stored(entities, "entities"), key)
+    written = mentions.join(fresh, ["kind", "canon"])
     pairs = written.select("key", F.struct("mention", F.concat("kept", in_format(F.col("kind"), F.col("own"), F.col("fresh"))).alias("to")).alias("pair"))
     table = pairs.groupBy(F.col("key").alias("__key")).agg(F.map_from_entries(F.array_distinct(F.collect_list("pair"))).alias("__to"))
     columns = [c for c in docs.columns if c != "n_replaced"]
