@@ -40,11 +40,15 @@ PUBLIC_PLACE = "province province_code region macro_area city_size_band".split()
 PUBLIC_COMPANY = {"name": "company", "sector": "sector", "micro_sector": "micro_sector", "is_tech": "is_tech", "company_type": "company_type", "size_band": "company_size"}
 
 
-def jobs_public(jobs: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    """Ads with company and place, by the public columns alone; a column that a table lacks the view lacks too."""
+def jobs_public(jobs: DataFrame, companies: DataFrame, locations: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Ads with company and place, by the public columns alone; a column that a table lacks the view lacks too.
+
+    ``by``: the columns that ads and companies are joined by, the first the company, as both are stored (``bucketed``).
+    """
+    by = by or ["company_id"]
     have = lambda df, names: [c for c in names if c in df.columns]
-    own = jobs.select("company_id", *have(jobs, PUBLIC_JOB))
-    named = own.join(companies.select("company_id", *(F.col(c).alias(PUBLIC_COMPANY[c]) for c in have(companies, PUBLIC_COMPANY))), "company_id", "left")
+    own = jobs.select(*by, *have(jobs, PUBLIC_JOB))
+    named = own.join(companies.select(*by, *(F.col(c).alias(PUBLIC_COMPANY[c]) for c in have(companies, PUBLIC_COMPANY))), by, "left").drop(*by[1:])
     placed = named.join(locations.select("location_id", *have(locations, PUBLIC_PLACE)), "location_id", "left")
     return placed.withColumn("posted_after_law", F.when(F.col("posting_period") == "post_law", 1).otherwise(0))
 
