@@ -783,6 +783,41 @@ def test_near_texts_against_brute_force(spark, dense, monkeypatch):
     assert kept == want
 
 
+def groups_by_brute_force(rows):
+    """Each group's least place, for texts in the order of their places."""
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(words_of, rows)]
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 5 * len(x & sets[j]) >= 4 * len(x | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {top(i) for i in range(len(rows))}
+
+
+@pytest.mark.parametrize("found", ["by prints", "by prefixes alone"])
+def test_near_texts_at_just_the_threshold(spark, found, monkeypatch):
+    if found == "by prefixes alone":
+        monkeypatch.setattr(near_texts, "near_pairs", lambda docs, *_: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(near_texts, "COMMON", 50, raising=False)
+    rng = random.Random(31)
+    rows, shared = [], prose(rng, 40, 3000)
+    for i in range(120):  # 8 words of 80 go at an end: 68 of 84 shingles, 0.81
+        words = [f"w{rng.randrange(3000)}" for _ in range(80)]
+        rows += [" ".join(words), " ".join(words[:72] + [f"v{rng.randrange(3000)}" for _ in range(8)]), edited(rng, " ".join(words), 2)]
+        rows.append(f"{shared} {prose(rng, rng.randint(3, 12), 3000)}")
+    want = groups_by_brute_force(rows)
+    assert len(want) < len(rows) - 150
+    kept = {r["doc_id"] for r in near_texts.keep_one(docs_of(spark, list(enumerate(rows)))).collect()}
+    assert kept == want
+
+
 def test_near_texts_have_no_unverified_link(spark):
     rng = random.Random(13)
     base = prose(rng, 100, 3000)
