@@ -818,6 +818,15 @@ def test_near_texts_at_just_the_threshold(spark, found, monkeypatch):
     assert kept == want
 
 
+def test_training_texts_are_encoded_once(spark, monkeypatch):
+    plans, write = [], quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, *more: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *more))
+    docs = docs_of(spark, [(i, f"w{i} and so on") for i in range(20)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    quality.fit(quality.train_rows(docs, labels))
+    assert [len(re.findall(r"ArrowEvalPython \[", p)) for p in plans] == [0, 1]
+
+
 def test_near_texts_have_no_unverified_link(spark):
     rng = random.Random(13)
     base = prose(rng, 100, 3000)

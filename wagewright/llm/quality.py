@@ -122,7 +122,9 @@ def fit(labelled: DataFrame, sample: int = 4000, most_passages: int = 256) -> At
     def encoded(texts: pd.Series) -> pd.Series:
         return pd.Series([passages(t).tobytes() for t in texts])
 
-    made = labelled.select("doc_id", F.col("quality").cast("int").alias("quality"), encoded("text").alias("bag"))
+    # Else the condition on the bag would move down with a copy of the function: two Python workers a task, for rows without a label too.
+    once = encoded.asNondeterministic()
+    made = labelled.select("doc_id", F.col("quality").cast("int").alias("quality"), once("text").alias("bag"))
     most_bytes = most_passages * N_FEATURES * np.dtype(np.float32).itemsize
     short = stored(made.where(F.length("bag") <= most_bytes), "bags", TEXT_ROWS)
     rows = short.orderBy(F.xxhash64("doc_id")).select("quality", "bag").limit(sample).toPandas()
