@@ -157,6 +157,12 @@ def test_text(spark):
     assert one(spark, text.join_notes(F.array("t", F.lit("b"), F.lit("b"))), t="a") == "a | b"
 
 
+def test_entities_that_were_cut_off(spark):
+    cut = "<title>a&amp;&amp</title>&copy; &copy=1 &ampx; &#8364; &nosuch; &a"
+    assert one(spark, text.clean_html(F.col("t"), closed=True), t=cut) == "a&&amp © &copy=1 &ampx; € &nosuch; &a"
+    assert one(spark, text.clean_html(F.col("t")), t=cut) == "a&& © ©=1 &x; € &nosuch; &a"
+
+
 GAZETTEER = [
     ("IT-015146", "Milano", "Lombardia", "03", "IT", 1_300_000), ("IT-015209", "Sesto San Giovanni", "Lombardia", "03", "IT", 80_000), ("IT-058091", "Roma", "Lazio", "12", "IT", 2_700_000),
     ("DE-09162", "München", "Bayern", "DE2", "DE", 1_500_000), ("DE-1", "Winzig", "Bayern", "DE2", "DE", 900),
