@@ -1,6 +1,9 @@
 """Names of any length in places, and mentions of pay in SQL."""
 
-from wagewright.functions import places, sql
+import re
+
+from wagewright.functions import pay, places, sql
+from wagewright.plans.queries import QUERIES
 
 PLACES = "location_id string, city string, region string, region_code string, country_code string, population long"
 
@@ -27,3 +30,32 @@ def test_mentions_of_pay(spark):
     first = next(r for r in got if r["id"] == 4)
     assert first["said"] == first["phrase"] and (first["low"], first["high"]) == (30000, 40000)
     assert all(r["said"].replace("€.", "€").replace("EUR.", "EUR") == r["phrase"] for r in got)
+    listed = spark.sql("SELECT id, inline(pay_list(text)) FROM {t}", t=frame)
+    assert sorted(map(tuple, listed.collect()), key=str) == sorted(map(tuple, spark.sql("SELECT id, m.* FROM {t}, LATERAL pay_mentions(text) m", t=frame).collect()), key=str)
+
+
+def alternatives(pattern):
+    """The alternatives of a pattern as the plain texts that they hold."""
+    depth, parts = 0, [""]
+    for c in re.sub(r"\\\.", ".", pattern):
+        depth += (c == "(") - (c == ")")
+        if c == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [re.sub(r"\\[bws]\*?|\?", " ", p).lower().replace("\\", "") for p in parts]
+
+
+def test_every_alternative_holds_a_piece():
+    inner = lambda p: re.sub(r"^\\b\(\?:|\)\\b$", "", p)
+    cases = [(pay.PERIOD_WORDS[k], v) for k, v in pay.PERIOD_PIECES.items()] + [(pay.CURRENCIES[k], v) for k, v in pay.CURRENCY_PIECES.items()]
+    cases += [(pay.GROSS, pay.GROSS_PIECES), (inner(pay.COMPANY_FIGURES), pay.COMPANY_PIECES), (inner(pay.DEALS).replace("(?-i:ARR)", "arr"), pay.DEAL_PIECES), (inner(pay.BENEFITS), pay.BENEFIT_PIECES)]
+    for pattern, pieces in cases:
+        for one in alternatives(pattern):
+            assert any(p in one for p in pieces.split(",")), one
+
+
+def test_texts_are_dealt_out_to_many_tasks(spark, tmp_path):
+    path = str(tmp_path)
+    spark.range(50_000).selectExpr("id AS o_orderkey", "id AS o_custkey").coalesce(1).write.parquet(f"{path}/orders.parquet")
+    assert QUERIES["pay_mentions"](spark, path).rdd.getNumPartitions() == 3

@@ -57,6 +57,12 @@ def discard(*steps: DataFrame | None) -> None:
             folder.getFileSystem(step.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def dealt(df: DataFrame, each: int = 20_000) -> DataFrame:
+    """df in so many partitions that a task has about ``each`` rows: for functions that take long, where the files of
+    narrow rows would give few tasks."""
+    return df.repartition(max(1, -(-df.count() // each)))
+
+
 def bounded(df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """df marked for broadcast if it is small by rows and, where it is written, by bytes of its files; else Spark shuffles."""
     size = size_of(df)
