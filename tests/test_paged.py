@@ -3,6 +3,10 @@
 import contextlib
 import io
 import json
+import time
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from wagewright.sources import ads, paged
 
@@ -57,3 +61,24 @@ def test_oracle(spark, tmp_path):
     details = spark.createDataFrame([("h", "1", json.dumps({"items": [{"ExternalDescriptionStr": "<p>one</p>"}]}))], "board string, job_id string, body string")
     got = {r["job_id"]: r["description"] for r in ads.oracle_postings(paged.board_lists(spark, path, "oracle"), details).collect()}
     assert got == {str(i): "one" if i == 1 else "" for i in range(1, 60, 2)}
+
+
+def test_pages_out_of_order_and_in_several_files(spark, tmp_path):
+    pages = [("a", "IT", k, listing([f"{k + i}" for i in range(20)], 200)) for k in range(0, 200, 20)]
+    path = str(tmp_path / "lists")
+    for some in (pages[5:] + pages[:2], pages[1:5]):  # a page comes twice
+        spark.createDataFrame(some, "board string, facet string, offset long, body string").coalesce(1).write.mode("append").partitionBy("board", "facet").parquet(path)
+    got = [json.loads(r["posting"])["title"] for r in paged.board_lists(spark, path, "workday").orderBy("ordinal").collect()]
+    assert got == [str(i) for i in range(200)]
+
+
+def test_a_list_is_read_once(tmp_path):
+    """A long list takes as many reads of its file as it has batches, not one for each page."""
+    (tmp_path / "board=a" / "facet=IT").mkdir(parents=True)
+    n = 4000
+    pages = pa.table({"offset": range(0, 20 * n, 20), "body": [listing([f"{k}"], 20 * n) for k in range(n)]})
+    pq.write_table(pages, tmp_path / "board=a" / "facet=IT" / "p.parquet")
+    reader = paged.ListReader({"path": str(tmp_path)})
+    began = time.process_time()
+    assert len(list(reader.read(reader.partitions()[0]))) == n
+    assert time.process_time() - began < 4

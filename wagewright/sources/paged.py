@@ -1,13 +1,14 @@
 """Boards whose lists come in pages, as a data source that plans a partition for each board and country.
 
 The answers are Parquet files under folders of board and facet (the country that the list was asked for; none for a list
-of all), with the columns offset and body: what a crawler stores, one row for each page it got. Conditions on board and
+of all), with the columns offset and body: what a crawler stores, one row for each page it got, in their order in each file. Conditions on board and
 facet decide which partitions are planned; the pages of a partition are followed one by one, and none is read beyond the
 list's end or the cap.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -15,7 +16,9 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
@@ -26,6 +29,8 @@ FORMAT = "board_lists"
 SCHEMA = "board string, facet string, ordinal long, posting string"
 #: Postings in a page, by system.
 PAGE = {"workday": 20, "oracle": 25}
+#: Pages of a file that are held at a time, and postings whose pages are where files aren't in order.
+BATCH, WINDOW = 64, 50_000
 #: How a list says that a posting is in several places.
 MANY_PLACES = re.compile(r"\d+ (?:locations|sedi|località|standorte|lieux|locaties)", re.IGNORECASE)
 NONE = "__HIVE_DEFAULT_PARTITION__"
@@ -83,13 +88,42 @@ class ListReader(DataSourceReader):
         boards = [(folder, board) for folder, board in of(root, "board") if self.wants("board", board)]
         return [BoardPart(board, facet, folder) for above, board in boards for folder, facet in of(above, "facet") if self.wants("facet", facet)]
 
-    def read(self, partition: BoardPart) -> Iterator[tuple]:
+    def pages(self, folder: str) -> Iterator[tuple[int, str]]:
+        """The pages (offset, body) of a list by offset, the first of each. Files in order are merged, and a few pages of each
+        are held; where one isn't, the files are gone through once for every WINDOW of offsets."""
         store, _ = fs.FileSystem.from_uri(self.path)
-        pages = ds.dataset(partition.folder, format="parquet", filesystem=store, partitioning=None, exclude_invalid_files=True)
+        found = ds.dataset(folder, format="parquet", filesystem=store, partitioning=None, exclude_invalid_files=True)
+
+        def rows(file: str) -> Iterator[tuple[int, str]]:
+            with pq.ParquetFile(store.open_input_file(file)) as one:
+                for batch in one.iter_batches(BATCH, columns=["offset", "body"]):
+                    yield from zip(batch.column("offset").to_pylist(), batch.column("body").to_pylist(), strict=True)
+
+        def in_order(file: str) -> bool:
+            offsets = pq.read_table(file, columns=["offset"], filesystem=store, partitioning=None).column("offset")
+            return offsets.null_count == 0 and pc.all(pc.greater_equal(offsets[1:], offsets[:-1])).as_py() is not False
+
+        files = sorted(found.files)
+        if all(map(in_order, files)):
+            merged = heapq.merge(*map(rows, files), key=lambda row: row[0])
+        else:
+            most = pc.max(found.to_table(columns=["offset"]).column("offset")).as_py()
+            windows = (found.to_table(columns=["offset", "body"], filter=(ds.field("offset") >= k) & (ds.field("offset") < k + WINDOW)) for k in range(0, (most or 0) + 1, WINDOW))
+            merged = (row for w in windows for row in sorted(zip(w.column("offset").to_pylist(), w.column("body").to_pylist(), strict=True), key=lambda row: row[0]))
+        last = None
+        for offset, body in merged:
+            if offset != last:
+                yield offset, body
+            last = offset
+
+    def read(self, partition: BoardPart) -> Iterator[tuple]:
         offset, kept, total = 0, 0, None
-        while self.cap is None or kept < self.cap:
-            found = pages.to_table(columns=["body"], filter=ds.field("offset") == offset).column("body").to_pylist()
-            of_all, postings = page_of(self.system, found[0] if found else "")
+        for at, body in self.pages(partition.folder):
+            if at < offset:
+                continue
+            if at > offset or self.cap is not None and kept >= self.cap:
+                break
+            of_all, postings = page_of(self.system, body)
             total = of_all if total is None else total
             for i, posting in enumerate(postings):
                 # A list of all countries is narrowed here, and what is left out doesn't count towards the cap.
@@ -127,5 +161,6 @@ def board_lists(spark: SparkSession, path: str, system: str, cap: int | None = N
 
 
 def store_lists(pages: DataFrame, path: str) -> None:
-    """Pages (board, facet, offset, body) to where ``board_lists`` reads them."""
-    pages.select("board", "facet", "offset", "body").repartition("board", "facet").write.partitionBy("board", "facet").parquet(path)
+    """Pages (board, facet, offset, body) to where ``board_lists`` reads them, in the order in which it follows them."""
+    dealt = pages.select("board", "facet", "offset", "body").repartition("board", "facet")
+    dealt.sortWithinPartitions("board", "facet", "offset").write.partitionBy("board", "facet").parquet(path)
