@@ -25,3 +25,33 @@ def test_stream_equals_merges(spark, tmp_path):
             stateful.follow(spark, source, sink, checkpoint, files_at_once=3, buckets=2).awaitTermination()
     got = {tuple(r) for r in stateful.state(spark, sink).select(*stored.columns).collect()}
     assert got == {tuple(r) for r in stored.collect()}
+
+
+def test_state_is_asked_for_by_parts(spark, tmp_path, monkeypatch):
+    """Ads of a batch take as many calls of state as there are parts, not as ads."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    source, sink, checkpoint = (str(tmp_path / x) for x in ("in", "out", "check"))
+
+    class Counted(stateful.Snapshots):
+        def init(self, handle):
+            super().init(handle)
+            for state in (self.ads, self.waiting):
+                for name in ("getValue", "containsKey", "updateValue"):
+                    setattr(state, name, self.counted(getattr(state, name)))
+
+        def counted(self, call):
+            def one(*args):
+                with (calls / "n").open("a") as f:
+                    f.write(".")
+                return call(*args)
+
+            return one
+
+    monkeypatch.setattr(stateful, "Snapshots", Counted)
+    ads = [("a", f"a|{i}", day, i, 1.0, None) for day in ("2024-01-01", "2024-01-02") for i in range(3000)]
+    marks = [("a", None, day, None, None, True) for day in ("2024-01-01", "2024-01-02")]
+    spark.createDataFrame(ads + marks, stateful.EVENTS).coalesce(1).write.parquet(source)
+    stateful.follow(spark, source, sink, checkpoint, buckets=1).awaitTermination()
+    assert stateful.state(spark, sink).where("is_active = 1 and last_seen = '2024-01-02'").count() == 3000
+    assert len((calls / "n").read_text()) < 500
