@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from wagewright.functions import rules
 from wagewright.operators import publish
 from wagewright.plans import crawl
 from wagewright.schema import JOBS, conform, fields, labelled
@@ -94,3 +95,14 @@ def test_schema(spark):
     shown = labelled(spark.createDataFrame([("onsite",), (None,), ("odd",)], "workplace_type string"), "workplace_type")
     assert [r["label"] for r in shown.collect()] == ["On site", "not_stated", "odd"]
     assert shown.where(F.col("label").isNull()).count() == 0
+
+
+def test_a_text_is_normalised_once_for_all_rules(spark):
+    """However many rules look at a text, and whichever of them comes first."""
+    rows = spark.createDataFrame([("Senior Data Engineer", "tempo indeterminato. smart working", "remote", "Milano")], "t string, d string, w string, l string")
+    t, d = F.col("t"), F.col("d")
+    found = {"contract": rules.contract_type(F.lit(None).cast("string"), t, d), "schedule": rules.work_schedule(F.lit(None).cast("string"), t, d), "function": rules.job_function(t), "place": rules.workplace_with_source(F.col("w"), F.col("l"), d, t)}
+    times = {k: rows.select(v.alias("x"))._jdf.queryExecution().optimizedPlan().toString().count("[^a-z0-9]+") for k, v in found.items()}
+    assert all(n <= 3 for n in times.values()), times
+    got = rows.select(*(v.alias(k) for k, v in found.items())).first()
+    assert (got["contract"], got["schedule"], got["function"], tuple(got["place"])) == ("permanent", None, "data", ("remote", "ats"))
