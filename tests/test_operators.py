@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import re
 import statistics
 from collections import Counter
 from functools import cache
@@ -333,3 +334,16 @@ def test_stream_of_snapshots(spark, tmp_path):
     version = max(int(p.rsplit("v", 1)[1]) for p in glob.glob(str(tmp_path / "out" / "v*")))
     now = snapshots.stored_ads(spark, str(tmp_path / "out"), version)
     assert {(r["board"], r["job_key"], r["is_active"], r["pay"]) for r in now.collect()} == {("a", "1", 0, 1.0), ("a", "2", 1, 3.0), ("b", "9", 1, 7.0)}
+
+
+def test_values_for_medians_are_shuffled_once(spark):
+    """They are joined and put in order by the same key, and the ads aren't kept once they are summed up."""
+    own = cube.Cube(random_ads(spark, 5, 300))
+    found = own.cells()
+    plan = own.medians()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(slot#", plan) and not re.search(r"hashpartitioning\(cell#\d+L?, range#", plan)
+    kept = glob.glob(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix('file:')}/ads-*")
+    before = len(kept)
+    assert found.where("ral_min_median is not null").count() > 0
+    cube.Cube(random_ads(spark, 6, 300)).cells()
+    assert len(glob.glob(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix('file:')}/ads-*")) == before
